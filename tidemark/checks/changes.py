@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.checks.fixtures import (
-    HIST_SQL, MERGE_SQL, SRC_SQL, TAXI_SQL, TX, TX_MONTHLY, TX_ON, TXSRC_SQL, days, monthly, new_table, table, taxi,
+    HIST_SQL, MERGE_SQL, SRC_SQL, TAXI_SQL, TX, TXSRC_SQL, days, monthly_table, new_table, table, taxi,
     tx_history, tx_source, tx_target,
 )
 from tidemark.checks.registry import query
-from tidemark.functions.scalars import range_bucket
 from tidemark.operators.aggregates import grouped_totals, top_rows
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.dml import delete_table, insert_rows, update_table
@@ -18,7 +17,8 @@ from tidemark.operators.history import as_of, latest_state, retention_stage
 from tidemark.operators.merge import (
     MergeSpec, hard_delete_guarded, hard_delete_unguarded, merge, merge_table, soft_delete,
 )
-from tidemark.tables import LakeTable
+from tidemark.session import stored
+from tidemark.tables import LakeTable, by_range
 
 # --- newest row per key ---------------------------------------------------------------
 
@@ -62,9 +62,13 @@ from tgt t full outer join src s on t.k = s.k and t.d = s.d
 where not (t.k is not null and s.k is not null and s.del is not null)"""
 
 
+def _batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest change per key, stored once because a merge reads it three times."""
+    return stored(latest_per_key(tx_history(spark, sf), TX.key, TX.version))
+
+
 def _merged(spark: SparkSession, sf: str, spec: MergeSpec) -> DataFrame:
-    batch = latest_per_key(tx_history(spark, sf), TX.key, TX.version)
-    return merge(tx_target(spark, sf), batch, spec, unique_source=True)
+    return merge(tx_target(spark, sf), _batch(spark, sf), spec, unique_source=True)
 
 
 @query(MERGE_SQL + HARD_SQL)
@@ -85,16 +89,15 @@ def merge_soft_delete(spark: SparkSession, sf: str) -> DataFrame:
 @query(MERGE_SQL + SOFT_SQL)
 def merge_replayed(spark: SparkSession, sf: str) -> DataFrame:
     """Merging the same batch again changes nothing."""
-    batch = latest_per_key(tx_history(spark, sf), TX.key, TX.version)
-    once = merge(tx_target(spark, sf), batch, soft_delete(TX), unique_source=True)
+    batch = _batch(spark, sf)
+    once = stored(merge(tx_target(spark, sf), batch, soft_delete(TX), unique_source=True))
     return merge(once, batch, soft_delete(TX), unique_source=True)
 
 
 @query(MERGE_SQL + SOFT_SQL)
 def merge_checked_source(spark: SparkSession, sf: str) -> DataFrame:
     """The same batch, with its keys checked for duplicates at run time."""
-    batch = latest_per_key(tx_history(spark, sf), TX.key, TX.version)
-    return merge(tx_target(spark, sf), batch, soft_delete(TX))
+    return merge(tx_target(spark, sf), _batch(spark, sf), soft_delete(TX))
 
 
 @query(f"""with {TXSRC_SQL}, {HIST_SQL},
@@ -134,8 +137,8 @@ def merge_version_guard(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _serving(spark: SparkSession, sf: str) -> LakeTable:
-    serving = new_table(spark, "serving", TX_MONTHLY, ("m",), ("k", "st"))
-    serving.overwrite(monthly(tx_target(spark, sf)))
+    serving = monthly_table(spark, "serving")
+    serving.overwrite(tx_target(spark, sf))
     return serving
 
 
@@ -143,8 +146,8 @@ def _serving(spark: SparkSession, sf: str) -> LakeTable:
 def merge_table_soft_delete(spark: SparkSession, sf: str) -> DataFrame:
     """Only the batch's own months are rewritten, then switched in the catalog."""
     serving = _serving(spark, sf)
-    batch = latest_per_key(monthly(tx_history(spark, sf)), TX.key, TX.version)
-    merge_table(serving, batch, soft_delete(TX, on=TX_ON), unique_source=True)
+    batch = latest_per_key(tx_history(spark, sf), TX.key, TX.version)
+    merge_table(serving, batch, soft_delete(TX), unique_source=True)
     return serving.read().drop("m")
 
 
@@ -152,7 +155,7 @@ def merge_table_soft_delete(spark: SparkSession, sf: str) -> DataFrame:
 def merge_table_hard_delete(spark: SparkSession, sf: str) -> DataFrame:
     """Matches may lie in any month; those months are found first."""
     serving = _serving(spark, sf)
-    batch = latest_per_key(monthly(tx_history(spark, sf)), TX.key, TX.version)
+    batch = latest_per_key(tx_history(spark, sf), TX.key, TX.version)
     merge_table(serving, batch, hard_delete_guarded(TX), unique_source=True)
     return serving.read().drop("m")
 
@@ -162,8 +165,8 @@ def merge_table_hard_delete(spark: SparkSession, sf: str) -> DataFrame:
 
 def _managed(spark: SparkSession, sf: str) -> LakeTable:
     """Trips partitioned by an integer range of the month."""
-    trips = taxi(spark, sf).withColumn("bucket", range_bucket(F.col("data_file_month"), 1, 12))
-    managed = new_table(spark, "trips", trips.schema, ("bucket",))
+    trips = taxi(spark, sf)
+    managed = new_table(spark, "trips", trips.schema, ("bucket",), derived={"bucket": by_range("data_file_month", 1, 12)})
     managed.overwrite(trips)
     return managed
 
@@ -181,8 +184,7 @@ from taxi where data_file_year = 2000 and data_file_month = 6""")
 def dml_insert(spark: SparkSession, sf: str) -> DataFrame:
     """Columns that are not listed are NULL."""
     managed = _managed(spark, sf)
-    trips = taxi(spark, sf).withColumn("bucket", range_bucket(F.col("data_file_month"), 1, 12))
-    insert_rows(managed, trips.where("data_file_year = 2000 and data_file_month = 6").drop("dropoff_datetime", "trip_distance"))
+    insert_rows(managed, taxi(spark, sf).where("data_file_year = 2000 and data_file_month = 6").drop("dropoff_datetime", "trip_distance"))
     return managed.read().drop("bucket")
 
 

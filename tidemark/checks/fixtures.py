@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.model import ChangeTable
 from tidemark.session import scratch_dir, scratch_root
-from tidemark.tables import LakeTable, create_table, with_batch
+from tidemark.tables import Derived, LakeTable, by_month, create_table, with_batch
 
 WORK_DB = "tidemark_work"
 
@@ -23,10 +23,6 @@ TX_SCHEMA = T.StructType([
     T.StructField("u_at", T.TimestampNTZType()), T.StructField("del", T.TimestampNTZType()),
 ])
 TX = ChangeTable(key=("k",), version="u_at", tombstone="del", schema=TX_SCHEMA, partition="d", fixed=("c_at",))
-# Serving tables of the checks are laid out by month; the month follows from the date.
-TX_MONTHLY = T.StructType([*TX_SCHEMA.fields, T.StructField("m", T.DateType())])
-TX_ON = ("k", "d", "m")
-
 USER_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("id", "name", "email")]
     + [T.StructField(n, T.TimestampNTZType()) for n in ("created_at", "updated_at", "deleted_at")]
@@ -83,10 +79,6 @@ def _tx(o: DataFrame, amount: Column, changed: Column, deleted: Column) -> DataF
     )
 
 
-def monthly(df: DataFrame) -> DataFrame:
-    return df.withColumn("m", F.trunc("d", "month"))
-
-
 TGT_SQL = """
 tgt as (select cast(o_orderkey as varchar) k, o_totalprice amt, o_orderstatus st, cast(o_orderdate as date) d,
                o_orderdate c_at, o_orderdate u_at, case when false then o_orderdate end del
@@ -177,11 +169,17 @@ def hive_folders(df: DataFrame, path: str, columns: tuple[str, ...]) -> str:
 
 
 def new_table(spark: SparkSession, label: str, schema: T.StructType, partition_by: tuple[str, ...] = (),
-              cluster_by: tuple[str, ...] = ()) -> LakeTable:
+              cluster_by: tuple[str, ...] = (), derived: dict[str, Derived] | None = None) -> LakeTable:
     """An empty table of its own, in a database of its own."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {WORK_DB} LOCATION '{scratch_root(spark)}/{WORK_DB}'")
     name = f"{WORK_DB}.{label}_{uuid.uuid4().hex[:12]}"
-    return create_table(spark, name, schema, scratch_dir(spark, label), partition_by=partition_by, cluster_by=cluster_by)
+    return create_table(spark, name, schema, scratch_dir(spark, label), partition_by=partition_by, cluster_by=cluster_by,
+                        derived=derived)
+
+
+def monthly_table(spark: SparkSession, label: str, cluster_by: tuple[str, ...] = ("k", "st")) -> LakeTable:
+    """A serving table of transactions laid out by the month of their date."""
+    return new_table(spark, label, TX_SCHEMA, ("m",), cluster_by, {"m": by_month("d")})
 
 
 def history_table(spark: SparkSession, label: str, schema: T.StructType) -> LakeTable:

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from tidemark.checks.changes import HARD_SQL, SOFT_SQL
 from tidemark.checks.fixtures import (
-    HIST_SQL, MERGE_SQL, TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, TX, TX_MONTHLY, TX_ON, TX_SCHEMA, TXSRC_SQL, USER, USER_SCHEMA,
-    USERS_SQL, days, folder, history_table, hive_folders, monthly, new_table, table, taxi, tx_history, tx_source, tx_target,
+    HIST_SQL, MERGE_SQL, TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, TX, TX_SCHEMA, TXSRC_SQL, USER, USER_SCHEMA,
+    USERS_SQL, days, folder, history_table, hive_folders, monthly_table, new_table, table, taxi, tx_history, tx_source, tx_target,
     users,
 )
 from tidemark.checks.registry import query
@@ -28,7 +28,7 @@ from tidemark.sources.extract import extract_day
 from tidemark.sources.files import active_files, export_folder, file_inventory, scan_glob
 from tidemark.sources.footers import file_fields, schema_union
 from tidemark.streaming.ingest import ingest_batch, ingest_ephemeral, ingest_stream, merge_stream
-from tidemark.tables import BATCH, with_day
+from tidemark.tables import BATCH, by_day, by_year
 
 # Ends on 2026-08-16 00:00 in Jakarta, so the previous local day is the 15th.
 USERS_RUN = datetime(2026, 8, 15, 17, tzinfo=UTC)
@@ -49,12 +49,20 @@ def ctas_copy(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"with {HIST_SQL}\nselect k, amt, st, d, c_at, u_at, del, cast(date_trunc('year', c_at) as date) made from hist")
 def clustered_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Partitioned by a date derived from an instant, sorted by two cluster columns."""
-    rows = with_day(tx_history(spark, sf), "c_at", "made", unit="year")
-    clustered = new_table(spark, "clustered", rows.schema, ("made",), ("k", "st"))
-    clustered.overwrite(rows)
+    clustered = new_table(spark, "clustered", TX_SCHEMA, ("made",), ("k", "st"), {"made": by_year("c_at")})
+    clustered.overwrite(tx_history(spark, sf))
     return clustered.read()
 
 
+@query(f"""with {TXSRC_SQL} select *, cast(date_trunc('month', d) as date) m from txsrc
+where d >= date '1997-11-20' and d <= date '1998-02-03'""")
+def hidden_partition_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A filter on the date prunes the month folders that follow from it."""
+    serving = monthly_table(spark, "hidden")
+    serving.overwrite(tx_source(spark, sf))
+    return serving.between("d", "1997-11-20", "1998-02-03")
+
+
 # --- ingest ---------------------------------------------------------------------------
 
 
@@ -105,13 +113,12 @@ def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     changes = tx_history(spark, sf)
     landing, checkpoint = folder(spark, "landing"), folder(spark, "checkpoint")
     history = history_table(spark, "tx", TX_SCHEMA)
-    serving = new_table(spark, "serving", TX_MONTHLY, ("m",), ("k",))
-    serving.overwrite(monthly(tx_target(spark, sf)))
+    serving = monthly_table(spark, "serving")
+    serving.overwrite(tx_target(spark, sf))
     for version in (1, 2):
         batch = changes.where(F.col("u_at") == F.col("c_at") + days(F.lit(version)))
         export_micros(batch, f"{landing}/export_{version}")
-        merge_stream(history, serving, TX, soft_delete(TX, on=TX_ON), f"{landing}/export_*", TX_SCHEMA, checkpoint,
-                     prepare=monthly)
+        merge_stream(history, serving, TX, soft_delete(TX), f"{landing}/export_*", TX_SCHEMA, checkpoint)
     return serving.read().drop("m")
 
 
@@ -226,8 +233,8 @@ CHANGED = "m >= DATE'1998-01-01' AND m < DATE'1999-01-01' AND st = 'F'"
 from txsrc where d >= date '1998-01-01' and d < date '1999-01-01' group by 1""")
 def retained_rows(spark: SparkSession, sf: str) -> DataFrame:
     """What the files left behind by a delete still hold: the old content of its partitions."""
-    serving = new_table(spark, "audit", TX_MONTHLY, ("m",))
-    serving.overwrite(monthly(tx_source(spark, sf)))
+    serving = monthly_table(spark, "audit")
+    serving.overwrite(tx_source(spark, sf))
     delete_table(serving, CHANGED)
     stored = spark.read.schema(TX_SCHEMA).option("recursiveFileLookup", True).parquet(serving.root)
     held = stored.withColumn("path", F.col("_metadata.file_path")).join(retained_files(serving), "path", "left_semi")
@@ -239,8 +246,8 @@ def retained_rows(spark: SparkSession, sf: str) -> DataFrame:
 true as bytes_grew, true as all_counted from txsrc""")
 def storage_after_delete(spark: SparkSession, sf: str) -> DataFrame:
     """A delete lowers the row count while the bytes on storage grow until files are cleaned up."""
-    serving = new_table(spark, "audit", TX_MONTHLY, ("m",))
-    serving.overwrite(monthly(tx_source(spark, sf)))
+    serving = monthly_table(spark, "audit")
+    serving.overwrite(tx_source(spark, sf))
     before = footprint(file_inventory(spark, serving.root)).select(F.col("bytes").alias("bytes_before"))
     # One row, read now: the frame would otherwise be computed after the delete.
     before = spark.createDataFrame(before.collect(), before.schema)
@@ -278,7 +285,7 @@ from before t full outer join batch s on t.id = s.id where s.id is null or s.del
 
 def _user_tables(spark: SparkSession, sf: str):
     history = history_table(spark, "users", USER_SCHEMA)
-    serving = new_table(spark, "main_users", USER_SCHEMA, (), ("id",))
+    serving = new_table(spark, "main_users", USER_SCHEMA, ("made",), ("id",), {"made": by_day("created_at")})
     known = users(spark, sf).where(F.col("id").cast("bigint") % 3 != 0)
     serving.overwrite(known.withColumns({
         "name": F.lit("old"), "updated_at": F.col("created_at"), "deleted_at": F.lit(None).cast("timestamp_ntz")}))
@@ -291,7 +298,7 @@ def sync_direct_users(spark: SparkSession, sf: str) -> DataFrame:
     history, serving = _user_tables(spark, sf)
     for _ in range(2):
         sync_direct(users(spark, sf), history, serving, USER, USERS_RUN)
-    return serving.read()
+    return serving.read().drop("made")
 
 
 @query(DIRECT_SQL)
@@ -300,7 +307,7 @@ def sync_landing_users(spark: SparkSession, sf: str) -> DataFrame:
     history, serving = _user_tables(spark, sf)
     history.append_batch(users(spark, sf).where("updated_at < timestamp_ntz'2026-08-01 00:00:00' OR id = '0'"), "first")
     sync_landing(users(spark, sf), folder(spark, "landing"), history, serving, USER, USERS_RUN)
-    return serving.read()
+    return serving.read().drop("made")
 
 
 @query(f"""with {USERS_SQL} select * from users where deleted_at is null""")
@@ -319,16 +326,14 @@ def sync_dated_transactions(spark: SparkSession, sf: str) -> DataFrame:
     source = tx_source(spark, sf)
     landing = folder(spark, "data")
     history = history_table(spark, "tx", TX_SCHEMA)
-    serving = new_table(spark, "final", TX_MONTHLY, ("m",), ("k", "st"))
-    spec = soft_delete(TX, on=TX_ON)
+    serving = monthly_table(spark, "final")
     day = F.col("u_at").cast("date") == F.lit("1998-03-04").cast("date")
     later = source.withColumns({"amt": F.when(day, F.col("amt") + 700).otherwise(F.col("amt")),
                                 "del": F.when(day, F.col("u_at")).otherwise(F.col("del"))})
     runs = [(source, datetime(1998, 3, 3, 20, tzinfo=UTC)), (later, datetime(1998, 3, 4, 20, tzinfo=UTC)),
             (later, datetime(1998, 3, 4, 20, tzinfo=UTC))]
     for rows, run_end in runs:
-        sync_dated(rows, landing, history, serving, TX, change_day=date(1998, 3, 4), run_end=run_end, spec=spec,
-                   prepare=monthly)
+        sync_dated(rows, landing, history, serving, TX, change_day=date(1998, 3, 4), run_end=run_end)
     return serving.read().drop("m")
 
 

@@ -32,7 +32,7 @@ def insert_rows(table: LakeTable, rows: DataFrame) -> None:
 
 def update_table(table: LakeTable, assignments: dict[str, str | Column], where: str) -> None:
     """UPDATE, rewriting only the partitions that hold a matching row."""
-    moved = set(assignments) & set(table.partition_by)
+    moved = set(assignments) & (set(table.partition_by) | {d.source for _, d in table.derived})
     if moved:
         raise ValueError(f"cannot set partition columns {sorted(moved)}")
     _rewrite(table, where, lambda df: update(df, assignments, where))

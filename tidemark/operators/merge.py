@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -217,26 +217,33 @@ def merge_into_nothing(source: DataFrame, spec: MergeSpec, schema: T.StructType,
     return _inserts(source.alias("s"), spec, source.columns, schema)
 
 
+def _with_partitions(table: LakeTable, spec: MergeSpec) -> MergeSpec:
+    """The same spec, matching also on partition columns its keys imply; this prunes folders."""
+    implied = tuple(n for n, d in table.derived if n in table.partition_by and n not in spec.on and d.fixed_by(spec.on))
+    return replace(spec, on=spec.on + implied)
+
+
 def _touched(table: LakeTable, source: DataFrame, spec: MergeSpec) -> set[tuple]:
     """Partitions a merge can change: where the batch's rows go and where their matches are."""
     touched = set(table.partition_values(source))
     if not set(table.partition_by) <= set(spec.on):
-        target = table.read()
-        t = _with_keys(target, spec.on, "t")
-        hit = t.join(_with_keys(source, spec.on, "s").select(*_key_names(spec.on, "s")), _equal(spec.on, "t", "s"), "left_semi")
-        touched |= set(table.partition_values(hit))
+        t = _with_keys(table.read(), spec.on, "t")
+        s = _with_keys(source, spec.on, "s").select(*_key_names(spec.on, "s"))
+        touched |= set(table.partition_values(t.join(s, _equal(spec.on, "t", "s"), "left_semi")))
     return touched
 
 
 def merge_table(table: LakeTable, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False) -> None:
     """Merge a batch into a catalog table, rewriting only the partitions it touches.
 
-    With the partition column among the ``on`` keys those are the batch's own
-    partitions; otherwise the target's key columns are searched for matches first.
+    If the ``on`` keys settle the partition, those are the batch's own partitions;
+    otherwise the target's key columns are searched for matches first.
     """
+    source = table.with_derived(source)
     if table.is_empty():
         table.overwrite(merge_into_nothing(source, spec, table.schema, unique_source=unique_source))
         return
+    spec = _with_partitions(table, spec)
     with staged(source) as batch:
         if not table.partition_by:
             table.overwrite(merge(table.read(), batch, spec, unique_source=unique_source))

@@ -6,14 +6,12 @@ same run end: batches replace themselves, exports replace their folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import range_bucket
 from tidemark.functions.timewin import DEFAULT_ZONE, batch_date, previous_day_window
 from tidemark.model import ChangeTable
 from tidemark.operators.dedup import latest_per_key
@@ -24,7 +22,7 @@ from tidemark.sources.extract import extract_for_load, extract_previous_day, ext
 from tidemark.sources.files import export_folder, scan_hive_repaired
 from tidemark.sources.json_rows import json_to_rows, rows_to_json
 from tidemark.streaming.ingest import ingest_batch, ingest_ephemeral
-from tidemark.tables import BATCH, LakeTable, create_table, open_table, table_exists
+from tidemark.tables import BATCH, LakeTable, by_range, create_table, open_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -101,12 +99,11 @@ def sync_landing(source: DataFrame, landing: str, history: LakeTable, serving: L
 
 def sync_dated(source: DataFrame, landing: str, history: LakeTable, serving: LakeTable, change: ChangeTable, *,
                change_day: date, run_end: datetime, zone: str = DEFAULT_ZONE, schema: T.StructType | None = None,
-               spec: MergeSpec | None = None, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> Load:
+               spec: MergeSpec | None = None) -> Load:
     """The dated flow: typed export to the run's folder, append, soft-delete merge.
 
     Rows are chosen by ``change_day`` while the folder is named by the run's end;
-    the two need not be the same day.  Folders are kept.  ``prepare`` adds columns the
-    serving table derives, such as a coarser partition.
+    the two need not be the same day.  Folders are kept.
     """
     schema = schema or change.schema
     is_initial = serving.is_empty()
@@ -115,7 +112,7 @@ def sync_dated(source: DataFrame, landing: str, history: LakeTable, serving: Lak
     day = batch_date(run_end, zone)
     ingest_batch(history, f"{export_folder(landing, day)}/*.parquet", day, schema)
     changes = extract_for_load(history.read().drop(BATCH), change.version, is_initial, change_day)
-    newest = prepare(latest_per_key(changes, change.key, change.version))
+    newest = latest_per_key(changes, change.key, change.version)
     merge_table(serving, newest, spec or soft_delete(change), unique_source=True)
     return Load(is_initial, day, folder is not None)
 
@@ -131,7 +128,7 @@ def migrate_hive(spark: SparkSession, raw: str, schema: T.StructType, partitions
     """Hive folders into a managed table partitioned by an integer range of one column."""
     rows = scan_hive_repaired(spark, raw, schema, partitions)
     bucket = f"{bucket_on}_bucket"
-    rows = rows.withColumn(bucket, range_bucket(rows[bucket_on], start, stop, step))
-    table = create_table(spark, name, rows.schema, root, partition_by=(bucket,), cluster_by=cluster_by)
+    table = create_table(spark, name, rows.schema, root, partition_by=(bucket,), cluster_by=cluster_by,
+                         derived={bucket: by_range(bucket_on, start, stop, step)})
     table.overwrite(rows)
     return table

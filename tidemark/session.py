@@ -59,22 +59,28 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """Write ``df`` once to shared scratch and hand back the stored copy.
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` once to shared scratch and read it from there.
 
-    Used when a batch is read several times in one operation.  The files cut the
-    lineage, survive the loss of any executor, and give Catalyst an exact size to
-    decide between a broadcast and a shuffled join.  The copy is removed on exit.
+    For a frame that a plan reads several times: the files cut the lineage, survive
+    the loss of any executor, and give Catalyst an exact size to decide between a
+    broadcast and a shuffled join.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, "stage")
+    path = path or scratch_dir(spark, "stored")
+    with micros_writer(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """A stored copy for one operation; it is removed on exit."""
+    path = scratch_dir(df.sparkSession, "stage")
     try:
-        with micros_writer(spark):
-            df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
+        yield stored(df, path)
     finally:
-        delete_path(spark, path)
+        delete_path(df.sparkSession, path)
 
 
 @contextmanager

@@ -108,7 +108,7 @@ def ingest_stream(table: LakeTable, pattern: str, schema: T.StructType, checkpoi
 
 def merge_stream(history: LakeTable, serving: LakeTable, change: ChangeTable, spec: MergeSpec, pattern: str,
                  schema: T.StructType, checkpoint: str, *, prefix: str = "stream-",
-                 max_files: int | None = None, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
+                 max_files: int | None = None) -> StreamingQuery:
     """Append each micro-batch to the history and then merge it into the serving table.
 
     The merge reads the rows the append stored, and starts only when that is done.
@@ -117,6 +117,6 @@ def merge_stream(history: LakeTable, serving: LakeTable, change: ChangeTable, sp
         name = _batch_name(prefix, number)
         history.append_batch(batch, name)
         stored = history.read().where(F.col(BATCH) == name).drop(BATCH)
-        merge_table(serving, prepare(latest_per_key(stored, change.key, change.version)), spec, unique_source=True)
+        merge_table(serving, latest_per_key(stored, change.key, change.version), spec, unique_source=True)
 
     return _run(stream_files(history.spark, pattern, schema, max_files), checkpoint, step)

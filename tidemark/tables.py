@@ -19,10 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.scalars import range_bucket
+from tidemark.functions.timewin import instant_literal, naive_utc
 from tidemark.session import list_glob, micros_writer
 
 ROOT = "tidemark.root"
 CLUSTER = "tidemark.cluster_by"
+DERIVED = "tidemark.derived."
+UNITS = ("day", "month", "year")
 BATCH = "batch_id"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 PARTITIONS_PER_STATEMENT = 500
@@ -83,6 +87,51 @@ def partition_filter(columns: tuple[str, ...], values: Iterable[Values]) -> Colu
     ])
 
 
+@dataclass(frozen=True)
+class Derived:
+    """A partition column computed from another: ``PARTITION BY DATE(ts)`` and its kin.
+
+    ``rule`` is ``day``, ``month`` or ``year`` (in UTC for instants), or
+    ``range_bucket:start:stop:step``.  Every rule is monotone in its source.
+    """
+
+    source: str
+    rule: str
+
+    def value(self, column: Column, dtype: T.DataType) -> Column:
+        if self.rule in UNITS:
+            day = (naive_utc(column) if isinstance(dtype, T.TimestampType) else column).cast("date")
+            return day if self.rule == "day" else F.trunc(day, self.rule)
+        kind, *bounds = self.rule.split(":")
+        if kind != "range_bucket" or len(bounds) != 3:
+            raise ValueError(f"unknown partition rule {self.rule}")
+        return range_bucket(column, *map(int, bounds))
+
+    @property
+    def dtype(self) -> T.DataType:
+        return T.DateType() if self.rule in UNITS else T.IntegerType()
+
+    def fixed_by(self, on: tuple[str, ...]) -> bool:
+        """Do equal ``on`` keys imply equal partitions?"""
+        return self.source in on or (self.rule in UNITS and f"to_date({self.source})" in on)
+
+
+def by_day(column: str) -> Derived:
+    return Derived(column, "day")
+
+
+def by_month(column: str) -> Derived:
+    return Derived(column, "month")
+
+
+def by_year(column: str) -> Derived:
+    return Derived(column, "year")
+
+
+def by_range(column: str, start: int, stop: int, step: int = 1) -> Derived:
+    return Derived(column, f"range_bucket:{start}:{stop}:{step}")
+
+
 @dataclass(frozen=True)
 class LakeTable:
     spark: SparkSession
@@ -90,6 +139,7 @@ class LakeTable:
     root: str
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    derived: tuple[tuple[str, Derived], ...] = ()
 
     # --- reading ---------------------------------------------------------------
 
@@ -124,31 +174,55 @@ class LakeTable:
     def only(self, values: Iterable[Values]) -> DataFrame:
         return self.read().where(partition_filter(self.partition_by, values))
 
+    def between(self, column: str, low, high) -> DataFrame:
+        """Rows with ``low <= column <= high``; partitions derived from the column are pruned too.
+
+        The readers of a partitioned table need not know how its folders follow from
+        the column.
+        """
+        rows = self.read()
+        dtype = rows.schema[column].dataType
+        numeric = isinstance(dtype, T.NumericType)
+        ends = [F.lit(v) if numeric else instant_literal(v, dtype) for v in (low, high)]
+        rows = rows.where(F.col(column).between(*ends))
+        for name, rule in self.derived:
+            if rule.source == column:
+                rows = rows.where(F.col(name).between(*[rule.value(e, dtype) for e in ends]))
+        return rows
+
     # --- writing ---------------------------------------------------------------
 
+    def with_derived(self, df: DataFrame) -> DataFrame:
+        """Compute the derived partition columns of a batch."""
+        types = {f.name: f.dataType for f in df.schema.fields}
+        return df.withColumns({n: d.value(F.col(d.source), types[d.source]) for n, d in self.derived}) if self.derived else df
+
     def shaped(self, df: DataFrame) -> DataFrame:
-        """The table's columns in its order and types; absent ones are NULL."""
+        """The table's columns in its order and types; absent ones are NULL, derived ones computed."""
+        df = self.with_derived(df)
         have = {c.lower() for c in df.columns}
         return df.select(*[
             (F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in self.schema.fields
         ])
 
-    def laid_out(self, df: DataFrame) -> DataFrame:
+    def laid_out(self, df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
         """Rows of a partition side by side and sorted by the cluster columns.
 
         REBALANCE lets AQE merge small partitions into one task and cut a big one
         into several, so a day that holds a third of the rows is not one task's work.
+        Columns in ``skip`` are constant and need no exchange.
         """
-        if self.partition_by:
-            df = df.hint("rebalance", *self.partition_by)
+        spread = [c for c in self.partition_by if c not in skip]
+        if spread:
+            df = df.hint("rebalance", *spread)
         order = (*self.partition_by, *self.cluster_by)
-        return df.sortWithinPartitions(*order) if order else df
+        return df.sortWithinPartitions(*order) if spread or self.cluster_by else df
 
-    def _write_version(self, df: DataFrame) -> str:
+    def _write_version(self, df: DataFrame, constant: tuple[str, ...] = ()) -> str:
         version = f"{self.root}/v-{uuid.uuid4().hex}"
         with micros_writer(self.spark):
-            writer = self.laid_out(self.shaped(df)).write
+            writer = self.laid_out(self.shaped(df), constant).write
             (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(version)
         return version
 
@@ -166,16 +240,17 @@ class LakeTable:
         if not self.partition_by or self.partition_by[0] != BATCH:
             raise ValueError(f"{self.name} is not partitioned by {BATCH} first")
         before = self.partitions(batch_id)
-        self.replace_partitions(df.withColumn(BATCH, F.lit(batch_id)), before, known=before)
+        self.replace_partitions(df.withColumn(BATCH, F.lit(batch_id)), before, known=before, constant=(BATCH,))
 
     def replace_partitions(self, df: DataFrame, touched: Iterable[Values],
-                           known: Iterable[Values] | None = None) -> None:
+                           known: Iterable[Values] | None = None, constant: tuple[str, ...] = ()) -> None:
         """Publish ``df`` as the whole new content of the ``touched`` partitions.
 
         A touched partition without rows in ``df`` is dropped from the catalog.
-        ``known`` are the partitions the catalog has, where the caller listed them.
+        ``known`` are the partitions the catalog has, where the caller listed them;
+        ``constant`` are partition columns with one value in ``df``.
         """
-        version = self._write_version(df)
+        version = self._write_version(df, constant)
         if not self.partition_by:
             self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION {_quoted(version)}")
             self.spark.catalog.refreshTable(self.name)
@@ -234,23 +309,29 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str, *,
                  partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = (),
-                 if_not_exists: bool = True) -> LakeTable:
+                 derived: dict[str, Derived] | None = None, if_not_exists: bool = True) -> LakeTable:
     """CREATE TABLE [IF NOT EXISTS] with partition and cluster columns, no rows.
 
-    ``PARTITION BY DATE(ts)`` needs a stored column: declare it in ``schema`` and
-    fill it with :func:`with_day`.
+    Plain Parquet tables partition by stored columns only.  A column in ``derived``
+    is added to the schema and filled on every write, e.g.
+    ``partition_by=("created_day",), derived={"created_day": by_day("created_at")}``.
     """
-    unknown = set(partition_by) | set(cluster_by)
+    derived = derived or {}
+    missing = [T.StructField(n, d.dtype) for n, d in derived.items() if n not in schema.fieldNames()]
+    schema = T.StructType([*schema.fields, *missing])
+    unknown = set(partition_by) | set(cluster_by) | {d.source for d in derived.values()}
     unknown -= set(schema.fieldNames())
     if unknown:
         raise ValueError(f"not in the schema: {sorted(unknown)}")
     root = root.rstrip("/")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     layout = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    properties = {ROOT: root, CLUSTER: ",".join(cluster_by)}
+    properties |= {DERIVED + n: f"{d.source}|{d.rule}" for n, d in derived.items()}
+    listed = ", ".join(f"{_quoted(k)}={_quoted(v)}" for k, v in properties.items())
     spark.sql(
         f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}{name} ({columns}) USING parquet {layout} "
-        f"LOCATION {_quoted(root + '/v-0')} "
-        f"TBLPROPERTIES ({_quoted(ROOT)}={_quoted(root)}, {_quoted(CLUSTER)}={_quoted(','.join(cluster_by))})"
+        f"LOCATION {_quoted(root + '/v-0')} TBLPROPERTIES ({listed})"
     )
     return open_table(spark, name)
 
@@ -261,13 +342,10 @@ def open_table(spark: SparkSession, name: str) -> LakeTable:
         raise ValueError(f"{name} was not made by create_table")
     partition_by = tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
     cluster_by = tuple(c for c in properties.get(CLUSTER, "").split(",") if c)
-    return LakeTable(spark, name, properties[ROOT], partition_by, cluster_by)
-
-
-def with_day(df: DataFrame, column: str, day: str, unit: str = "day") -> DataFrame:
-    """Store ``DATE(column)``, or its month or year, as the partition column ``day``."""
-    value = F.col(column).cast("date")
-    return df.withColumn(day, value if unit == "day" else F.trunc(value, unit))
+    derived = tuple(
+        (k.removeprefix(DERIVED), Derived(*v.split("|", 1))) for k, v in properties.items() if k.startswith(DERIVED)
+    )
+    return LakeTable(spark, name, properties[ROOT], partition_by, cluster_by, derived)
 
 
 def with_batch(schema: T.StructType) -> T.StructType:
