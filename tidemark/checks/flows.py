@@ -23,10 +23,12 @@ from tidemark.operators.storage import footprint, retained_files, storage_report
 from tidemark.plans.sync import (
     export_load, merge_recent, migrate_hive, sync_dated, sync_direct, sync_evolving, sync_landing,
 )
-from tidemark.sinks.files import export_micros
+from tidemark.model import TRANSAKSI
+from tidemark.sinks.files import export_dated, export_micros
 from tidemark.sources.extract import extract_day
-from tidemark.sources.files import active_files, export_folder, file_inventory, scan_glob
+from tidemark.sources.files import active_files, export_folder, file_inventory, scan_dated, scan_glob
 from tidemark.sources.footers import file_fields, schema_union
+from tidemark.sources.json_rows import json_to_rows, rows_to_json
 from tidemark.streaming.ingest import ingest_batch, ingest_ephemeral, ingest_stream, merge_stream
 from tidemark.tables import BATCH, by_day, by_year
 
@@ -80,7 +82,7 @@ def ingest_dated_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return history.read()
 
 
-@query("select *, cast(0 as bigint) as files_left from events")
+@query("select *, cast(0 as bigint) as files_left from events", name="ingest_ephemeral")
 def ingest_ephemeral_landing(spark: SparkSession, sf: str) -> DataFrame:
     """Consumed files are removed, so the static wildcard brings every row once."""
     events = table(spark, sf, "events")
@@ -179,7 +181,7 @@ def _drifted(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
 
 @query("""select * from (values ('order_id', 'bigint', false), ('customer_id', 'bigint', false), ('status', 'string', false),
 ('order_date', 'date', false), ('created_at', 'timestamp', false), ('item_count', 'bigint', false)) v(name, table_type, conflict)
-where (select count(*) from orders) > 0""")
+where (select count(*) from orders) > 0""", name="schema_union")
 def schema_union_files(spark: SparkSession, sf: str) -> DataFrame:
     landing, _ = _drifted(spark, sf)
     return schema_union(file_fields(spark, landing)).select("name", "table_type", "conflict")
@@ -187,7 +189,7 @@ def schema_union_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""select * from (values ('order_id', 'bigint', 'known'), ('customer_id', 'bigint', 'known'),
 ('status', 'string', 'known'), ('note', cast(null as varchar), 'absent'), ('order_date', 'date', 'new'), ('created_at', 'timestamp', 'new'),
-('item_count', 'bigint', 'new')) v(name, table_type, status) where (select count(*) from orders) > 0""")
+('item_count', 'bigint', 'new')) v(name, table_type, status) where (select count(*) from orders) > 0""", name="schema_diff")
 def schema_diff_files(spark: SparkSession, sf: str) -> DataFrame:
     landing, _ = _drifted(spark, sf)
     declared = T.StructType([*ORDERS_BASE.fields, T.StructField("note", T.StringType())])
@@ -205,7 +207,7 @@ def _evolved_rows(df: DataFrame) -> DataFrame:
     return df.select("order_id", "customer_id", "status", "order_date", day.alias("created_day"), "item_count")
 
 
-@query(EVOLVED_SQL)
+@query(EVOLVED_SQL, name="evolve_append")
 def evolve_and_append(spark: SparkSession, sf: str) -> DataFrame:
     """The table gets the new columns first; batches without them read NULL.  A rerun adds none."""
     landing, _ = _drifted(spark, sf)
@@ -230,7 +232,7 @@ CHANGED = "m >= DATE'1998-01-01' AND m < DATE'1999-01-01' AND st = 'F'"
 
 
 @query(f"""with {TXSRC_SQL} select cast(date_trunc('month', d) as date) m, count(*) as rows_held, count(distinct st) as statuses
-from txsrc where d >= date '1998-01-01' and d < date '1999-01-01' group by 1""")
+from txsrc where d >= date '1998-01-01' and d < date '1999-01-01' group by 1""", name="retained_files")
 def retained_rows(spark: SparkSession, sf: str) -> DataFrame:
     """What the files left behind by a delete still hold: the old content of its partitions."""
     serving = monthly_table(spark, "audit")
@@ -270,6 +272,45 @@ def active_file_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return active_files(copy).select(status.alias("x")).distinct()
 
 
+@query(f"""with {TXSRC_SQL} select cast(date_trunc('month', d) as date) m, true as one_folder, true as has_bytes
+from txsrc group by 1""")
+def storage_footprint(spark: SparkSession, sf: str) -> DataFrame:
+    """Files and bytes per partition folder of a table's inventory."""
+    serving = monthly_table(spark, "footprint")
+    serving.overwrite(tx_source(spark, sf))
+    files = file_inventory(spark, serving.root).withColumn("m", F.regexp_extract("path", "/m=([^/]+)/", 1).cast("date"))
+    per_month = files.groupBy("m").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return per_month.select("m", (F.col("files") >= 1).alias("one_folder"), (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@query("""select cast(o_orderkey as varchar) id_transaksi, o_totalprice jumlah, o_orderstatus status,
+case when o_orderkey % 50 <> 1 then cast(o_orderdate as date) end tanggal_transaksi, o_orderdate created_at, o_orderdate updated_at,
+case when o_orderkey % 11 = 0 then o_orderdate end deleted_at from orders""")
+def export_typed_dated(spark: SparkSession, sf: str) -> DataFrame:
+    """A typed batch in the run's dated folder, exported twice, read back by its run time."""
+    o = table(spark, sf, "orders")
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+    raw = o.select(
+        key.alias("id_transaksi"), F.col("o_totalprice").cast("string").alias("jumlah"), F.col("o_orderstatus").alias("status"),
+        F.when(key % 50 == 1, "?").otherwise(day.cast("date").cast("string")).alias("tanggal_transaksi"),
+        day.alias("created_at"), day.alias("updated_at"), F.when(key % 11 == 0, day).alias("deleted_at"))
+    landing = folder(spark, "data_transaksi")
+    for _ in range(2):
+        export_dated(raw, landing, USERS_RUN, TRANSAKSI.schema)
+    batch = scan_dated(spark, landing, USERS_RUN, schema=TRANSAKSI.schema)
+    return batch.withColumns({c: naive_utc(F.col(c)) for c in ("created_at", "updated_at", "deleted_at")})
+
+
+@query(f"with {USERS_SQL} select * from users")
+def insert_from_json(spark: SparkSession, sf: str) -> DataFrame:
+    """INSERT … SELECT from JSON arrays into the history, under a batch that is run twice."""
+    history = history_table(spark, "users", USER_SCHEMA)
+    payload = rows_to_json(users(spark, sf))
+    for _ in range(2):
+        history.append_batch(json_to_rows(payload, "payload", USER_SCHEMA), "20260815")
+    return history.read().drop(BATCH)
+
+
 # --- composed flows -------------------------------------------------------------------
 
 DIRECT_SQL = f"""with {USERS_SQL},

@@ -12,12 +12,15 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with the SQL that gives the same rows."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own or the given name, with the SQL that gives the same rows."""
     def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        if key in QUERIES:
+            raise ValueError(f"{key} is registered twice")
+        QUERIES[key] = fn
         if sql is not None:
-            SQL[fn.__name__] = sql
+            SQL[key] = sql
         return fn
 
     return add

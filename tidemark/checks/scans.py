@@ -30,7 +30,7 @@ RUN_END = datetime(2024, 1, 10, 18, tzinfo=UTC)  # 01:00 on the 11th in Jakarta
 ORDER_NOW = datetime(1998, 3, 5, 18, 30, tzinfo=UTC)
 
 
-@query("select * from orders")
+@query("select * from orders", name="scan_glob")
 def scan_glob_files(spark: SparkSession, sf: str) -> DataFrame:
     landing = folder(spark, "glob")
     orders = table(spark, sf, "orders")
@@ -62,7 +62,7 @@ def hive_bad_partition(spark: SparkSession, sf: str) -> DataFrame:
     return scan_hive_repaired(spark, root, TAXI_SCHEMA, TAXI_FOLDERS)
 
 
-@query(f"with {USERS_SQL} select * from users")
+@query(f"with {USERS_SQL} select * from users", name="extract_full")
 def extract_all(spark: SparkSession, sf: str) -> DataFrame:
     return extract_full(users(spark, sf), USER.columns)
 
@@ -87,7 +87,7 @@ def extract_range(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", "user_id")
 
 
-@query("select * from events where cast(ts as date) = date '2024-01-17'")
+@query("select * from events where cast(ts as date) = date '2024-01-17'", name="extract_day")
 def extract_one_day(spark: SparkSession, sf: str) -> DataFrame:
     return extract_day(table(spark, sf, "events"), "ts", date(2024, 1, 17))
 
@@ -199,7 +199,7 @@ def uri_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""select event_type, 'v' || max(event_id) || '.metadata.json' as file, max(event_id) as version
-from events group by event_type""")
+from events group by event_type""", name="latest_version")
 def latest_metadata_version(spark: SparkSession, sf: str) -> DataFrame:
     files = table(spark, sf, "events").select(
         "event_type", F.concat(F.lit("v"), F.col("event_id").cast("string"), F.lit(".metadata.json")).alias("file"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +20,9 @@ ARRAY_ROWS = 5_000
 def rows_to_json(df: DataFrame, array_rows: int = ARRAY_ROWS) -> DataFrame:
     """Pack rows into JSON arrays of bounded length, one array per output row (``payload``).
 
-    Instants become text first and missing ones JSON null.  Rows are packed within
-    their own input partition, so no group grows with the data.
+    Instants become text first and missing ones JSON null.  Rows are packed where
+    they are, inside their own task: nothing is shuffled, no group grows with the
+    data, and a repeated task packs the same rows again.
     """
     def field(f: T.StructField):
         c = F.col(f"`{f.name}`")
@@ -28,13 +32,14 @@ def rows_to_json(df: DataFrame, array_rows: int = ARRAY_ROWS) -> DataFrame:
         return (to_text(c) if instant else c).alias(f.name)
 
     row = F.to_json(F.struct(*[field(f) for f in df.schema.fields]), {"ignoreNullFields": "false"})
-    # The upper bits of the id are the input partition, the lower ones count its rows.
-    packed = df.select(row.alias("row"), F.monotonically_increasing_id().alias("id"))
-    position = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
-    groups = packed.groupBy(
-        F.shiftright("id", 33).alias("part"), F.floor(position / array_rows).alias("chunk")
-    ).agg(F.collect_list("row").alias("rows"))
-    return groups.select(F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")).alias("payload"))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = batch["row"].tolist()
+            chunks = [texts[i:i + array_rows] for i in range(0, len(texts), array_rows)]
+            yield pd.DataFrame({"payload": ["[" + ",".join(c) + "]" for c in chunks]})
+
+    return df.select(row.alias("row")).mapInPandas(pack, "payload string")
 
 
 def json_to_rows(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:

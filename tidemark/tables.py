@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -30,6 +31,7 @@ UNITS = ("day", "month", "year")
 BATCH = "batch_id"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 PARTITIONS_PER_STATEMENT = 500
+CATALOG_CALLS = 8
 
 Values = tuple  # one value per partition column
 
@@ -151,7 +153,13 @@ class LakeTable:
         return self.read().schema
 
     def is_empty(self) -> bool:
-        """Stops at the first row found."""
+        """Stops at the first row found, looking into one partition before all of them."""
+        if self.partition_by:
+            known = self.partitions()
+            if not known:
+                return True
+            if not self.only(known[:1]).isEmpty():
+                return False
         return self.read().isEmpty()
 
     def partitions(self, first: object = None) -> list[Values]:
@@ -262,9 +270,13 @@ class LakeTable:
             chunk = new[start:start + PARTITIONS_PER_STATEMENT]
             clauses = " ".join(f"PARTITION ({self._spec(v)}) LOCATION {_quoted(loc)}" for v, loc in chunk)
             self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {clauses}")
-        for values, location in written.items():
-            if values in known:
-                self.spark.sql(f"ALTER TABLE {self.name} PARTITION ({self._spec(values)}) SET LOCATION {_quoted(location)}")
+        changed = [
+            f"ALTER TABLE {self.name} PARTITION ({self._spec(v)}) SET LOCATION {_quoted(loc)}"
+            for v, loc in written.items() if v in known
+        ]
+        # One catalog call per partition; they wait on the catalog, not on this machine.
+        with ThreadPoolExecutor(CATALOG_CALLS) as calls:
+            list(calls.map(self.spark.sql, changed))
         self.drop_partitions([v for v in touched if v in known and v not in written])
         self.spark.catalog.refreshTable(self.name)
 
