@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.conftest import fields, rows
+from tests.conftest import fields
 from tidemark import session
 from tidemark.model import ChangeTable
 from tidemark.operators.evolve import evolve_append, evolve_table, missing_fields, schema_diff

@@ -11,6 +11,7 @@ from tidemark.operators.merge import (
     Delete, Insert, MergeSpec, Update, from_source, hard_delete_guarded, hard_delete_unguarded, merge, merge_into_catalog,
     merge_into_nothing, merge_statement, merge_table, soft_delete,
 )
+from tidemark.session import stored
 from tidemark.tables import by_month
 
 SCHEMA = fields("id string, name string, day date, created int, updated int, gone int")
@@ -193,9 +194,57 @@ def test_merge_table_of_an_empty_batch_changes_nothing(spark, make_table):
 def test_small_batch_is_broadcast_and_target_is_not_shuffled(spark, folder):
     path = folder()
     frame(spark, [OLD]).write.parquet(path)
-    stored = spark.read.parquet(path)
-    plan = explained(merge(stored, stored, soft_delete(CHANGE), unique_source=True))
+    small = spark.read.parquet(path)
+    plan = explained(merge(small, small, soft_delete(CHANGE), unique_source=True, broadcast_source=True))
     assert "BroadcastHashJoin LeftOuter BuildRight" in plan and "SortMergeJoin" not in plan
+    # The one exchange is that of the distinct matched keys.
+    assert plan.count("ENSURE_REQUIREMENTS") == 1
+
+
+@pytest.mark.parametrize("rows_allowed, bytes_allowed", [(0, 1 << 30), (10, 0)])
+@pytest.mark.parametrize("spec", [hard_delete_guarded(CHANGE), soft_delete(CHANGE)])
+def test_batches_beyond_either_bound_are_joined_without_broadcast(spark, make_table, monkeypatch, spec, rows_allowed, bytes_allowed):
+    from tidemark.operators import merge as module
+
+    monkeypatch.setattr(module, "BROADCAST_ROWS", rows_allowed)
+    monkeypatch.setattr(module, "BROADCAST_BYTES", bytes_allowed)
+    hints = []
+    monkeypatch.setattr(module.F, "broadcast", lambda df: hints.append(1) or df)
+    table = make_table(SCHEMA, partition_by=("day",))
+    target = [OLD, ("b", "b", D2, 1, 1, None)]
+    source = [("a", "new", D1, 9, 5, None), ("b", "gone", D2, 1, 2, 2), ("c", "c", D2, 1, 1, None)]
+    table.overwrite(frame(spark, target))
+    merge_table(table, frame(spark, source), spec)
+    assert not hints
+    out = [(r.id, r.name, str(r.day), r.created, r.updated, r.gone) for r in table.read().collect()]
+    assert sorted(out, key=repr) == result(spark, target, source, spec)
+
+
+def test_hot_target_key_is_split_or_combined(spark, folder):
+    """A third of the target rows share a key: the join on rows is split, the search on keys combines them."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+            "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        path = folder()
+        spark.range(0, 60_000, 1, 6).selectExpr(
+            "if(id % 3 = 0, 'hot', cast(id as string)) id", "uuid() name", "date'2024-01-01' day", "1 created", "1 updated",
+            "cast(null as int) gone").write.parquet(path)
+        target = spark.read.schema(SCHEMA).parquet(path)
+        newest = target.where("id <> '1'").groupBy("id").agg(*[F.max(c).alias(c) for c in SCHEMA.fieldNames()[1:]])
+        source = stored(newest.withColumn("name", F.lit("s")))
+        merged = merge(target, source, soft_delete(CHANGE, on=("id",)), unique_source=True)
+        counts = merged.groupBy("name").agg(F.count("*").alias("n"), *[F.max(c) for c in SCHEMA.fieldNames() if c != "name"])
+        got = {r.name if r.name == "s" else "t": r.n for r in counts.collect()}
+        assert got == {"s": 59_999, "t": 1}
+        plan = counts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "SortMergeJoin(skew=true)" in plan and "LeftSemi" not in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_catalog_statement(spark, make_table):

@@ -85,14 +85,14 @@ def test_append_batch_is_idempotent(spark, make_history):
 
 def test_append_of_one_batch_is_not_shuffled(spark, make_history, folder):
     history = make_history(SCHEMA)
-    laid = history.laid_out(history.shaped(frame(spark, (1, 1.0, "a"))), skip=("batch_id",))
+    laid = history.spread(history.shaped(frame(spark, (1, 1.0, "a"))), skip=("batch_id",))
     assert "Exchange" not in explained(laid)
     with pytest.raises(ValueError):
         create_table(spark, history.name + "_x", SCHEMA, folder()).append_batch(frame(spark), "b")
 
 
 def test_skewed_partition_is_rebalanced_by_aqe(spark, make_table):
-    plan = explained(make_table(SCHEMA, partition_by=("p",)).laid_out(frame(spark, (1, 1.0, "a"))))
+    plan = explained(make_table(SCHEMA, partition_by=("p",)).spread(frame(spark, (1, 1.0, "a"))))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
 
 
@@ -155,7 +155,7 @@ def test_derived_partitions(spark, make_table):
 def test_filter_on_the_source_column_prunes_derived_partitions(spark, make_table):
     table = make_table(fields("k int, d date"), partition_by=("m",), derived={"m": by_month("d")})
     table.overwrite(spark.sql("select id k, date_add(date'2024-01-01', cast(id as int)) d from range(366)").selectExpr("cast(k as int) k", "d"))
-    hit = table.between("d", "2024-02-10", "2024-03-05")
+    hit = table.range("d", "2024-02-10", "2024-03-05")
     assert hit.count() == 25
     plan = explained(hit)
     assert plan.count("/m=") <= 2 and "PartitionFilters" in plan

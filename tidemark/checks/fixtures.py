@@ -182,5 +182,8 @@ def monthly_table(spark: SparkSession, label: str, cluster_by: tuple[str, ...] =
     return new_table(spark, label, TX_SCHEMA, ("m",), cluster_by, {"m": by_month("d")})
 
 
-def history_table(spark: SparkSession, label: str, schema: T.StructType) -> LakeTable:
-    return new_table(spark, label, with_batch(schema), ("batch_id",))
+def history_table(spark: SparkSession, label: str, schema: T.StructType, version: str | None = None) -> LakeTable:
+    """A history table: batches first, then the month of the change time where one is named."""
+    if version is None:
+        return new_table(spark, label, with_batch(schema), ("batch_id",))
+    return new_table(spark, label, with_batch(schema), ("batch_id", "changed"), (), {"changed": by_month(version)})

@@ -62,7 +62,7 @@ def hidden_partition_scan(spark: SparkSession, sf: str) -> DataFrame:
     """A filter on the date prunes the month folders that follow from it."""
     serving = monthly_table(spark, "hidden")
     serving.overwrite(tx_source(spark, sf))
-    return serving.between("d", "1997-11-20", "1998-02-03")
+    return serving.range("d", "1997-11-20", "1998-02-03")
 
 
 # --- ingest ---------------------------------------------------------------------------
@@ -114,7 +114,7 @@ def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Every micro-batch is appended and then merged into the serving table."""
     changes = tx_history(spark, sf)
     landing, checkpoint = folder(spark, "landing"), folder(spark, "checkpoint")
-    history = history_table(spark, "tx", TX_SCHEMA)
+    history = history_table(spark, "tx", TX_SCHEMA, "u_at")
     serving = monthly_table(spark, "serving")
     serving.overwrite(tx_target(spark, sf))
     for version in (1, 2):
@@ -131,7 +131,7 @@ def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
 def load_cold_start(spark: SparkSession, sf: str) -> DataFrame:
     """Nothing in the history yet: everything is exported."""
     landing = folder(spark, "export")
-    history = history_table(spark, "users", USER_SCHEMA)
+    history = history_table(spark, "users", USER_SCHEMA, "updated_at")
     load = export_load(users(spark, sf), landing, history.name, USER, USERS_RUN)
     return scan_glob(spark, f"{landing}/{load.batch}/*.parquet", USER_SCHEMA).withColumn("batch", F.lit(load.batch))
 
@@ -141,7 +141,7 @@ where updated_at >= timestamp '2026-08-15 00:00:00' and updated_at <= timestamp
 def load_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """The history has rows: only the previous day is exported."""
     landing = folder(spark, "export")
-    history = history_table(spark, "users", USER_SCHEMA)
+    history = history_table(spark, "users", USER_SCHEMA, "updated_at")
     history.append_batch(users(spark, sf).where("updated_at < timestamp_ntz'2026-08-15 00:00:00'"), "first")
     load = export_load(users(spark, sf), landing, history.name, USER, USERS_RUN)
     return scan_glob(spark, f"{landing}/{load.batch}/*.parquet", USER_SCHEMA).withColumn("batch", F.lit(load.batch))
@@ -151,7 +151,7 @@ def load_incremental(spark: SparkSession, sf: str) -> DataFrame:
 def load_empty_batch(spark: SparkSession, sf: str) -> DataFrame:
     """No change on the day: nothing is written, the history stays as it is."""
     landing = folder(spark, "export")
-    history = history_table(spark, "users", USER_SCHEMA)
+    history = history_table(spark, "users", USER_SCHEMA, "updated_at")
     history.append_batch(users(spark, sf), "first")
     load = export_load(users(spark, sf), landing, history.name, USER, datetime(2027, 1, 1, tzinfo=UTC))
     return history.read().agg(F.count(F.lit(1)).alias("rows_kept")).withColumn("wrote", F.lit(load.wrote))
@@ -304,11 +304,11 @@ def export_typed_dated(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"with {USERS_SQL} select * from users")
 def insert_from_json(spark: SparkSession, sf: str) -> DataFrame:
     """INSERT … SELECT from JSON arrays into the history, under a batch that is run twice."""
-    history = history_table(spark, "users", USER_SCHEMA)
+    history = history_table(spark, "users", USER_SCHEMA, "updated_at")
     payload = rows_to_json(users(spark, sf))
     for _ in range(2):
         history.append_batch(json_to_rows(payload, "payload", USER_SCHEMA), "20260815")
-    return history.read().drop(BATCH)
+    return history.read().select(*USER.columns)
 
 
 # --- composed flows -------------------------------------------------------------------
@@ -325,7 +325,7 @@ from before t full outer join batch s on t.id = s.id where s.id is null or s.del
 
 
 def _user_tables(spark: SparkSession, sf: str):
-    history = history_table(spark, "users", USER_SCHEMA)
+    history = history_table(spark, "users", USER_SCHEMA, "updated_at")
     serving = new_table(spark, "main_users", USER_SCHEMA, ("made",), ("id",), {"made": by_day("created_at")})
     known = users(spark, sf).where(F.col("id").cast("bigint") % 3 != 0)
     serving.overwrite(known.withColumns({
@@ -354,7 +354,7 @@ def sync_landing_users(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""with {USERS_SQL} select * from users where deleted_at is null""")
 def sync_landing_first_load(spark: SparkSession, sf: str) -> DataFrame:
     """First load, served whole."""
-    history = history_table(spark, "users", USER_SCHEMA)
+    history = history_table(spark, "users", USER_SCHEMA, "updated_at")
     serving = new_table(spark, "main_users", USER_SCHEMA, (), ("id",))
     sync_landing(users(spark, sf), folder(spark, "landing"), history, serving, USER, USERS_RUN, days=None)
     return serving.read()
@@ -366,7 +366,7 @@ def sync_dated_transactions(spark: SparkSession, sf: str) -> DataFrame:
     """First load of everything, then one day of changes and soft deletes through a dated folder, run twice."""
     source = tx_source(spark, sf)
     landing = folder(spark, "data")
-    history = history_table(spark, "tx", TX_SCHEMA)
+    history = history_table(spark, "tx", TX_SCHEMA, "u_at")
     serving = monthly_table(spark, "final")
     day = F.col("u_at").cast("date") == F.lit("1998-03-04").cast("date")
     later = source.withColumns({"amt": F.when(day, F.col("amt") + 700).otherwise(F.col("amt")),
@@ -381,7 +381,7 @@ def sync_dated_transactions(spark: SparkSession, sf: str) -> DataFrame:
 @query(MERGE_SQL + HARD_SQL)
 def lookback_merge(spark: SparkSession, sf: str) -> DataFrame:
     """History to serving with hard deletes, looking back over all of it."""
-    history = history_table(spark, "tx", TX_SCHEMA)
+    history = history_table(spark, "tx", TX_SCHEMA, "u_at")
     history.append_batch(tx_history(spark, sf), "all")
     serving = new_table(spark, "serving", TX_SCHEMA, (), ("k",))
     serving.overwrite(tx_target(spark, sf))

@@ -45,11 +45,12 @@ def main() -> None:
 
     args = argparse.ArgumentParser()
     args.add_argument("--sf", default="/root/testdata/sf0.01")
-    args.add_argument("--zone", default="UTC")
+    args.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE")
     args.add_argument("names", nargs="*")
     given = args.parse_args()
-    spark = build_session(master="local[8]", shuffle_partitions=8,
-                          **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g", "spark.sql.session.timeZone": given.zone})
+    spark = build_session(master="local[8]", shuffle_partitions=8, **{
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
+        **dict(c.split("=", 1) for c in given.conf)})
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle(given.sf)
     bad = 0

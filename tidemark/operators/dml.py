@@ -50,4 +50,5 @@ def _rewrite(table: LakeTable, where: str, change) -> None:
     # Only the predicate's and the partition columns are read to find the partitions.
     touched = table.partition_values(table.read().where(F.expr(where)))
     if touched:
-        table.replace_partitions(change(table.only(touched)), touched)
+        # No row changes its partition, so each is written by the task that read it.
+        table.publish(table.shaped(change(table.only(touched))), touched)

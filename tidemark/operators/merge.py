@@ -15,6 +15,11 @@ from tidemark.session import staged
 from tidemark.tables import LakeTable
 
 
+# A batch is broadcast up to these sizes: stored (compressed) bytes, and rows.
+BROADCAST_BYTES = 8 << 20
+BROADCAST_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class Update:
     """WHEN MATCHED [AND when] THEN UPDATE SET column = expression, over aliases ``t`` and ``s``."""
@@ -162,25 +167,37 @@ def _inserts(fresh: DataFrame, spec: MergeSpec, source_columns: list[str], schem
     return fresh.where(choice >= 0).select(*[value(f) for f in schema.fields])
 
 
-def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False) -> DataFrame:
+def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False,
+          broadcast_source: bool = False) -> DataFrame:
     """The target after the merge.
 
-    Two branches: target rows with their match, if any (a left join, which AQE can
-    split on a hot target key and which broadcasts a small batch instead of moving
-    the target), and source rows without a match.  The second branch reads only the
-    target's key columns, reduced to distinct matched keys before the anti join.
+    Two branches: target rows with their match, if any, and source rows without one.
+    The first is a left join, which AQE can split on a hot target key.  The second
+    needs the target's key columns only, reduced to distinct keys before they are
+    moved, so a key with very many rows costs one row per task.
 
     ``unique_source`` states that the source holds one row per ``on`` key already,
     as :func:`latest_per_key` guarantees; otherwise that is checked.
+    ``broadcast_source`` states that the source was found small (see
+    :func:`merge_table`): then the target is not shuffled at all.  The source is read
+    once per branch; store a costly one first.
     """
+    kept, added = merge_branches(target, source, spec, unique_source=unique_source, broadcast_source=broadcast_source)
+    return kept if added is None else kept.unionByName(added)
+
+
+def merge_branches(target: DataFrame, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False,
+                   broadcast_source: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """The two branches of :func:`merge`: rows that were there, and rows that are new."""
     columns = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
     if not unique_source:
         source = require_unique(source, spec.on)
     t = _with_keys(target, spec.on, "t").alias("t")
     s = _with_keys(source, spec.on, "s").alias("s")
+    side = F.broadcast if broadcast_source else (lambda df: df)
 
-    joined = t.join(s, _equal(spec.on, "t", "s"), "left_outer")
+    joined = t.join(side(s), _equal(spec.on, "t", "s"), "left_outer")
     # An equality match needs a non-NULL key, so this tells matched rows apart.
     matched = F.col(_key_names(spec.on, "s")[0]).isNotNull()
     action = F.when(matched, _first_true(spec.matched)).otherwise(-1)
@@ -199,15 +216,14 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, unique_sourc
     kept = joined.where(~action.isin(deletes)) if deletes else joined
     kept = kept.select(*[result(c) for c in columns])
     if not spec.not_matched:
-        return kept
+        return kept, None
 
-    known = (
-        t.select(*_key_names(spec.on, "t"))
-        .join(s.select(*_key_names(spec.on, "s")), _equal(spec.on, "t", "s"), "left_semi")
-        .distinct()
-    )
-    fresh = s.join(known, _equal(spec.on, "s", "t"), "left_anti")
-    return kept.unionByName(_inserts(fresh, spec, source.columns, target.schema))
+    known = t.select(*_key_names(spec.on, "t"))
+    if broadcast_source:
+        known = known.join(side(s.select(*_key_names(spec.on, "s"))), _equal(spec.on, "t", "s"), "left_semi")
+    known = known.distinct()
+    fresh = s.join(side(known), _equal(spec.on, "s", "t"), "left_anti")
+    return kept, _inserts(fresh, spec, source.columns, target.schema)
 
 
 def merge_into_nothing(source: DataFrame, spec: MergeSpec, schema: T.StructType, *, unique_source: bool = False) -> DataFrame:
@@ -223,34 +239,63 @@ def _with_partitions(table: LakeTable, spec: MergeSpec) -> MergeSpec:
     return replace(spec, on=spec.on + implied)
 
 
-def _touched(table: LakeTable, source: DataFrame, spec: MergeSpec) -> set[tuple]:
-    """Partitions a merge can change: where the batch's rows go and where their matches are."""
-    touched = set(table.partition_values(source))
-    if not set(table.partition_by) <= set(spec.on):
-        t = _with_keys(table.read(), spec.on, "t")
-        s = _with_keys(source, spec.on, "s").select(*_key_names(spec.on, "s"))
-        touched |= set(table.partition_values(t.join(s, _equal(spec.on, "t", "s"), "left_semi")))
-    return touched
+def _is_small(rows: int, size: int) -> bool:
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def _matched_partitions(table: LakeTable, source: DataFrame, spec: MergeSpec, small: bool) -> set[tuple]:
+    """Partitions of the target rows the batch matches, where the keys do not tell."""
+    target = _with_keys(table.read(), spec.on, "t").select(*table.partition_by, *_key_names(spec.on, "t"))
+    keys = _with_keys(source, spec.on, "s").select(*_key_names(spec.on, "s"))
+    if small:
+        keys = F.broadcast(keys)
+    else:
+        target = target.distinct()  # combined before the shuffle, so a hot key stays small
+    return set(table.partition_values(target.join(keys, _equal(spec.on, "t", "s"), "left_semi")))
+
+
+def _moved(table: LakeTable, spec: MergeSpec) -> bool:
+    """Can an update put a row into another partition?"""
+    sources = set(table.partition_by) | {d.source for _, d in table.derived}
+    assigned = {c for clause in spec.matched if isinstance(clause, Update) for c, _ in clause.set}
+    return bool((sources & assigned) - set(spec.on))
+
+
+def _publish(table: LakeTable, kept: DataFrame, added: DataFrame | None, touched: set[tuple], exchange: bool) -> None:
+    """Kept rows are written where they were read unless the join or an update moved them."""
+    kept = table.shaped(kept)
+    if exchange:
+        kept = table.spread(kept)
+    table.publish(kept if added is None else kept.unionByName(table.spread(table.shaped(added))), touched)
 
 
 def merge_table(table: LakeTable, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False) -> None:
     """Merge a batch into a catalog table, rewriting only the partitions it touches.
 
-    If the ``on`` keys settle the partition, those are the batch's own partitions;
-    otherwise the target's key columns are searched for matches first.
+    The batch is stored first, which gives its exact rows and bytes; only a batch
+    within ``BROADCAST_ROWS`` and ``BROADCAST_BYTES`` is broadcast.  If the ``on``
+    keys settle the partition, the touched partitions are the batch's own; otherwise
+    the target's key columns are searched for matches as well.
     """
     source = table.with_derived(source)
     if table.is_empty():
         table.overwrite(merge_into_nothing(source, spec, table.schema, unique_source=unique_source))
         return
     spec = _with_partitions(table, spec)
-    with staged(source) as batch:
-        if not table.partition_by:
-            table.overwrite(merge(table.read(), batch, spec, unique_source=unique_source))
+    with staged(source) as (batch, size):
+        held = batch.groupBy(*table.partition_by).count().collect()
+        rows = sum(r["count"] for r in held)
+        if not rows:
             return
-        touched = _touched(table, batch, spec)
-        if touched:
-            table.replace_partitions(merge(table.only(touched), batch, spec, unique_source=unique_source), touched)
+        small = _is_small(rows, size)
+        target, touched = table.read(), set()
+        if table.partition_by:
+            touched = {tuple(r)[:-1] for r in held}
+            if not set(table.partition_by) <= set(spec.on):
+                touched |= _matched_partitions(table, batch, spec, small)
+            target = table.only(touched)
+        kept, added = merge_branches(target, batch, spec, unique_source=unique_source, broadcast_source=small)
+        _publish(table, kept, added, touched, _moved(table, spec) or not small)
 
 
 def merge_statement(name: str, spec: MergeSpec) -> str:

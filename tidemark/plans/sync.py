@@ -7,22 +7,22 @@ same run end: batches replace themselves, exports replace their folder.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.functions.timewin import DEFAULT_ZONE, batch_date, previous_day_window
+from tidemark.functions.timewin import DEFAULT_ZONE, batch_date, lookback_cutoff, previous_day_window
 from tidemark.model import ChangeTable
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.evolve import evolve_append
 from tidemark.operators.merge import MergeSpec, hard_delete_guarded, merge_table, soft_delete
 from tidemark.sinks.files import batch_name, export_dated, export_micros
-from tidemark.sources.extract import extract_for_load, extract_previous_day, extract_recent
+from tidemark.sources.extract import extract_for_load, extract_previous_day
 from tidemark.sources.files import export_folder, scan_hive_repaired
 from tidemark.sources.json_rows import json_to_rows, rows_to_json
 from tidemark.streaming.ingest import ingest_batch, ingest_ephemeral
-from tidemark.tables import BATCH, LakeTable, by_range, create_table, open_table, table_exists
+from tidemark.tables import LakeTable, by_range, create_table, open_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -46,9 +46,8 @@ def merge_recent(history: LakeTable, serving: LakeTable, change: ChangeTable, sp
     The filter comes before the deduplication, so a key is represented by its newest
     row inside the look-back.
     """
-    changes = history.read().drop(BATCH)
-    if days is not None:
-        changes = extract_recent(changes, change.version, now, zone, days)
+    low = None if days is None else lookback_cutoff(now, zone, days)
+    changes = history.range(change.version, low).select(*change.columns)
     merge_table(serving, latest_per_key(changes, change.key, change.version), spec, unique_source=True)
 
 
@@ -111,7 +110,8 @@ def sync_dated(source: DataFrame, landing: str, history: LakeTable, serving: Lak
     folder = export_dated(rows, landing, run_end, schema, zone)
     day = batch_date(run_end, zone)
     ingest_batch(history, f"{export_folder(landing, day)}/*.parquet", day, schema)
-    changes = extract_for_load(history.read().drop(BATCH), change.version, is_initial, change_day)
+    ends = (None, None) if is_initial else (change_day, change_day + timedelta(days=1))
+    changes = history.range(change.version, *ends, closed="left").select(*change.columns)
     newest = latest_per_key(changes, change.key, change.version)
     merge_table(serving, newest, spec or soft_delete(change), unique_source=True)
     return Load(is_initial, day, folder is not None)

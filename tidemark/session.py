@@ -74,13 +74,15 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
 
 
 @contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """A stored copy for one operation; it is removed on exit."""
-    path = scratch_dir(df.sparkSession, "stage")
+def staged(df: DataFrame) -> Iterator[tuple[DataFrame, int]]:
+    """A stored copy for one operation, with its size in bytes; it is removed on exit."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "stage")
     try:
-        yield stored(df, path)
+        copy = stored(df, path)
+        yield copy, path_bytes(spark, path)
     finally:
-        delete_path(df.sparkSession, path)
+        delete_path(spark, path)
 
 
 @contextmanager
@@ -107,6 +109,12 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total length of the files below a path."""
+    fs, hadoop_path = _path(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def list_glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching a glob; used for folders, never for the files of a table."""
     fs, path = _path(spark, pattern)

@@ -116,7 +116,7 @@ def merge_stream(history: LakeTable, serving: LakeTable, change: ChangeTable, sp
     def step(batch: DataFrame, number: int) -> None:
         name = _batch_name(prefix, number)
         history.append_batch(batch, name)
-        stored = history.read().where(F.col(BATCH) == name).drop(BATCH)
+        stored = history.read().where(F.col(BATCH) == name).select(*change.columns)
         merge_table(serving, latest_per_key(stored, change.key, change.version), spec, unique_source=True)
 
     return _run(stream_files(history.spark, pattern, schema, max_files), checkpoint, step)

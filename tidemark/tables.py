@@ -182,20 +182,28 @@ class LakeTable:
     def only(self, values: Iterable[Values]) -> DataFrame:
         return self.read().where(partition_filter(self.partition_by, values))
 
-    def between(self, column: str, low, high) -> DataFrame:
-        """Rows with ``low <= column <= high``; partitions derived from the column are pruned too.
+    def range(self, column: str, low=None, high=None, closed: str = "both") -> DataFrame:
+        """Rows with ``low <= column <= high`` (``closed="left"``: ``< high``); None is an open end.
 
-        The readers of a partitioned table need not know how its folders follow from
-        the column.
+        Partitions derived from the column are pruned by the same bounds, so readers
+        need not know how the folders follow from it, and no file of a pruned folder
+        is listed or opened.
         """
         rows = self.read()
         dtype = rows.schema[column].dataType
-        numeric = isinstance(dtype, T.NumericType)
-        ends = [F.lit(v) if numeric else instant_literal(v, dtype) for v in (low, high)]
-        rows = rows.where(F.col(column).between(*ends))
-        for name, rule in self.derived:
-            if rule.source == column:
-                rows = rows.where(F.col(name).between(*[rule.value(e, dtype) for e in ends]))
+        derived = [(F.col(n), d) for n, d in self.derived if d.source == column]
+
+        def bound(value) -> Column:
+            return F.lit(value) if isinstance(dtype, T.NumericType) else instant_literal(value, dtype)
+
+        if low is not None:
+            rows = rows.where(F.col(column) >= bound(low))
+            for folder, rule in derived:
+                rows = rows.where(folder >= rule.value(bound(low), dtype))
+        if high is not None:
+            rows = rows.where(F.col(column) <= bound(high) if closed == "both" else F.col(column) < bound(high))
+            for folder, rule in derived:
+                rows = rows.where(folder <= rule.value(bound(high), dtype))
         return rows
 
     # --- writing ---------------------------------------------------------------
@@ -214,30 +222,32 @@ class LakeTable:
             for f in self.schema.fields
         ])
 
-    def laid_out(self, df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
-        """Rows of a partition side by side and sorted by the cluster columns.
+    def spread(self, df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
+        """Rows of a partition side by side.
 
         REBALANCE lets AQE merge small partitions into one task and cut a big one
         into several, so a day that holds a third of the rows is not one task's work.
         Columns in ``skip`` are constant and need no exchange.
         """
-        spread = [c for c in self.partition_by if c not in skip]
-        if spread:
-            df = df.hint("rebalance", *spread)
+        by = [c for c in self.partition_by if c not in skip]
+        return df.hint("rebalance", *by) if by else df
+
+    def sorted(self, df: DataFrame) -> DataFrame:
+        """Each task's rows by partition, then by the cluster columns."""
         order = (*self.partition_by, *self.cluster_by)
-        return df.sortWithinPartitions(*order) if spread or self.cluster_by else df
+        return df.sortWithinPartitions(*order) if order else df
 
-    def _write_version(self, df: DataFrame, constant: tuple[str, ...] = ()) -> str:
+    def _write_version(self, df: DataFrame) -> str:
         version = f"{self.root}/v-{uuid.uuid4().hex}"
         with micros_writer(self.spark):
-            writer = self.laid_out(self.shaped(df), constant).write
+            writer = self.sorted(df).write
             (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(version)
         return version
 
     def insert(self, df: DataFrame) -> None:
         """INSERT: add files to the partitions as they are."""
         with micros_writer(self.spark):
-            self.laid_out(self.shaped(df)).write.insertInto(self.name)
+            self.sorted(self.spread(self.shaped(df))).write.insertInto(self.name)
 
     def append_batch(self, df: DataFrame, batch_id: str) -> None:
         """Append a batch under its own ``batch_id`` partition.
@@ -248,17 +258,24 @@ class LakeTable:
         if not self.partition_by or self.partition_by[0] != BATCH:
             raise ValueError(f"{self.name} is not partitioned by {BATCH} first")
         before = self.partitions(batch_id)
-        self.replace_partitions(df.withColumn(BATCH, F.lit(batch_id)), before, known=before, constant=(BATCH,))
+        rows = self.spread(self.shaped(df.withColumn(BATCH, F.lit(batch_id))), skip=(BATCH,))
+        self.publish(rows, before, before)
 
-    def replace_partitions(self, df: DataFrame, touched: Iterable[Values],
-                           known: Iterable[Values] | None = None, constant: tuple[str, ...] = ()) -> None:
+    def replace_partitions(self, df: DataFrame, touched: Iterable[Values]) -> None:
         """Publish ``df`` as the whole new content of the ``touched`` partitions.
 
         A touched partition without rows in ``df`` is dropped from the catalog.
-        ``known`` are the partitions the catalog has, where the caller listed them;
-        ``constant`` are partition columns with one value in ``df``.
         """
-        version = self._write_version(df, constant)
+        self.publish(self.spread(self.shaped(df)), touched)
+
+    def publish(self, rows: DataFrame, touched: Iterable[Values], known: Iterable[Values] | None = None) -> None:
+        """:meth:`replace_partitions` for rows in the table's shape, written from the tasks they are in.
+
+        Rows that were read from this table still lie by partition and need no
+        exchange.  ``known`` are the catalog's partitions, where the caller listed
+        them.
+        """
+        version = self._write_version(rows)
         if not self.partition_by:
             self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION {_quoted(version)}")
             self.spark.catalog.refreshTable(self.name)
