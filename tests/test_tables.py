@@ -56,6 +56,23 @@ def test_replaced_files_stay_until_cleaned_up(spark, make_table):
     assert table.partitions() == [("b",)] and retained_files(table).count() == 2
 
 
+@pytest.mark.parametrize("layout", [{}, {"partition_by": ("p",)}])
+def test_create_or_replace_starts_empty(spark, make_table, layout):
+    table = make_table(SCHEMA, **layout)
+    insert_rows(table, frame(spark, (1, 1.0, "a")))
+    table.overwrite(frame(spark, (2, 2.0, "b")))
+    fresh = create_table(spark, table.name, SCHEMA, table.root, replace=True, **layout)
+    assert fresh.is_empty()
+    insert_rows(fresh, frame(spark, (3, 3.0, "a")))
+    assert rows(fresh.read()) == [(3, 3.0, "a")]
+    present = {r.path for r in file_inventory(spark, fresh.root).collect()}
+    active = {r.path for r in active_files(fresh).collect()}
+    retained = {r.path for r in retained_files(fresh).collect()}
+    held = spark.read.schema(SCHEMA).option("recursiveFileLookup", True).parquet(*retained)
+    assert active | retained == present and not active & retained
+    assert sorted(r.k for r in held.collect()) == [1, 2]
+
+
 def test_failed_write_leaves_the_table_as_it_was(spark, make_table):
     table = make_table(SCHEMA, partition_by=("p",))
     table.overwrite(frame(spark, (1, 1.0, "a")))
@@ -161,6 +178,39 @@ def test_filter_on_the_source_column_prunes_derived_partitions(spark, make_table
     assert plan.count("/m=") <= 2 and "PartitionFilters" in plan
 
 
+def test_instant_ranges_prune_their_utc_day(spark, make_table):
+    table = make_table(fields("k bigint,at timestamp"), partition_by=("day",), derived={"day": by_day("at")})
+    table.overwrite(spark.sql("select id k, timestamp'2024-01-01T00:00:00Z' + make_dt_interval(0, cast(id as int)) at from range(240)"))
+    late = table.range("at", "2024-01-09 12:00:00")
+    assert late.count() == 36
+    plan = explained(late)
+    assert ">= 2024-01-09)]" in plan and "... 1 entries]" in plan
+    assert table.range("at", "2024-01-02", "2024-01-03", closed="left").count() == 24
+    assert table.range("at", None, "2024-01-01 05:00:00").count() == 6
+    assert table.range("k", 10, 12).count() == 3
+
+
+def test_rewrites_in_place_need_no_exchange(spark, make_table, monkeypatch):
+    """Updates, deletes and small merges leave rows in the task that read them."""
+    from tidemark.model import ChangeTable
+    from tidemark.operators.merge import merge_table, soft_delete
+
+    table = make_table(fields("k string,v int,p string,at int,gone int"), partition_by=("p",))
+    data = spark.createDataFrame([(str(i), i, 1, None, "ab"[i % 2]) for i in range(50)], table.schema)
+    table.overwrite(data)
+    plans = []
+    publish = table.__class__.publish
+    monkeypatch.setattr(table.__class__, "publish", lambda self, df, *a: plans.append(explained(df)) or publish(self, df, *a))
+    update_table(table, {"v": "-1"}, "k = '1'")
+    delete_table(table, "k = '2'")
+    assert all("Exchange" not in p for p in plans)
+    change = ChangeTable(("k",), "at", "gone", table.schema, partition="p")
+    merge_table(table, table.read().where("k < '20'").withColumn("v", F.lit(1000)), soft_delete(change), unique_source=True)
+    kept = plans[-1]
+    assert "BroadcastHashJoin LeftOuter" in kept and kept.count("REBALANCE") == 1
+    assert table.read().count() == 49 and table.read().where("v = 1000").count() == 12
+
+
 def test_partition_filter_is_balanced(spark):
     many = [(i, f"p{i}") for i in range(3000)]
     df = spark.range(3).selectExpr("cast(id as int) a", "concat('p', id) b")

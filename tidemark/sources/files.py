@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,10 +77,23 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def active_files(table: LakeTable) -> DataFrame:
-    """Files the table's current content is read from.
+def active_folders(table: LakeTable) -> DataFrame:
+    """Folders the table's current content is read from.
 
     Column pruning leaves a scan of row counts, and the partial aggregate turns each
-    file into one row before the shuffle.
+    task's rows into a few folders before the shuffle.
+    """
+    return table.read().select(folder_of(F.col("_metadata.file_path")).alias("folder")).distinct()
+
+
+def active_files(table: LakeTable) -> DataFrame:
+    """Files of the current content, those without rows included.
+
+    A partition is published as a folder, so a folder is active as a whole.
     """
-    return table.read().select(F.col("_metadata.file_path").alias("path")).distinct()
+    files = file_inventory(table.spark, table.root).withColumn("folder", folder_of(F.col("path")))
+    return files.join(active_folders(table), "folder", "left_semi").drop("folder")
+
+
+def folder_of(path: Column) -> Column:
+    return F.regexp_extract(path, "^(.*)/[^/]*$", 1)

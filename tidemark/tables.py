@@ -338,8 +338,8 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str, *,
                  partition_by: tuple[str, ...] = (), cluster_by: tuple[str, ...] = (),
-                 derived: dict[str, Derived] | None = None, if_not_exists: bool = True) -> LakeTable:
-    """CREATE TABLE [IF NOT EXISTS] with partition and cluster columns, no rows.
+                 derived: dict[str, Derived] | None = None, replace: bool = False) -> LakeTable:
+    """CREATE TABLE IF NOT EXISTS, or CREATE OR REPLACE, with partition and cluster columns and no rows.
 
     Plain Parquet tables partition by stored columns only.  A column in ``derived``
     is added to the schema and filled on every write, e.g.
@@ -358,9 +358,12 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, root: str
     properties = {ROOT: root, CLUSTER: ",".join(cluster_by)}
     properties |= {DERIVED + n: f"{d.source}|{d.rule}" for n, d in derived.items()}
     listed = ", ".join(f"{_quoted(k)}={_quoted(v)}" for k, v in properties.items())
+    if replace:
+        # Plain Parquet tables have no CREATE OR REPLACE; the old files stay on storage.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}{name} ({columns}) USING parquet {layout} "
-        f"LOCATION {_quoted(root + '/v-0')} TBLPROPERTIES ({listed})"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {layout} "
+        f"LOCATION {_quoted(f'{root}/v-{uuid.uuid4().hex}')} TBLPROPERTIES ({listed})"
     )
     return open_table(spark, name)
 
