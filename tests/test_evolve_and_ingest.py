@@ -142,6 +142,21 @@ def test_stream_takes_each_file_once(spark, folder, make_history):
     assert keys(table) == [1, 2, 3]
 
 
+def test_stream_writes_microseconds_in_its_own_session(spark, folder, make_history):
+    import pyarrow.parquet as pq
+
+    schema = fields("k bigint,at timestamp")
+    table, root = make_history(schema), folder()
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    try:
+        spark.sql("select 1L k, timestamp'2024-01-01T00:00:00Z' at").write.parquet(f"{root}/export_1")
+        ingest_stream(table, f"{root}/export_*", schema, folder())
+    finally:
+        spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    file = table.read().select("_metadata.file_path").first()[0]
+    assert str(pq.read_schema("/" + file.removeprefix("file:").lstrip("/")).field("at").type) == "timestamp[us, tz=UTC]"
+
+
 def test_replayed_micro_batch_is_stored_once(spark, folder, make_history, monkeypatch):
     """The process dies after the append but before the checkpoint is committed."""
     table, root, checkpoint = make_history(EVENT), folder(), folder()

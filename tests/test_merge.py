@@ -124,6 +124,14 @@ def test_first_true_clause_wins_and_null_conditions_are_false(spark):
     assert rows(merge_into_nothing(frame(spark, source), spec, SCHEMA)) == rows(merge(frame(spark, []), frame(spark, source), spec))
 
 
+def test_unknown_columns_are_refused(spark):
+    for spec in (MergeSpec(("id",), (Update(from_source("nope")),)), MergeSpec(("id",), (), (Insert(columns=("id", "nope")),))):
+        with pytest.raises(ValueError, match="nope"):
+            merge(frame(spark, [OLD]), frame(spark, [LIVE]), spec)
+        with pytest.raises(ValueError, match="nope"):
+            merge_into_nothing(frame(spark, [LIVE]), spec, SCHEMA)
+
+
 def test_expression_keys(spark):
     spec = MergeSpec(("lower(id)",), (Update(from_source("name")),), (Insert(),))
     assert [r[:2] for r in result(spark, [OLD], [("A", "new", D1, 1, 1, None)], spec)] == [("a", "new")]

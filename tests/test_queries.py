@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.conftest import SMALL
-from tidemark.checks.run import expected, oracle, rows_of
+from tidemark.checks.run import expected, oracle, rows_of, types_of
 
 ROOT = Path(__file__).parent.parent
 
@@ -22,8 +22,8 @@ def test_query(spark, con, name):
     frame = driver.queries()[name](spark, SMALL)
     got = rows_of(frame)
     if name in driver.oracle_sql():
-        columns, want, _ = expected(con, driver.oracle_sql()[name])
-        assert sorted(frame.columns) == columns
+        columns, want, kinds = expected(con, driver.oracle_sql()[name])
+        assert sorted(frame.columns) == columns and types_of(frame) == kinds
         assert got == want
 
 

@@ -136,6 +136,8 @@ def test_update_and_delete_follow_three_valued_logic(spark, make_table):
 def test_update_reads_old_values(spark):
     swapped = update(frame(spark, (1, 2.0, "a")), {"k": "v", "v": "k"}, "true")
     assert rows(swapped) == [(2, 1.0, "a")]
+    with pytest.raises(ValueError, match="nope"):
+        update(frame(spark, (1, 2.0, "a")), {"nope": "1"}, "true")
 
 
 def test_update_rewrites_only_matching_partitions(spark, make_table):

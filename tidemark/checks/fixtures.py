@@ -6,6 +6,8 @@ Each frame has a SQL twin.  Instants stay zone-less, as the tables hold them.
 from __future__ import annotations
 
 import uuid
+from datetime import UTC, datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.model import ChangeTable
 from tidemark.session import scratch_dir, scratch_root
+from tidemark.sinks.files import export_dated
 from tidemark.tables import Derived, LakeTable, by_month, create_table, with_batch
 
 WORK_DB = "tidemark_work"
@@ -50,17 +53,17 @@ def hours(n: Column) -> Column:
 
 
 def tx_target(spark: SparkSession, sf: str) -> DataFrame:
-    """Serving rows before the merge: every order except one tenth."""
-    o = table(spark, sf, "orders").where(F.col("o_orderkey") % 10 != 7)
+    """Serving rows before the merge: every order that is not pending."""
+    o = table(spark, sf, "orders").where(F.col("o_orderstatus") != "P")
     return _tx(o, F.col("o_totalprice"), F.col("o_orderdate"), F.lit(None))
 
 
 def tx_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Two versions of two fifths of the keys; some end deleted, some are unknown to the target."""
-    o = table(spark, sf, "orders").where((F.col("o_orderkey") % 5).isin(2, 3))
+    """Two versions of every order but those of low priority; urgent ones end deleted, pending ones are unknown to the target."""
+    o = table(spark, sf, "orders").where(F.col("o_orderpriority") != "5-LOW")
     o = o.withColumn("v", F.explode(F.array(F.lit(1), F.lit(2))))
     changed = F.col("o_orderdate") + days(F.col("v"))
-    deleted = (F.col("o_orderkey") % 10).isin(2, 7) & (F.col("o_orderkey") % 3 == 0) & (F.col("v") == 2)
+    deleted = (F.col("o_orderpriority") == "1-URGENT") & (F.col("v") == 2)
     return _tx(o, F.col("o_totalprice") + 700 * F.col("v"), changed, F.when(deleted, changed))
 
 
@@ -82,13 +85,12 @@ def _tx(o: DataFrame, amount: Column, changed: Column, deleted: Column) -> DataF
 TGT_SQL = """
 tgt as (select cast(o_orderkey as varchar) k, o_totalprice amt, o_orderstatus st, cast(o_orderdate as date) d,
                o_orderdate c_at, o_orderdate u_at, case when false then o_orderdate end del
-        from orders where o_orderkey % 10 <> 7)"""
+        from orders where o_orderstatus <> 'P')"""
 HIST_SQL = """
 hist as (select cast(o_orderkey as varchar) k, o_totalprice + 700 * v amt, o_orderstatus st,
                 cast(o_orderdate as date) d, o_orderdate c_at, o_orderdate + v * interval '1' day u_at,
-                case when o_orderkey % 10 in (2, 7) and o_orderkey % 3 = 0 and v = 2
-                     then o_orderdate + v * interval '1' day end del
-         from orders cross join (values (1), (2)) x(v) where o_orderkey % 5 in (2, 3))"""
+                case when o_orderpriority = '1-URGENT' and v = 2 then o_orderdate + v * interval '1' day end del
+         from orders cross join (values (1), (2)) x(v) where o_orderpriority <> '5-LOW')"""
 SRC_SQL = """
 src as (select k, amt, st, d, c_at, u_at, del
         from (select *, row_number() over (partition by k order by u_at desc) rn from hist) q where rn = 1)"""
@@ -156,6 +158,35 @@ taxi as (select cast(l_suppkey % 2 + 1 as integer) vendor_id, l_shipdate pickup_
          from lineitem)"""
 
 
+# --- runs, from events ----------------------------------------------------------------
+
+
+class Run(NamedTuple):
+    """One run of a dated flow: the change times it takes, and its end."""
+
+    low: str
+    high: str
+    run_end: datetime
+
+
+# Together the runs take every event; each lands in the folder of its end's date in Jakarta.
+RUNS = (
+    Run("2000-01-01", "2024-01-10", datetime(2024, 1, 9, 20, tzinfo=UTC)),
+    Run("2024-01-10", "2024-01-20", datetime(2024, 1, 19, 20, tzinfo=UTC)),
+    Run("2024-01-20", "2100-01-01", datetime(2024, 1, 30, 20, tzinfo=UTC)),
+)
+
+
+def landed_by_run(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
+    """A landing prefix with one dated folder per run, holding all events."""
+    events = table(spark, sf, "events")
+    landing = scratch_dir(spark, "dated")
+    for run in RUNS:
+        rows = events.where((F.col("ts") >= civil(run.low)) & (F.col("ts") < civil(run.high)))
+        export_dated(rows, landing, run.run_end, events.schema)
+    return landing, events.schema
+
+
 # --- places to write ------------------------------------------------------------------
 
 

@@ -10,12 +10,13 @@ from pyspark.sql import types as T
 
 from tidemark.checks.changes import HARD_SQL, SOFT_SQL
 from tidemark.checks.fixtures import (
-    HIST_SQL, MERGE_SQL, TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, TX, TX_SCHEMA, TXSRC_SQL, USER, USER_SCHEMA,
-    USERS_SQL, days, folder, history_table, hive_folders, monthly_table, new_table, table, taxi, tx_history, tx_source, tx_target,
-    users,
+    HIST_SQL, MERGE_SQL, RUNS, TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, TX, TX_SCHEMA, TXSRC_SQL, USER, USER_SCHEMA, USERS_SQL,
+    days, folder, history_table, hive_folders, landed_by_run, monthly_table, new_table, table, taxi, tx_history, tx_source,
+    tx_target, users,
 )
 from tidemark.checks.registry import query
-from tidemark.functions.timewin import naive_utc
+from tidemark.functions.timewin import batch_date, naive_utc
+from tidemark.model import TRANSAKSI
 from tidemark.operators.dml import delete_table, update_table
 from tidemark.operators.evolve import evolve_append, schema_diff
 from tidemark.operators.merge import hard_delete_guarded, soft_delete
@@ -23,9 +24,7 @@ from tidemark.operators.storage import footprint, retained_files, storage_report
 from tidemark.plans.sync import (
     export_load, merge_recent, migrate_hive, sync_dated, sync_direct, sync_evolving, sync_landing,
 )
-from tidemark.model import TRANSAKSI
 from tidemark.sinks.files import export_dated, export_micros
-from tidemark.sources.extract import extract_day
 from tidemark.sources.files import active_files, export_folder, file_inventory, scan_dated, scan_glob
 from tidemark.sources.footers import file_fields, schema_union
 from tidemark.sources.json_rows import json_to_rows, rows_to_json
@@ -68,17 +67,15 @@ def hidden_partition_scan(spark: SparkSession, sf: str) -> DataFrame:
 # --- ingest ---------------------------------------------------------------------------
 
 
-@query("""select *, strftime(ts, '%Y%m%d') as batch_id from events
-where cast(ts as date) in (date '2024-01-09', date '2024-01-10')""")
-def ingest_dated_prefix(spark: SparkSession, sf: str) -> DataFrame:
-    """Each run reads its own folder; the first folder is ingested twice and counts once."""
-    events = table(spark, sf, "events")
-    landing = folder(spark, "dated")
-    history = history_table(spark, "events", events.schema)
-    for day in (date(2024, 1, 9), date(2024, 1, 10)):
-        export_micros(extract_day(events, "ts", day), export_folder(landing, f"{day:%Y%m%d}"))
-    for batch in ("20240109", "20240110", "20240109"):
-        ingest_batch(history, f"{export_folder(landing, batch)}/*.parquet", batch, events.schema)
+@query("""select *, case when ts < timestamp '2024-01-10 00:00:00' then '20240110'
+when ts < timestamp '2024-01-20 00:00:00' then '20240120' else '20240131' end as batch_id from events""")
+def ingest_immutable_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Each run reads its own folder, all folders stay; the first is ingested twice and counts once."""
+    landing, schema = landed_by_run(spark, sf)
+    history = history_table(spark, "events", schema)
+    days = [batch_date(run.run_end) for run in RUNS]
+    for day in (*days, days[0]):
+        ingest_batch(history, f"{export_folder(landing, day)}/*.parquet", day, schema)
     return history.read()
 
 
@@ -173,9 +170,9 @@ def _drifted(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
         F.col("o_orderdate").cast("date").alias("order_date"), F.col("o_orderdate").alias("created_at"),
         (F.col("o_orderkey") % 9).cast("int").alias("item_count"),
     ]
-    even = F.col("o_orderkey") % 2 == 0
-    export_micros(o.where(even).select(*base), f"{landing}/batch_1")
-    export_micros(o.where(~even).select(*base, *extra), f"{landing}/batch_2")
+    filled = F.col("o_orderstatus") == "F"
+    export_micros(o.where(filled).select(*base), f"{landing}/batch_1")
+    export_micros(o.where(~filled).select(*base, *extra), f"{landing}/batch_2")
     return landing, o
 
 
@@ -197,9 +194,9 @@ def schema_diff_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 EVOLVED_SQL = """select o_orderkey order_id, o_custkey customer_id, o_orderstatus status,
-case when o_orderkey % 2 = 1 then cast(o_orderdate as date) end order_date,
-case when o_orderkey % 2 = 1 then strftime(o_orderdate, '%Y-%m-%d') end created_day,
-case when o_orderkey % 2 = 1 then o_orderkey % 9 end item_count from orders"""
+case when o_orderstatus <> 'F' then cast(o_orderdate as date) end order_date,
+case when o_orderstatus <> 'F' then strftime(o_orderdate, '%Y-%m-%d') end created_day,
+case when o_orderstatus <> 'F' then o_orderkey % 9 end item_count from orders"""
 
 
 def _evolved_rows(df: DataFrame) -> DataFrame:
@@ -315,7 +312,7 @@ def insert_from_json(spark: SparkSession, sf: str) -> DataFrame:
 
 DIRECT_SQL = f"""with {USERS_SQL},
 before as (select id, 'old' as name, email, created_at, created_at as updated_at, case when false then created_at end deleted_at
-           from users where cast(id as bigint) % 3 <> 0),
+           from users where email <> 'BUILDING'),
 batch as (select * from users where updated_at >= timestamp '2026-08-15 00:00:00' and updated_at <= timestamp '2026-08-15 23:59:59')
 select coalesce(t.id, s.id) id, case when s.id is not null then s.name else t.name end as name,
        case when s.id is not null then s.email else t.email end as email, coalesce(t.created_at, s.created_at) created_at,
@@ -327,7 +324,7 @@ from before t full outer join batch s on t.id = s.id where s.id is null or s.del
 def _user_tables(spark: SparkSession, sf: str):
     history = history_table(spark, "users", USER_SCHEMA, "updated_at")
     serving = new_table(spark, "main_users", USER_SCHEMA, ("made",), ("id",), {"made": by_day("created_at")})
-    known = users(spark, sf).where(F.col("id").cast("bigint") % 3 != 0)
+    known = users(spark, sf).where("email <> 'BUILDING'")
     serving.overwrite(known.withColumns({
         "name": F.lit("old"), "updated_at": F.col("created_at"), "deleted_at": F.lit(None).cast("timestamp_ntz")}))
     return history, serving
@@ -346,7 +343,7 @@ def sync_direct_users(spark: SparkSession, sf: str) -> DataFrame:
 def sync_landing_users(spark: SparkSession, sf: str) -> DataFrame:
     """Export to the landing folder, append and clear it, merge what changed in the look-back."""
     history, serving = _user_tables(spark, sf)
-    history.append_batch(users(spark, sf).where("updated_at < timestamp_ntz'2026-08-01 00:00:00' OR id = '0'"), "first")
+    history.append_batch(users(spark, sf).where("updated_at < timestamp_ntz'2026-08-10 00:00:00'"), "first")
     sync_landing(users(spark, sf), folder(spark, "landing"), history, serving, USER, USERS_RUN)
     return serving.read().drop("made")
 

@@ -12,6 +12,15 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 
+# The type each Spark type is compared with.
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP"}
+
+
+def types_of(frame) -> list[str]:
+    return [SQL_TYPES[frame.schema[c].dataType.simpleString()] for c in sorted(frame.columns)]
+
+
 def rows_of(frame) -> list[tuple]:
     columns = sorted(frame.columns)
     return sorted((tuple(_plain(v) for v in r) for r in frame.select(*columns).collect()), key=repr)
@@ -68,7 +77,7 @@ def main() -> None:
             print(f"rows  {name}: {len(got)} rows, {took:.1f} s", flush=True)
             continue
         columns, want, kinds = expected(con, SQL[name])
-        same = columns == sorted(frame.columns) and got == want
+        same = columns == sorted(frame.columns) and kinds == types_of(frame) and got == want
         print(f"{'ok   ' if same else 'DIFF '} {name}: {len(got)} rows, {took:.1f} s", flush=True)
         if not same:
             bad += 1

@@ -6,10 +6,9 @@ from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.checks.fixtures import (
-    TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, USER, USERS_SQL, folder, hive_folders, table, taxi, users,
+    RUNS, TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, USER, USERS_SQL, folder, hive_folders, landed_by_run, table, taxi, users,
 )
 from tidemark.checks.registry import query
 from tidemark.functions import timewin
@@ -21,9 +20,7 @@ from tidemark.sinks.files import export_micros
 from tidemark.sources.extract import (
     extract_between, extract_day, extract_for_load, extract_full, extract_previous_day, extract_recent,
 )
-from tidemark.sources.files import (
-    export_folder, scan_dated, scan_dated_by_filter, scan_glob, scan_hive, scan_hive_repaired,
-)
+from tidemark.sources.files import scan_dated, scan_dated_by_filter, scan_glob, scan_hive, scan_hive_repaired
 from tidemark.sources.json_rows import json_to_rows, rows_to_json
 
 RUN_END = datetime(2024, 1, 10, 18, tzinfo=UTC)  # 01:00 on the 11th in Jakarta
@@ -34,13 +31,13 @@ ORDER_NOW = datetime(1998, 3, 5, 18, 30, tzinfo=UTC)
 def scan_glob_files(spark: SparkSession, sf: str) -> DataFrame:
     landing = folder(spark, "glob")
     orders = table(spark, sf, "orders")
-    odd = F.col("o_orderkey") % 2 == 1
-    orders.where(odd).write.parquet(f"{landing}/first")
+    filled = F.col("o_orderstatus") == "F"
+    orders.where(filled).write.parquet(f"{landing}/first")
     before = scan_glob(spark, f"{landing}/*/*.parquet", orders.schema)
-    orders.where(~odd).write.parquet(f"{landing}/second")
+    orders.where(~filled).write.parquet(f"{landing}/second")
     after = scan_glob(spark, f"{landing}/*/*.parquet", orders.schema)
     # The earlier scan keeps its file list, the new one has every file.
-    return before.unionByName(after.where(~odd))
+    return before.unionByName(after.where(~filled))
 
 
 @query(f"""with {TAXI_SQL}
@@ -206,23 +203,13 @@ def latest_metadata_version(spark: SparkSession, sf: str) -> DataFrame:
     return latest_version(files, ["event_type"], "file")
 
 
-def _dated_events(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
-    """A landing prefix with one dated folder per run."""
-    events = table(spark, sf, "events")
-    root = folder(spark, "dated")
-    for day in (9, 10, 11):
-        export_micros(extract_day(events, "ts", date(2024, 1, day)), export_folder(root, f"202401{day:02d}"))
-    return root, events.schema
-
-
-@query("select * from events where cast(ts as date) = date '2024-01-11'")
+@query("select * from events where ts >= timestamp '2024-01-20 00:00:00'")
 def scan_dated_prefix(spark: SparkSession, sf: str) -> DataFrame:
-    root, schema = _dated_events(spark, sf)
-    return scan_dated(spark, root, RUN_END, schema=schema)
+    landing, schema = landed_by_run(spark, sf)
+    return scan_dated(spark, landing, RUNS[-1].run_end, schema=schema)
 
 
-@query("select * from events where cast(ts as date) = date '2024-01-10'")
+@query("select * from events where ts >= timestamp '2024-01-10 00:00:00' and ts < timestamp '2024-01-20 00:00:00'")
 def scan_dated_path_filter(spark: SparkSession, sf: str) -> DataFrame:
-    root, schema = _dated_events(spark, sf)
-    return scan_dated_by_filter(spark, root, "20240110", schema)
-
+    landing, schema = landed_by_run(spark, sf)
+    return scan_dated_by_filter(spark, landing, "20240120", schema)

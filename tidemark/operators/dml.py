@@ -12,11 +12,17 @@ def update(df: DataFrame, assignments: dict[str, str | Column], where: str | Col
     """Set columns on the rows where the predicate is true; all use the old values."""
     test = F.expr(where) if isinstance(where, str) else where
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[
-        F.when(test, (F.expr(v) if isinstance(v := assignments[c], str) else v).cast(types[c])).otherwise(F.col(f"`{c}`")).alias(c)
-        if c in assignments else F.col(f"`{c}`")
-        for c in df.columns
-    ])
+    if set(assignments) - set(types):
+        raise ValueError(f"no column {sorted(set(assignments) - set(types))}")
+
+    def value(name: str) -> Column:
+        old, new = F.col(f"`{name}`"), assignments.get(name)
+        if new is None:
+            return old
+        new = F.expr(new) if isinstance(new, str) else new
+        return F.when(test, new.cast(types[name])).otherwise(old).alias(name)
+
+    return df.select(*[value(c) for c in df.columns])
 
 
 def delete(df: DataFrame, where: str | Column) -> DataFrame:

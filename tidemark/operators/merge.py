@@ -150,6 +150,13 @@ def require_unique(source: DataFrame, on: tuple[str, ...]) -> DataFrame:
     return checked.unionByName(keyed.where(~complete).select(*columns))
 
 
+def _check_columns(spec: MergeSpec, columns: list[str]) -> None:
+    named = {c for u in spec.matched if isinstance(u, Update) for c, _ in u.set}
+    named |= {c for i in spec.not_matched for c in i.columns or ()}
+    if named - set(columns):
+        raise ValueError(f"the target has no column {sorted(named - set(columns))}")
+
+
 def _inserts(fresh: DataFrame, spec: MergeSpec, source_columns: list[str], schema: T.StructType) -> DataFrame:
     """Rows without a match (under alias ``s``) as the first insert clause that applies writes them."""
     choice = _first_true(spec.not_matched)
@@ -191,6 +198,7 @@ def merge_branches(target: DataFrame, source: DataFrame, spec: MergeSpec, *, uni
     """The two branches of :func:`merge`: rows that were there, and rows that are new."""
     columns = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
+    _check_columns(spec, columns)
     if not unique_source:
         source = require_unique(source, spec.on)
     t = _with_keys(target, spec.on, "t").alias("t")
@@ -228,6 +236,7 @@ def merge_branches(target: DataFrame, source: DataFrame, spec: MergeSpec, *, uni
 
 def merge_into_nothing(source: DataFrame, spec: MergeSpec, schema: T.StructType, *, unique_source: bool = False) -> DataFrame:
     """The merge of a batch into a table without rows: inserts only, no join."""
+    _check_columns(spec, schema.fieldNames())
     if not unique_source:
         source = require_unique(source, spec.on)
     return _inserts(source.alias("s"), spec, source.columns, schema)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.scalars import json_elements, json_value
-from tidemark.functions.timewin import naive_utc
-from tidemark.functions.types import to_text
+from tidemark.functions.timewin import naive_utc, utc_instant
+from tidemark.functions.types import ZONED_TEXT, to_text
 
 # Rows per array; the direct load path is meant for less than this many.
 ARRAY_ROWS = 5_000
@@ -52,8 +52,10 @@ def json_to_rows(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
     def value(f: T.StructField):
         text = json_value(F.col("element"), f.name)
         if isinstance(f.dataType, T.TimestampType):
-            # Civil text is labelled UTC whatever the session zone is.
-            return F.concat(text, F.lit("Z")).cast(f.dataType)
+            # Text without a zone is UTC whatever the session zone is.
+            zoned = text.rlike(ZONED_TEXT)
+            civil = F.when(~zoned, text).cast("timestamp_ntz")
+            return F.coalesce(F.when(zoned, text).cast(f.dataType), utc_instant(civil))
         return text.cast(f.dataType)
 
     return elements.select(*[value(f).alias(f.name) for f in schema.fields])

@@ -239,14 +239,15 @@ class LakeTable:
 
     def _write_version(self, df: DataFrame) -> str:
         version = f"{self.root}/v-{uuid.uuid4().hex}"
-        with micros_writer(self.spark):
+        # A micro-batch has a session of its own, whose settings its writes follow.
+        with micros_writer(df.sparkSession):
             writer = self.sorted(df).write
             (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(version)
         return version
 
     def insert(self, df: DataFrame) -> None:
         """INSERT: add files to the partitions as they are."""
-        with micros_writer(self.spark):
+        with micros_writer(df.sparkSession):
             self.sorted(self.spread(self.shaped(df))).write.insertInto(self.name)
 
     def append_batch(self, df: DataFrame, batch_id: str) -> None:
