@@ -283,3 +283,21 @@ def test_stream_merge_follows_each_append(spark, folder, make_table, make_histor
         merge_stream(history, serving, USER, soft_delete(USER), f"{root}/export_*", USER.schema, checkpoint)
         assert names(serving) == {"1": name}
     assert history.read().count() == 2
+
+
+def test_migration_of_aligned_folders_is_not_exchanged(spark, folder, monkeypatch):
+    from tests.conftest import explained
+    from tidemark.plans.sync import migrate_hive
+    from tidemark.tables import LakeTable
+
+    raw = folder()
+    spark.range(48).selectExpr("id", "2024 as y", "id % 12 + 1 as m").write.partitionBy("y", "m").parquet(raw)
+    plans, publish = [], LakeTable.publish
+    monkeypatch.setattr(LakeTable, "publish", lambda self, df, *a: plans.append(explained(df)) or publish(self, df, *a))
+    table = migrate_hive(spark, raw, fields("id bigint"), {"y": T.LongType(), "m": T.LongType()}, "migrated_aligned",
+                         folder(), "m", 1, 12)
+    assert "Exchange" not in plans[0] and table.read().count() == 48
+    assert sorted(table.partitions()) == [(n,) for n in range(1, 13)]
+    other = migrate_hive(spark, raw, fields("id bigint"), {"y": T.LongType(), "m": T.LongType()}, "migrated_other",
+                         folder(), "id", 0, 40, 10)
+    assert "REBALANCE" in plans[1] and sorted(other.partitions()) == [(n,) for n in range(1, 6)]

@@ -125,10 +125,17 @@ def sync_evolving(table: LakeTable, landing: str, batch_id: str) -> list[T.Struc
 def migrate_hive(spark: SparkSession, raw: str, schema: T.StructType, partitions: dict[str, T.DataType], name: str,
                  root: str, bucket_on: str, start: int, stop: int, step: int = 1,
                  cluster_by: tuple[str, ...] = ()) -> LakeTable:
-    """Hive folders into a managed table partitioned by an integer range of one column."""
+    """Hive folders into a managed table partitioned by an integer range of one column.
+
+    If that column is one of the folders', the rows already lie by partition and are
+    written by the tasks that read them; otherwise they are exchanged first.
+    """
     rows = scan_hive_repaired(spark, raw, schema, partitions)
     bucket = f"{bucket_on}_bucket"
     table = create_table(spark, name, rows.schema, root, partition_by=(bucket,), cluster_by=cluster_by,
                          derived={bucket: by_range(bucket_on, start, stop, step)})
-    table.overwrite(rows)
+    if bucket_on in partitions:
+        table.publish(table.shaped(rows), table.partitions())
+    else:
+        table.overwrite(rows)
     return table
