@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, toxicity, url_filter
+from tidemark.llm import exact_dedup, minhash_dedup, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,3 +68,8 @@ select doc_id, k as keep_id, c::bigint as group_size, doc_id = k as kept, h as t
 """)
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query()
+def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
