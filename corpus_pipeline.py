@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, toxicity
+from tidemark.llm import exact_dedup, minhash_dedup, mixing, packing, toxicity
 from tidemark.session import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,9 +25,27 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
+    return minhash_dedup.keep_one(docs, width=5, percent=80, halves=12)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources reads them, about as many tokens as came in."""
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of token ids whose lengths are powers of two."""
+    return packing.packed(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", reject_toxic),
     ("exact dedup", drop_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("packing", pack),
 ]
 
 # Learned scores, random permutations and token ids are not for SQL; tests compare each stage with brute force.

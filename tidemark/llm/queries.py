@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, minhash_dedup, toxicity, url_filter
+from tidemark.llm import exact_dedup, minhash_dedup, mixing, packing, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -73,3 +73,14 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query()
+def op7_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents").select("doc_id", "text", "source"))
+
+
+@query()
+def op8_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
+    sequences = packing.with_checksum(packing.packed(table(spark, folder, "documents").select("doc_id", "text")))
+    return sequences.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
