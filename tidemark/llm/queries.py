@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, minhash_dedup, mixing, packing, toxicity, url_filter
+from tidemark.llm import exact_dedup, minhash_dedup, mixing, packing, topk, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("""
+with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) e from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id query_id, c.vec_id vec_id, list_inner_product(q.e, c.e)::bigint score
+      from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 10
+""")
+def op3_threshold_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.numbered(topk.scaled(table(spark, folder, "embeddings").select("vec_id", "embedding")))
+    return topk.top_k(vectors, vectors.where("id % 100 = 0"), k=10)
+
+
 URL_RULES = [
     url_filter.rule("allow", "org/"), url_filter.rule("block", "example.org/es/"), url_filter.rule("block", "example.org/en/1"),
     url_filter.rule("allow", "com/fr/"), url_filter.rule("block", "com/de/"),
