@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, licenses, minhash_dedup, mixing, packing, topk, toxicity, url_filter
+from tidemark.llm import exact_dedup, licenses, minhash_dedup, mixing, packing, surrogates, topk, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -102,3 +102,13 @@ def op7_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op8_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     sequences = packing.with_checksum(packing.packed(table(spark, folder, "documents").select("doc_id", "text")))
     return sequences.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
+
+
+#: Only to keep this query repeatable: a real key is a secret of whoever runs the replacement.
+PII_KEY = b"query key"
+
+
+@query()
+def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    found = surrogates.replaced(table(spark, folder, "documents").select("doc_id", "text"), PII_KEY)
+    return found.select("_row.doc_id", "_row.text", F.size("_found").alias("entities"))
