@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, licenses, minhash_dedup, mixing, packing, surrogates, topk, toxicity, url_filter
+from tidemark.llm import exact_dedup, licenses, minhash_dedup, mixing, packing, surrogates, tool_calls, topk, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +32,64 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+TOOLS = [
+    tool_calls.Tool("search", {"query": "string", "limit": "integer"}, frozenset({"query"})),
+    tool_calls.Tool("calculate", {"values": "array", "operation": "string"}, frozenset({"values", "operation"})),
+    tool_calls.Tool("fetch", {"url": "string", "retries": "integer", "options": "object"}, frozenset({"url"})),
+]
+
+
+def tool_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversations as tool chats, as the table holds none.
+
+    Each assistant turn becomes a call that waits for the assistant turn before it, each later user turn a result of the turn before it. A text's
+    length decides the tool, and which arguments are missing, of a wrong type or unknown.
+    """
+    size, turn = F.length("text"), F.col("turn")
+    call_id = lambda back: F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), turn - back)
+    search = F.to_json(F.struct(F.substring("text", 1, 24).alias("query"), (size % 50).alias("limit")))
+    numbers = F.when(size % 7 == 0, F.concat(F.lit('"'), size, F.lit('"'))).otherwise(F.concat(F.lit("[ "), size, F.lit(", "), turn, F.lit(" ]")))
+    calculate = F.concat(F.lit('{"values": '), numbers, F.lit(', "operation": "sum"}'))
+    fetch = F.concat(
+        F.lit('{"retries": '), turn, F.lit(', "options": {"zip": true, "accept": ["text", null]}'),
+        F.when(size % 5 == 0, "").otherwise(F.concat(F.lit(', "url": "https://example.com/'), size, F.lit('"'))),
+        F.when(size % 11 == 0, ', "extra": null').otherwise(""), F.lit("}"))
+    arguments = F.when(size % 3 == 0, search).when(size % 3 == 1, calculate).otherwise(fetch)
+    name = F.when(size % 3 == 0, "search").when(size % 3 == 1, "calculate").otherwise("fetch")
+    call = F.struct(call_id(0).alias("id"), name.alias("name"), arguments.alias("arguments"), F.when(turn >= 2, call_id(2)).alias("after"))
+    result = F.struct(call_id(1).alias("tool_call_id"), F.col("text").alias("content"))
+    chats = table(spark, folder, "conversations").where("text is not null")
+    as_call = chats.where("role = 'assistant'").select("conv_id", "turn", "role", F.to_json(F.struct(F.array(call).alias("tool_calls"))).alias("text"))
+    as_result = chats.where("role = 'user' and turn > 0").select("conv_id", "turn", F.lit("tool").alias("role"), F.to_json(result).alias("text"))
+    return as_call.unionByName(as_result)
+
+
+@query("""
+with recursive chats as (select *, length(text) n from conversations where text is not null),
+calls as (select conv_id, turn, 'call-' || conv_id || '-' || turn id, n, case n % 3 when 0 then 'search' when 1 then 'calculate' else 'fetch' end as name,
+    case n % 3 when 0 then '{"limit":' || n % 50 || ',"query":' || to_json(substr(text, 1, 24)) || '}'
+               when 1 then '{"operation":"sum","values":' || case when n % 7 = 0 then '"' || n || '"' else '[' || n || ',' || turn || ']' end || '}'
+               else '{' || case when n % 11 = 0 then '"extra":null,' else '' end || '"options":{"accept":["text",null],"zip":true},"retries":' || turn
+                    || case when n % 5 = 0 then '' else ',"url":"https://example.com/' || n || '"' end || '}' end as arguments,
+    case when n % 3 = 1 and n % 7 = 0 then 'type:values'
+         when n % 3 = 2 then concat_ws(',', case when n % 5 = 0 then 'missing:url' end, case when n % 11 = 0 then 'unknown:extra' end) else '' end errors
+    from chats where role = 'assistant'),
+depth as (select conv_id, turn, 0 as level from calls c where not exists (select 1 from calls p where p.conv_id = c.conv_id and p.turn = c.turn - 2 and c.turn >= 2)
+          union all select c.conv_id, c.turn, d.level + 1 from calls c join depth d on c.conv_id = d.conv_id and c.turn = d.turn + 2),
+results as (select conv_id, turn, 'call-' || conv_id || '-' || (turn - 1) id, text content from chats where role = 'user' and turn > 0),
+j as (select coalesce(c.conv_id, r.conv_id) conv_id, coalesce(c.id, r.id) call_id, c.name, c.turn, c.arguments, c.errors, d.level, r.turn result_turn,
+    case when c.id is null then 'orphan_result' when r.id is null then 'no_result' else 'linked' end status,
+    case when c.turn >= 2 then exists (select 1 from calls p where p.conv_id = c.conv_id and p.turn = c.turn - 2) end waits_for,
+    '{' || concat_ws(',', '"arguments":' || c.arguments, '"id":' || to_json(coalesce(c.id, r.id)), '"name":' || to_json(c.name), '"result":' || to_json(r.content)) || '}' record
+    from calls c full join results r on c.conv_id = r.conv_id and c.id = r.id left join depth d on d.conv_id = c.conv_id and d.turn = c.turn)
+select conv_id, call_id, name, turn, status, waits_for, level::bigint as level, arguments, coalesce(errors, '') as errors, result_turn,
+       case when result_turn is null then 0 else 1 end::bigint as results, sha256(record) record_sha256 from j
+""")
+def op2_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
+    linked = tool_calls.link_tool_calls(tool_messages(spark, folder), TOOLS)
+    return linked.select(*[F.concat_ws(",", c).alias(c) if c == "errors" else F.sha2(c, 256).alias("record_sha256") if c == "record" else c for c in linked.columns])
+
+
 @query("""
 with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) e from embeddings
            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
