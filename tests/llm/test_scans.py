@@ -1,0 +1,209 @@
+"""License scan, URL filter, toxicity and surrogates."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import SMALL, rows
+from tidemark.llm import licenses, queries, surrogates, toxicity, url_filter
+
+NOTICES = {n: t for n, t in licenses.TEMPLATES.items() if n in ("MIT notice", "Apache-2.0 notice", "GPL-3.0 notice", "CC-BY-NC-4.0 notice")}
+
+
+def longest_rise(values):
+    best = [1] * len(values)
+    for k in range(len(values)):
+        best[k] = max([best[j] + 1 for j in range(k) if values[j] < values[k]], default=1)
+    return max(best, default=0)
+
+
+@given(st.permutations(range(9)))
+@settings(max_examples=100, deadline=None)
+def test_rising_is_longest(values):
+    got = [values[k] for k in licenses.rising(values)]
+    assert got == sorted(got) and len(got) == longest_rise(values)
+
+
+@given(st.lists(st.sampled_from("abcdef"), max_size=12), st.lists(st.sampled_from("abcdef"), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_alignment_is_common_subsequence(a, b):
+    pairs = licenses.align(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+    if sorted(set(a)) == sorted(a) and a == b:
+        assert len(pairs) == len(a)
+
+
+def test_licenses_of_the_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = {(r["doc_id"], n) for r in docs.collect() for n, t in NOTICES.items() if t in (r["text"] or "")}
+    got = licenses.scan_licenses(docs)
+    assert want and {(r["doc_id"], r["license"]) for r in got.collect() if r["license"] in NOTICES} == want
+    assert got.select("doc_id").distinct().count() == docs.count()
+
+
+def test_license_edge_cases(spark):
+    mit = licenses.TEMPLATES["MIT"]
+    changed = mit.replace("free of charge", "without any charge").replace("Software", "Program")
+    twice = "x y " + "\n".join(["Released under the MIT License."] * 3) + " z " * 50_000
+    df = spark.createDataFrame([(1, None), (2, ""), (3, changed), (4, twice), (5, "license released the under MIT"), (None, mit), (6, "the " * 100_000)], "doc_id long, text string")
+    got = {(r["doc_id"], r["license"]): r for r in licenses.scan_licenses(df).collect()}
+    assert set(got) == {(1, None), (2, None), (3, "MIT"), (4, "MIT notice"), (5, None), (None, "MIT"), (6, None)}
+    assert got[4, "MIT notice"]["coverage"] == 1.0 and got[4, "MIT notice"]["first_word"] == 2 and 0.8 <= got[3, "MIT"]["coverage"] < 1
+    assert licenses.scan_licenses(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        licenses.Scanner({"none": "..."}, 0.8).templates[0].words  # noqa: B018
+
+
+def plain_judgement(host, path, rules):
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: (len(r.host.split(".")), len(r.path)), default=None)
+    return best and best.text
+
+
+@given(st.lists(st.sampled_from(["org", "b.org", "a.b.org", ".org", "", "com", "x.com"]), max_size=4),
+       st.lists(st.sampled_from(["/", "/e", "/es", "/es/", "/es/1", "/e/s", "", "//"]), max_size=4))
+@settings(max_examples=150, deadline=None)
+def test_trie_finds_longest(hosts, paths):
+    entries = {h + p: url_filter.Rule(h, p, "block") for h in hosts if h for p in paths}
+    rules = list(entries.values())
+    trie = url_filter.UrlTrie(rules)
+    for host in ["org", "b.org", "z.b.org", "borg", "", "a..org", "x.com"]:
+        for path in ["", "/", "/es/12", "/e", "/es", "//x", "/e/s/"]:
+            found = trie.find(host, path)
+            assert (None if found is None else rules[found].text) == plain_judgement(host, path, rules)
+
+
+def test_url_edge_cases(spark):
+    urls = ["http://A.example.ORG/en/12?x#y", None, "", "no-scheme/org/", "x://", "http://org", "http://example.org?/es/", "a://b://c.org/d", "http://example.org/es/", "http://u@ÄEX.com/de/\nx"]
+    df = spark.createDataFrame([(k, u, "old", 1) for k, u in enumerate(urls)], "page_id long, url string, rule string, extra int")
+    got = url_filter.judge_urls(df, queries.URL_RULES)
+    assert got.columns == ["page_id", "url", "extra", "host", "path", "rule", "verdict"]
+    found = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got.collect()}
+    assert found[0] == ("a.example.org", "/en/12", "example.org/en/1", "block") and found[1] == found[2] == found[3] == found[4] == ("", "", None, "allow")
+    assert found[5] == ("org", "", None, "allow") and found[6] == ("example.org", "", None, "allow") and found[7] == ("b:", "//c.org/d", None, "allow")
+    assert found[8] == ("example.org", "/es/", "example.org/es/", "block") and found[9] == ("u@Äex.com", "/de/\nx", "com/de/", "block")
+    assert url_filter.judge_urls(df.limit(0), []).count() == 0
+    with pytest.raises(ValueError):
+        url_filter.UrlTrie([url_filter.rule("allow", "a/"), url_filter.rule("block", "a/")])
+    with pytest.raises(ValueError):
+        url_filter.UrlTrie([url_filter.rule("allow", "a/")] * 3, max_rules=2)
+
+
+LEXICON = toxicity.Lexicon({toxicity.fold(w): 5.0 for w in ("idiot", "loser", "trash")}, slope=4.0, offset=20.0)
+
+
+@pytest.mark.parametrize("text", ["an IDIOT here", "an 1d10t", "ïdiöt", "іdіоt", "ID\u200bIOT!!!", "the l0ser", "a 1oser.", "l@s idiot", "loser$$$", "i\u0301diot"])
+def test_disguises_are_found(text):
+    assert LEXICON.weigh(text)[1] == 1
+
+
+@pytest.mark.parametrize("text", ["", "idiotic losers", "the trash can", "TRASH\nBIN", "trashcan", "10 55", "closer"])
+def test_harmless_texts(text):
+    assert LEXICON.weigh(text)[1] == 0
+
+
+def test_long_texts_dilute():
+    one, many = LEXICON.weigh("idiot " + "word " * 20), LEXICON.weigh("idiot " + "word " * 100_000)
+    assert LEXICON.score(one[0], one[2]) > 0.7 > LEXICON.score(many[0], many[2])
+
+
+def test_toxicity_on_held_out_rows(spark):
+    folder = SMALL.replace("0.001", "0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = queries.op5_toxicity(spark, folder).where("held_out").join(labels, "doc_id")
+    found = {(r["toxic"], r["predicted"]): r["count"] for r in judged.groupBy("toxic", "predicted").count().collect()}
+    assert found.get((0, 1), 0) <= 0.005 * found[0, 0] and found[1, 1] >= 0.9 * (found[1, 1] + found.get((1, 0), 0))
+
+
+def test_toxicity_edge_cases(spark):
+    docs = spark.createDataFrame([(1, None, 3), (2, "", 3), (2, "idiot", 3), (None, "idiot x", 3), (3, "ok " * 100_000, 3)], "doc_id long, text string, _toxicity int")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int")
+    lexicon = toxicity.learn(docs, labels)
+    assert lexicon.weights == {} and lexicon.score(0, 0) == 0.0
+    kept = toxicity.reject_toxic(docs, lexicon)
+    assert kept.columns == docs.columns and kept.count() == 5
+    assert rows(toxicity.reject_toxic(docs.select("doc_id", "text"), LEXICON).select("doc_id")) == [(1,), (2,), (3,)]
+    assert toxicity.learn(docs.limit(0), labels.limit(0)).weights == {}
+
+
+def test_copies_count_once(spark):
+    docs = [(k, f"unlucky verylongwordofthisfamily idiot{'s' * (k % 2)}") for k in range(40)] + [(100 + k, f"plain word{'abcdefghijklmnopqrst'[k % 20]}{'xyz'[k % 3]}") for k in range(60)]
+    labels = [(d, int(d < 100)) for d, _ in docs]
+    lexicon = toxicity.learn(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert lexicon.weights == {}
+
+
+KEY = b"k"
+
+
+@pytest.mark.parametrize(("text", "kinds"), [
+    ("mail Bob.X7@mail.example.com now", ["mail"]), ("call +1 (521) 555-6210.", ["phone"]), ("host 10.1.2.3, 256.1.1.1", ["ip"]),
+    ("4111 1111 1111 1111", ["card"]), ("4408744102898399", ["card"]), ('token = "f0ddae3b09ae356cbefecdd3232fa5489bb400d6"', ["secret"]),
+    ("Mr. John Smith said", ["given_m", "family"]), ("Frau MÜLLER", ["family"]), ("Мария Иванова", ["given_f", "family"]), ("version 1.2.3.4.5 in 2024", []), ("", []),
+    ("12345678901234567890", []),
+])
+def test_detection(text, kinds):
+    assert [m[2] for m in surrogates.detect(text)] == kinds
+
+
+@pytest.mark.parametrize(("kind", "entity"), [("mail", "bob.x7@mail.example.com"), ("phone", "+15215556210"), ("ip", "192.168.3.4"), ("card", "4111111111111111"),
+                                              ("card", "4408744102898390"), ("secret", "f0ddae3b09ae356cbefe"), ("given_f", "мария"), ("family", "müller")])
+def test_surrogates_keep_type_and_format(kind, entity):
+    for attempt in range(6):
+        new = surrogates.surrogate(KEY, kind, entity, attempt)
+        assert new != entity and new == surrogates.surrogate(KEY, kind, entity, attempt) and surrogates.script(new) == surrogates.script(entity)
+        if kind not in ("given_f", "family"):
+            assert len(new) == len(entity) or kind == "ip"
+        if kind == "card":
+            assert surrogates._valid_card(new) == surrogates._valid_card(entity) and new[0] == entity[0]
+        if kind == "ip":
+            assert new.startswith("192.168.")
+    assert surrogates.surrogate(b"other", kind, entity) != surrogates.surrogate(KEY, kind, entity)
+
+
+def test_coreference_and_formats(spark):
+    text = "Mr. John Smith, +1 (521) 555-6210. MR. SMITH: +15215556210, a@b.example.com; A@B.EXAMPLE.COM"
+    [(got,)] = surrogates.replace_private(spark.createDataFrame([(text,)], "text string"), KEY).collect()
+    new = {kind: surrogates.surrogate(KEY, kind, entity) for _, _, kind, entity in surrogates.detect(text)}
+    family, phone = new["family"].capitalize(), new["phone"]
+    assert got == (f"Mr. {new['given_m'].capitalize()} {family}, +1 ({phone[2:5]}) {phone[5:8]}-{phone[8:]}. MR. {family.upper()}: {phone}, {new['mail']}; {new['mail'].upper()}")
+
+
+def test_collisions_are_resolved(spark):
+    """More family names than the list has: every entity still gets its own, and none is another entity."""
+    names = [f"name{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10]}" for k in range(100)] + ["turner", "keller"]
+    known = surrogates.assign(spark.createDataFrame([("family", n) for n in names], "kind string, entity string"), KEY).collect()
+    new = [r["surrogate"] for r in known]
+    assert len(known) == 102 and len(set(new)) == 102 and not set(new) & set(names)
+
+
+def test_surrogates_of_the_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    old = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["doc_id"]: r for r in queries.op9_pii_surrogates(spark, SMALL).collect()}
+    assert got.keys() == old.keys()
+    mapping = {}
+    for doc_id, text in old.items():
+        mentions = surrogates.detect(text)
+        new = got[doc_id]["text"]
+        assert got[doc_id]["entities"] == len(mentions)
+        if not mentions:
+            assert new == text
+        shift = 0
+        for start, end, kind, entity in mentions:
+            assert text[start:end] not in new
+            after = [m for m in surrogates.detect(new) if m[2] == kind and m[0] <= start + shift < m[1]]
+            assert after and mapping.setdefault((kind, entity), after[0][3]) == after[0][3]
+            shift += after[0][1] - after[0][0] - (end - start)
+    assert len(set(mapping.values())) == len(mapping)
+
+
+def test_surrogate_edge_cases(spark):
+    schema = "doc_id long, text string, _found int, kind string"
+    df = spark.createDataFrame([(1, None, 1, "a"), (1, "", 2, "b"), (None, "x@y.example.com", 3, "c"), (2, "x@y.example.com " + "word " * 100_000, 4, "d")], schema)
+    got = surrogates.replace_private(df, KEY)
+    assert got.columns == df.columns and got.count() == 4 and got.where(F.col("text").contains("x@y")).count() == 0
+    assert {r["_found"]: r["kind"] for r in got.collect()} == {1: "a", 2: "b", 3: "c", 4: "d"}
+    assert surrogates.replace_private(df.limit(0), KEY).count() == 0

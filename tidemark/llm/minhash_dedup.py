@@ -11,8 +11,10 @@ Steps, all of them joins and aggregations over stored tables:
 2. Keys that several classes share are kept, with the classes that hold them.
 3. Classes that cannot reach the threshold go: if x and y are similar, at most a share ``1 - threshold`` of x's shingles is
    absent from all other candidates. This is exact, and it empties the huge buckets of documents that share only a passage.
-4. Star: every class is compared with its bucket's smallest and largest id; confirmed links are joined into components.
-5. Rest: in buckets that still hold several components, classes of different components are compared.
+4. Star: every class is compared with the most central member of each of its buckets, the hub; confirmed links are joined
+   into components.
+5. Rest: of the classes around a hub, those of different components are compared, unless bounds on what two of them can share rule
+   that out: what each shares with any candidate, and what neither lacks of their hub. Both bounds are exact.
 
 Members of one component are never compared again, so a bucket of n copies costs n comparisons, not n^2 / 2.
 
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -101,24 +103,56 @@ def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, widt
 
 
 def _possible(sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
-    """Ids that can still have a partner: enough of their shingles occur in another candidate."""
+    """Candidates that can still have a partner, with ``own``: how many of their shingles no other candidate has."""
     live = sets
     for _ in range(rounds):
         single = live.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).where("c = 1")
-        private = single.groupBy("id").agg(F.count(F.lit(1)).alias("p"))
-        fit = 100 * F.coalesce("p", F.lit(0)) <= (100 - percent) * F.size("shingles")
-        live = stored(live.join(private, "id", "left").where(fit).select("id", "shingles"))
+        private = single.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+        counted = live.select("id", "shingles").join(private, "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+        live = stored(counted.where(100 * F.col("own") <= (100 - percent) * F.size("shingles")))
     return live
 
 
+def _central(live: DataFrame) -> DataFrame:
+    """How close a candidate is to all that it shares shingles with, in thousandths of a shingle; only the choice of hubs rests on it.
+
+    Over the members of a group, the mean number of shingles in which they differ from x is least where the sum of
+    ``2 * share - 1`` over x's shingles is greatest; the share of members that hold a shingle is taken from its count
+    among all candidates, in proportion to x's most frequent one.
+    """
+    each = live.select("id", F.explode("shingles").alias("s"))
+    counts = each.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = each.join(counts, "s").groupBy("id").agg(F.sum("df").alias("total"), F.max("df").alias("most"))
+    sizes = live.groupBy("id").agg(F.min(F.size("shingles")).alias("n"))
+    score = F.floor(1000 * (2 * F.col("total") / F.col("most") - F.col("n")))
+    return shared.join(sizes, "id").select("id", F.greatest(F.lit(0), score).cast("long").alias("central"))
+
+
+def _similar(both: Column, left: str, right: str, percent: int) -> Column:
+    return 100 * both >= percent * (F.size(left) + F.size(right) - both)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    smaller, larger = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
-    found = pairs.join(a, "a").join(b, (pairs["b"] == b["b"]) & (100 * smaller >= percent * larger)).drop(b["b"])
-    return found.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    found = pairs.join(a, "a").join(b, "b")
+    return found.where(_similar(F.size(F.array_intersect("sa", "sb")), "sa", "sb", percent)).select("a", "b")
+
+
+def _against_hubs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For ``pairs(id, hub)``: are they similar, and how the member differs from its hub.
+
+    ``added`` counts the member's shingles that the hub lacks and another candidate has; ``m0..m3`` mark, of 256 cells that the hub's shingles are
+    hashed to, those with a shingle that the member lacks; ``size`` is the hub's.
+    """
+    x = sets.select("id", F.col("shingles").alias("xs"), "own")
+    h = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("hs"))
+    found = pairs.join(x, "id").join(h, "hub").withColumn("missing", F.array_except("hs", "xs")).withColumn("both", F.size("hs") - F.size("missing"))
+    cell = "aggregate(filter(missing, s -> ((s >> 6) & 3) = {k}), 0L, (m, s) -> m | shiftleft(1L, cast(s & 63 as int)))"
+    return found.select(
+        "id", "hub", _similar(F.col("both"), "xs", "hs", percent).alias("similar"), (F.size("xs") - F.col("both") - F.col("own")).alias("added"),
+        F.size("hs").alias("size"), *[F.expr(cell.format(k=k)).alias(f"m{k}") for k in range(4)])
 
 
 def near_links(docs: DataFrame, sketch: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 85) -> DataFrame:
@@ -130,20 +164,30 @@ def near_links(docs: DataFrame, sketch: DataFrame, id_col: str = "doc_id", text_
     members = stored(keys.join(shared, "key"))
     sets = stored(_full_sets(docs, members.select("id").distinct(), id_col, text_col, width))
     live = _possible(sets, percent)
-    members = stored(members.join(live.select("id").distinct(), "id"))
-    hubs = stored(members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"))
-    star = members.join(hubs, "key").select("id", F.explode(F.array("low", "high")).alias("hub")).where("id <> hub")
-    star = star.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    links = stored(_confirmed(star, live, percent))
+    # An id's sets as one: the least size and the most shared shingles of any of them.
+    sizes = live.groupBy("id").agg(F.min(F.size("shingles")).alias("n"), F.max(F.size("shingles") - F.col("own")).alias("c"), F.min("own").alias("own"))
+    members = stored(members.join(sizes, "id").join(_central(live), "id", "left"))
+    order = F.coalesce("central", F.lit(-1)) * F.lit(2**32) + F.pmod(F.xxhash64("id"), F.lit(2**32))
+    hubs = stored(members.groupBy("key").agg(F.max_by("id", order).alias("hub"), F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"))
+    placed = stored(members.join(hubs.select("key", "hub"), "key").select("hub", "id", "n", "c").distinct())
+    star = stored(_against_hubs(placed.where("id <> hub").select("id", "hub"), live, percent))
+    links = star.where("similar").select(F.col("id").alias("a"), F.col("hub").alias("b"))
     found = components(links)
-    placed = stored(
-        members.join(found, "id", "left").join(live.groupBy("id").agg(F.min(F.size("shingles")).alias("least"), F.max(F.size("shingles")).alias("most")), "id")
-        .select("key", "id", "least", "most", F.coalesce("component", "id").alias("component")))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    open_ = stored(placed.join(mixed, "key", "left_semi"))
-    other = open_.select("key", *[F.col(c).alias(f"_{c}") for c in ("id", "least", "most", "component")])
-    fits = (100 * F.col("most") >= percent * F.col("_least")) & (100 * F.col("_most") >= percent * F.col("least"))
-    rest = open_.join(other, (open_["key"] == other["key"]) & (F.col("id") < F.col("_id")) & (F.col("component") != F.col("_component")) & fits)
+
+    # Where an id has several sets, its differences are those that all of them have.
+    marks = ["m0", "m1", "m2", "m3"]
+    apart = star.groupBy("hub", "id").agg(F.max("added").alias("added"), F.max("size").alias("size"), *[F.bit_and(m).alias(m) for m in marks])
+    sized = star.groupBy("hub").agg(F.max("size").alias("hub_size"))
+    spread = placed.join(found, "id", "left").join(apart.drop("size"), ["hub", "id"], "left").join(sized, "hub")
+    spread = stored(spread.select("hub", "id", "n", "c", "hub_size", F.coalesce("component", "id").alias("component"), *[F.coalesce(m, F.lit(0)).alias(m) for m in ["added", *marks]]))
+    mixed = spread.groupBy("hub").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("hub")
+    open_ = stored(spread.join(mixed, "hub", "left_semi"))
+    other = open_.select("hub", *[F.col(c).alias(f"_{c}") for c in ("id", "n", "c", "component", "added", *marks)])
+    # What two members can share at most: what each shares with anyone; and, of the hub, what neither lacks, with what both may have added.
+    lacking = sum((F.bit_count(F.col(m).bitwiseOR(F.col(f"_{m}"))) for m in marks), F.lit(0))
+    both = F.least("c", "_c", F.col("hub_size") - lacking + F.least("added", "_added"))
+    fits = 100 * both >= percent * (F.col("n") + F.col("_n") - both)
+    rest = open_.join(other, (open_["hub"] == other["hub"]) & (F.col("id") < F.col("_id")) & (F.col("component") != F.col("_component")) & fits)
     rest = rest.select(F.col("id").alias("a"), F.col("_id").alias("b")).distinct()
     return links.unionByName(_confirmed(rest, live, percent))
 
