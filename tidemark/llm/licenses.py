@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import portions
+
 _WORD = re.compile(r"\w+(?:[.-]\w+)*")
 
 # The usual notices and short license texts.
@@ -189,7 +191,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, shar
                         ("first_word", pa.int64()), ("last_word", pa.int64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = scanner.scan(text or "")

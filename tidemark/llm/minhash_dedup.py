@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import portions
 from tidemark.llm.components import components
 from tidemark.llm.shingles import digest, mix, shingle_sets
 from tidemark.session import stored
@@ -69,7 +70,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, halves: in
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("first", pa.list_(pa.int64())), ("second", pa.list_(pa.int64()))])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sets = shingle_sets(batch.column(1), width)
             keys = half_keys(sets, halves, rows).view(np.int64)
             a, b = (pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(x).ravel()), halves).cast(pa.list_(pa.int64()))
@@ -92,7 +93,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, widt
     schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sets = shingle_sets(batch.column(1), width)
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)

@@ -27,6 +27,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import portions
+
 LIMIT = 1024
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -71,7 +73,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limi
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(vocabulary).encode_ordinary
-        for batch in batches:
+        for batch in portions(batches):
             cut, flat, held = [], [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encode(text) if text else []

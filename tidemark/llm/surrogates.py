@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import values
 from tidemark.session import stored
 
 # Titles by gender, and names by gender and script that replacements are drawn from.
@@ -199,7 +200,7 @@ def _mentions(text: Column) -> Column:
 
     @F.arrow_udf("array<struct<s: int, e: int, kind: string, entity: string>>")
     def find(texts: pa.Array) -> pa.Array:
-        return pa.array([[dict(zip(("s", "e", "kind", "entity"), m, strict=True)) for m in detect(t)] if t else [] for t in texts.to_pylist()], kind)
+        return pa.array([[dict(zip(("s", "e", "kind", "entity"), m, strict=True)) for m in detect(t)] if t else [] for t in values(texts)], kind)
 
     return find(text)
 
@@ -244,7 +245,7 @@ def replaced(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     @F.arrow_udf("string")
     def rewrite(texts: pa.Array, mentions: pa.Array, pairs: pa.Array) -> pa.Array:
         out = []
-        for body, places, known_here in zip(texts.to_pylist(), mentions.to_pylist(), pairs.to_pylist(), strict=True):
+        for body, places, known_here in zip(values(texts), values(mentions), values(pairs), strict=True):
             to = {(p["kind"], p["entity"]): p["surrogate"] for p in known_here}
             parts, last = [], 0
             for m in places:

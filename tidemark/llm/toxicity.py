@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import portions, values
 from tidemark.session import stored
 
 # Letters of other scripts that look like Latin ones, and digits or signs that stand for letters.
@@ -147,9 +149,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     )
 
-    @F.arrow_udf("array<string>")
-    def words(texts: pa.Array) -> pa.Array:
-        return pa.array([sorted(set(_WORD.findall(fold(t or "")))) for t in texts.to_pylist()], pa.list_(pa.string()))
+    bag = pa.schema([("_y", pa.int32()), ("_words", pa.list_(pa.string()))])
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches):
+            found = [sorted(set(_WORD.findall(fold(t or "")))) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, bag.field(1).type)], schema=bag)
 
     # At most `sample` rows of an id and a flag: a bounded broadcast.
     rows = (
@@ -157,7 +162,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .join(F.broadcast(chosen), "_id").select("_id", "_y", "_text")
     )
     rows = stored(rows)
-    bags = rows.select("_y", words("_text").alias("_words"))
+    bags = rows.select("_y", "_text").mapInArrow(words, "_y int, _words array<string>")
     bags = bags.withColumn("_family", F.array_max(F.transform("_words", lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"])
     totals = {r["_y"]: r["n"] for r in bags.groupBy("_y").agg(F.count_distinct("_family").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
@@ -174,7 +179,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     @F.arrow_udf("double")
     def feature(texts: pa.Array) -> pa.Array:
-        return pa.array([lexicon.feature(w, n) for w, _, n in map(lexicon.weigh, (t or "" for t in texts.to_pylist()))], pa.float64())
+        return pa.array([lexicon.feature(w, n) for w, _, n in map(lexicon.weigh, (t or "" for t in values(texts)))], pa.float64())
 
     points = rows.select(feature("_text").alias("x"), "_y").collect()  # at most `sample` pairs
     slope, offset = _fit(np.array([p["x"] for p in points]), np.array([p["_y"] for p in points], float))
@@ -186,7 +191,7 @@ def scored(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> tuple[D
     @F.arrow_udf("struct<score: double, hits: int, weight: double, words: int>")
     def judge(texts: pa.Array) -> pa.Array:
         out = []
-        for text in texts.to_pylist():
+        for text in values(texts):
             weight, hits, words = lexicon.weigh(text or "")
             out.append({"score": lexicon.score(weight, words), "hits": hits, "weight": weight, "words": words})
         return pa.array(out, pa.struct([("score", pa.float64()), ("hits", pa.int32()), ("weight", pa.float64()), ("words", pa.int32())]))
