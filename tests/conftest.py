@@ -9,11 +9,11 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tidemark-tests", master="local[4]", shuffle_partitions=4,
         **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
-           "spark.sql.session.timeZone": "America/New_York"},
+           "spark.sql.session.timeZone": "America/New_York", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -86,7 +86,7 @@ def keys(table):
 
 def test_missing_folder_is_no_batch(spark, folder, make_history):
     assert not ingest_batch(make_history(EVENT), f"{folder()}/*.parquet", "b", EVENT)
-    assert ingest_ephemeral(make_history(EVENT), f"{folder()}/*.parquet", EVENT) == []
+    assert ingest_ephemeral(make_history(EVENT), f"{folder()}/*", EVENT) == []
 
 
 def test_ephemeral_removes_only_what_it_appended(spark, folder, make_history, monkeypatch):
@@ -99,15 +99,15 @@ def test_ephemeral_removes_only_what_it_appended(spark, folder, make_history, mo
         events(spark, 3).write.parquet(f"{root}/late")
 
     monkeypatch.setattr(table.__class__, "append_batch", append_then_land)
-    ingest_ephemeral(table, f"{root}/*/*.parquet", EVENT)
+    ingest_ephemeral(table, f"{root}/*", EVENT)
     monkeypatch.setattr(table.__class__, "append_batch", append)
     assert keys(table) == [1, 2]
-    assert len(ingest_ephemeral(table, f"{root}/*/*.parquet", EVENT)) >= 1
+    assert len(ingest_ephemeral(table, f"{root}/*", EVENT)) >= 1
     assert keys(table) == [1, 2, 3]
     assert not session.path_exists(spark, f"{root}/*/*.parquet")
 
 
-@pytest.mark.parametrize("broken", ["append_batch", "touch", "delete_files", "delete_path"])
+@pytest.mark.parametrize("broken", ["append_batch", "touch", "delete_path"])
 def test_ephemeral_run_that_failed_anywhere_is_finished_by_the_next(spark, folder, make_history, monkeypatch, broken):
     table, root = make_history(EVENT), folder()
     events(spark, 1, 2, 3).repartition(3).write.parquet(f"{root}/a")
@@ -115,18 +115,18 @@ def test_ephemeral_run_that_failed_anywhere_is_finished_by_the_next(spark, folde
     real = getattr(owner, broken)
 
     def fail(*args, **kwargs):
-        if broken == "delete_files":
-            real(args[0], args[1][:1])  # stopped half way
+        if broken == "delete_path":
+            real(*args)  # stopped half way
         if broken == "append_batch":
             real(*args, **kwargs)  # stopped after publishing
         raise RuntimeError("lost")
 
     monkeypatch.setattr(owner, broken, fail)
     with pytest.raises(RuntimeError):
-        ingest_ephemeral(table, f"{root}/*/*.parquet", EVENT)
+        ingest_ephemeral(table, f"{root}/*", EVENT)
     monkeypatch.setattr(owner, broken, real)
     events(spark, 4).write.parquet(f"{root}/b")
-    ingest_ephemeral(table, f"{root}/*/*.parquet", EVENT)
+    ingest_ephemeral(table, f"{root}/*", EVENT)
     assert keys(table) == [1, 2, 3, 4]
     assert not session.path_exists(spark, f"{root}/*/*.parquet")
     assert not session.path_exists(spark, f"{table.root}/_batches/*")
@@ -220,16 +220,38 @@ def test_direct_flow(spark, make_table, make_history):
 def test_landing_flow_first_full_then_incremental(spark, folder, make_table, make_history):
     history, serving, landing = make_history(USER.schema), serving_of(make_table), folder()
     first = people(spark, ("1", "a", "2026-01-01", "2026-01-01", None), ("2", "b", "2026-08-14", "2026-08-14 12:00:00", None))
-    load = sync_landing(first, landing, history, serving, USER, RUN)
+    load = sync_landing(first, landing, history, serving, USER, RUN, batch_of="users")
     assert load.is_initial and load.batch == "batch_users_full_load" and history.read().count() == 2
-    # The merge looks two days back on a first load as well.
-    assert names(serving) == {"2": "b"}
+    # A first load is served whole, whatever the look-back.
+    assert names(serving) == {"1": "a", "2": "b"}
     second = people(spark, ("1", "a2", "2026-01-01", "2026-08-16 09:00:00", None))
-    load = sync_landing(second, landing, history, serving, USER, datetime(2026, 8, 16, 17, tzinfo=UTC))
+    load = sync_landing(second, landing, history, serving, USER, datetime(2026, 8, 16, 17, tzinfo=UTC), batch_of="users")
     assert not load.is_initial and load.batch == "batch_users_20260816"
     assert names(serving) == {"1": "a2", "2": "b"} and history.read().count() == 3
 
 
+@pytest.mark.parametrize("broken", ["ingest_ephemeral", "batches_to_merge", "merge_recent", "merged"])
+def test_landing_run_that_failed_anywhere_is_served_later(spark, folder, make_table, make_history, monkeypatch, broken):
+    """The run stops after its export, its append, before its merge or before its end; then quiet days pass."""
+    from tidemark.plans import sync
+
+    history, serving, landing = make_history(USER.schema), serving_of(make_table), folder()
+    sync_landing(people(spark, ("1", "a", "2026-01-01", "2026-01-01", None)), landing, history, serving, USER, datetime(2026, 8, 1, 17, tzinfo=UTC))
+    source = people(spark, ("1", "a2", "2026-01-01", "2026-08-02 09:00:00", None))
+    real = getattr(sync, broken)
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(sync, broken, fail)
+    with pytest.raises(RuntimeError):
+        sync_landing(source, landing, history, serving, USER, datetime(2026, 8, 2, 17, tzinfo=UTC))
+    monkeypatch.setattr(sync, broken, real)
+    sync_landing(source, landing, history, serving, USER, datetime(2026, 8, 9, 17, tzinfo=UTC))
+    assert names(serving) == {"1": "a2"} and history.read().count() == 2
+    assert ingest.batches_to_merge(history) == []
+
+
 def test_lookback_filter_comes_before_deduplication(spark, make_table, make_history):
     history, serving = make_history(USER.schema), serving_of(make_table)
     history.append_batch(people(spark, ("1", "inside", "2026-01-01", "2026-08-15", None), ("1", "too old", "2026-01-01", "2026-08-01", None)), "b")
@@ -243,7 +265,7 @@ def test_export_load_names_and_empty_batch(spark, folder, make_history):
     history, landing = make_history(USER.schema), folder()
     assert export_load(people(spark), landing, history.name, USER, RUN).wrote is False
     history.append_batch(people(spark, ("1", "a", "2026-01-01", "2026-01-01", None)), "b")
-    load = export_load(people(spark, ("1", "a", "2026-01-01", "2026-08-15", None)), landing, history.name, USER, RUN)
+    load = export_load(people(spark, ("1", "a", "2026-01-01", "2026-08-15", None)), landing, history.name, USER, RUN, batch_of="users")
     assert (load.batch, load.wrote) == ("batch_users_incremental_20260815", True)
 
 
@@ -273,6 +295,8 @@ def test_dated_flow(spark, folder, make_table, make_history):
         got = {r.id: (r.amount, r.gone) for r in serving.read().selectExpr("id", "amount", "deleted_at is not null gone").collect()}
         assert got == {"1": (710.0, False), "2": (7.0, True), "3": (5.0, False), "n": (1.0, False)}
     assert history.read().count() == 6
+    # A rerun without rows leaves no folder, and ingests none of the earlier one's.
+    assert not run(tx(), 2, 20).wrote and not session.path_exists(spark, f"{landing}/export_20260903")
 
 
 def test_stream_merge_follows_each_append(spark, folder, make_table, make_history):

@@ -209,13 +209,42 @@ def test_small_batch_is_broadcast_and_target_is_not_shuffled(spark, folder):
     assert plan.count("ENSURE_REQUIREMENTS") == 1
 
 
-@pytest.mark.parametrize("rows_allowed, bytes_allowed", [(0, 1 << 30), (10, 0)])
+def test_size_is_that_of_rows_in_memory(spark):
+    """Long texts that compress to nothing still count by their length."""
+    from tidemark.operators.merge import _row_bytes
+
+    df = spark.sql("select id, repeat('a', 10000) text, array(repeat('b', 1000)) many, cast(null as string) none from range(10)")
+    assert df.agg(F.sum(_row_bytes(df.schema))).first()[0] >= 10 * (10_000 + 8_000 + 4 * 8)
+
+
+def test_one_exchange_per_side_for_unique_targets(spark, folder):
+    path = folder()
+    frame(spark, [OLD]).write.parquet(path)
+    side = spark.read.parquet(path).hint("merge")
+    plan = explained(merge(side, side, hard_delete_guarded(CHANGE), unique_source=True, repeated_keys=False))
+    assert plan.count("ENSURE_REQUIREMENTS") == 2 and "FullOuter" in plan and "Union" not in plan
+
+
+@pytest.mark.parametrize("spec", [hard_delete_guarded(CHANGE), soft_delete(CHANGE), hard_delete_unguarded(CHANGE, ("id",))])
+def test_full_join_gives_the_rows_of_the_branches(spark, spec):
+    target = frame(spark, [OLD, ("b", "b", D2, 1, 1, None), (None, "n", D2, 1, 1, None), ("k", "k", D1, 1, 1, None)])
+    source = frame(spark, [("a", "new", D1, 9, 5, None), ("b", "gone", D2, 1, 2, 2), ("c", "c", D2, 1, 1, None), ("d", "d", D2, 1, 1, 1), (None, "s", D1, 1, 1, None)])
+    assert rows(merge(target, source, spec, repeated_keys=False)) == rows(merge(target, source, spec))
+
+
+def test_search_for_partitions_keeps_its_rows_where_they_are(spark, make_table):
+    from tidemark.operators import merge as module
+
+    table = make_table(SCHEMA, partition_by=("day",))
+    table.overwrite(frame(spark, [OLD, ("b", "b", D2, 1, 1, None)]))
+    assert module._matched_partitions(table, frame(spark, [("b", "x", D1, 1, 1, None)]), soft_delete(CHANGE, on=("id",)), False) == {table.partition_values(frame(spark, [("b", "b", D2, 1, 1, None)]))[0]}
+
+
 @pytest.mark.parametrize("spec", [hard_delete_guarded(CHANGE), soft_delete(CHANGE)])
-def test_batches_beyond_either_bound_are_joined_without_broadcast(spark, make_table, monkeypatch, spec, rows_allowed, bytes_allowed):
+def test_batches_beyond_the_bound_are_joined_without_broadcast(spark, make_table, monkeypatch, spec):
     from tidemark.operators import merge as module
 
-    monkeypatch.setattr(module, "BROADCAST_ROWS", rows_allowed)
-    monkeypatch.setattr(module, "BROADCAST_BYTES", bytes_allowed)
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
     hints = []
     monkeypatch.setattr(module.F, "broadcast", lambda df: hints.append(1) or df)
     table = make_table(SCHEMA, partition_by=("day",))

@@ -6,12 +6,16 @@ from pyspark.sql import types as T
 
 from tests.conftest import explained, fields, rows
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.history import as_of, latest_state, retention_stage
+from tidemark.operators.history import as_of, expired, latest_state
+from tidemark.functions.scalars import range_bucket
+from tidemark.functions.timewin import instant_literal
+from tidemark.functions.types import source_type
 from tidemark.model import ChangeTable
 from tidemark.sinks.files import batch_name, export_dated, export_micros
 from tidemark.sources.extract import extract_between, extract_day, extract_previous_day, extract_recent
 from tidemark.sources.files import export_folder, scan_dated, scan_dated_by_filter, scan_glob, scan_hive, scan_hive_repaired
-from tidemark.sources.jdbc import FETCH_SIZE, jdbc_options, window_predicates
+from tidemark.sources.jdbc import FETCH_SIZE, jdbc_options, read_table, window_predicates
+from tidemark.sources.footers import _Stores, store_of
 from tidemark.sources.json_rows import json_to_rows, rows_to_json
 
 RUN_END = datetime(2024, 1, 10, 18, tzinfo=UTC)
@@ -45,8 +49,8 @@ def test_partition_filter_and_columns_reach_the_scan(spark, folder):
 
 def test_closed_and_half_open_window(spark):
     df = stamped(spark, "2024-01-09 23:59:59.9", "2024-01-10 00:00:00", "2024-01-10 23:59:59", "2024-01-10 23:59:59.5", "2024-01-11 00:00:00")
-    assert extract_previous_day(df, "at", RUN_END).count() == 2
-    assert extract_previous_day(df, "at", RUN_END, closed="left").count() == 3
+    assert extract_previous_day(df, "at", RUN_END, closed="both").count() == 2
+    assert extract_previous_day(df, "at", RUN_END).count() == 3
     assert extract_day(df, "at", date(2024, 1, 10)).count() == 3
     with pytest.raises(ValueError):
         extract_between(df, "at", RUN_END, RUN_END, closed="right")
@@ -72,15 +76,15 @@ def test_lookback(spark):
 
 
 def test_jdbc_reads_are_split_without_gaps_or_overlaps():
-    start, end = datetime(2024, 1, 10), datetime(2024, 1, 10, 23, 59, 59)
+    start, end = datetime(2024, 1, 10, 0, 0, 0, 500_000), datetime(2024, 1, 11)
     parts = window_predicates("updated_at", start, end, 4)
     assert parts == [
-        "updated_at >= '2024-01-10 00:00:00' AND updated_at < '2024-01-10 05:59:59'",
-        "updated_at >= '2024-01-10 05:59:59' AND updated_at < '2024-01-10 11:59:59'",
-        "updated_at >= '2024-01-10 11:59:59' AND updated_at < '2024-01-10 17:59:59'",
-        "updated_at >= '2024-01-10 17:59:59' AND updated_at <= '2024-01-10 23:59:59'",
+        "updated_at >= '2024-01-10 00:00:00.500000' AND updated_at < '2024-01-10 06:00:00'",
+        "updated_at >= '2024-01-10 06:00:00' AND updated_at < '2024-01-10 12:00:00'",
+        "updated_at >= '2024-01-10 12:00:00' AND updated_at < '2024-01-10 18:00:00'",
+        "updated_at >= '2024-01-10 18:00:00' AND updated_at < '2024-01-11 00:00:00'",
     ]
-    assert window_predicates("c", start, start, 8) == ["c >= '2024-01-10 00:00:00' AND c <= '2024-01-10 00:00:00'"]
+    assert window_predicates("c", end, end, 8, closed="both") == ["c >= '2024-01-11 00:00:00' AND c <= '2024-01-11 00:00:00'"]
     with pytest.raises(ValueError):
         window_predicates("c", end, start, 1)
     options = jdbc_options("jdbc:mysql://h/db", "users", user="u")
@@ -89,9 +93,9 @@ def test_jdbc_reads_are_split_without_gaps_or_overlaps():
 
 def test_batch_names():
     end = datetime(2026, 8, 31, 17, tzinfo=UTC)
-    assert batch_name(end, True) == "batch_users_full_load"
-    assert batch_name(end, False) == "batch_users_20260831"
-    assert batch_name(end, False, label="incremental_") == "batch_users_incremental_20260831"
+    assert batch_name("users", end, True) == "batch_users_full_load" != batch_name("orders", end, True)
+    assert batch_name("users", end, False) == "batch_users_20260831"
+    assert batch_name("users", end, False, label="incremental_") == "batch_users_incremental_20260831"
     assert export_folder("s3://b/data/", "20260901") == "s3://b/data/export_20260901"
 
 
@@ -197,20 +201,51 @@ def test_as_of(spark):
     assert rows(as_of(history(spark), CHANGE, "2999-01-01 00:00:00")) == rows(latest_state(history(spark), CHANGE))
 
 
-@pytest.mark.parametrize("kind, hours, age, stage", [
-    ("managed", 48, 47, "time_travel"), ("managed", 48, 48, "gone"), ("native", 48, 48, "fail_safe"),
-    ("native", 48, 48 + 167, "fail_safe"), ("native", 48, 48 + 168, "gone"), ("managed", 168, 167, "time_travel"),
-])
-def test_retention_stages(spark, kind, hours, age, stage):
-    df = spark.sql(f"select timestamp_ntz'2024-02-01 00:00:00' - make_dt_interval(0, {age}) gone union all select null")
-    out = retention_stage(df, CHANGE, "2024-02-01 00:00:00", window_hours=hours, kind=kind)
-    got = {r.stage: (r.queryable, r.recoverable) for r in out.collect()}
-    assert got == {stage: (False, stage == "time_travel"), "live": (True, True)}
+def test_expired_rows_are_those_deleted_long_enough_ago(spark):
+    df = spark.sql("""select explode(array(timestamp_ntz'2024-01-29 00:00:00', timestamp_ntz'2024-01-30 00:00:00', timestamp_ntz'2024-01-30 00:00:01',
+        timestamp_ntz'2024-02-02 00:00:00', null)) gone""")
+    assert [str(r[0]) for r in expired(df, CHANGE, "2024-02-01 00:00:00", 48).orderBy("gone").collect()] == ["2024-01-29 00:00:00", "2024-01-30 00:00:00"]
 
 
-def test_retention_window_is_checked(spark):
-    for bad in (24, 50, 192):
+def test_stores_of_footers():
+    assert store_of("s3a://lake/a%20b/x.parquet", {"region": "eu"}) == ("s3://lake/?region=eu", "/a b/x.parquet")
+    assert store_of("hdfs://name:8020/a/x.parquet", {}) == ("hdfs://name:8020/", "/a/x.parquet")
+    assert store_of("file:/tmp/x%3D1/f.parquet", {}) == store_of("file:///tmp/x%3D1/f.parquet", {}) == ("file:///", "/tmp/x=1/f.parquet")
+
+
+def test_footer_stores_are_opened_once():
+    stores = _Stores({})
+    first, other = stores.find("file:/tmp/a%20b.parquet"), stores.find("file:///tmp/c.parquet")
+    assert first[0] is other[0] and (first[1], other[1]) == ("/tmp/a b.parquet", "/tmp/c.parquet")
+
+
+def test_times_with_a_zone_are_converted(spark):
+    from datetime import timedelta, timezone
+
+    jakarta = datetime(2024, 1, 10, 7, tzinfo=timezone(timedelta(hours=7)))
+    df = spark.sql("select timestamp'2024-01-10T00:00:00Z' z, timestamp_ntz'2024-01-10 00:00:00' n")
+    for c in ("z", "n"):
+        assert df.where(F.col(c) == instant_literal(jakarta, df.schema[c].dataType)).count() == 1
+
+
+def test_range_bucket_is_arithmetic(spark):
+    df = spark.sql("select explode(array(-1, 0, 4, 5, 9, 10, 11, 99, null)) x")
+    want = [0, 1, 1, 2, 2, 3, 3, 3, None]
+    bucket = range_bucket(F.col("x"), 0, 11, 5)
+    assert [r[0] for r in df.select(bucket).collect()] == want
+    assert "lambda" not in explained(df.select(bucket))
+
+
+def test_source_types_by_name():
+    assert [source_type(t) for t in ("LONGTEXT", "BOOLEAN", "DATETIME2", "datetime2(7)")] == ["string", "boolean", "timestamp", "timestamp"]
+
+
+def test_nested_maps_are_not_ordered(spark):
+    df = spark.sql("select 1 k, 2 v, struct(map('a', 1) m) s, array(map('b', 2)) a union all select 1, 1, struct(map('a', 2)), array(map('c', 1))")
+    assert [r.v for r in latest_per_key(df, ("k",), "v").collect()] == [2]
+
+
+def test_one_connection_has_to_be_asked_for(spark):
+    for options in ({}, {"split_on": "id", "splits": 4}, {"split_on": "id", "lower": 0, "upper": 9}, {"split_on": "id", "lower": 0, "upper": 9, "splits": 4, "one_task": True}):
         with pytest.raises(ValueError):
-            retention_stage(history(spark), CHANGE, "2024-01-01 00:00:00", window_hours=bad)
-    with pytest.raises(ValueError):
-        retention_stage(history(spark), CHANGE, "2024-01-01 00:00:00", kind="other")
+            read_table(spark, "jdbc:none", "t", ("id",), **options)

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.checks.fixtures import (
-    HIST_SQL, MERGE_SQL, SRC_SQL, TAXI_SQL, TX, TXSRC_SQL, days, monthly_table, new_table, table, taxi,
+    HIST_SQL, MERGE_SQL, SRC_SQL, TAXI_SQL, TX, TXSRC_SQL, monthly_table, new_table, table, taxi,
     tx_history, tx_source, tx_target,
 )
 from tidemark.checks.registry import query
+from tidemark.functions.timewin import current_civil
 from tidemark.operators.aggregates import grouped_totals, top_rows
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.dml import delete_table, insert_rows, update_table
-from tidemark.operators.history import as_of, latest_state, retention_stage
+from tidemark.operators.dml import delete_table, insert_rows, insert_values, update_table
+from tidemark.operators.history import as_of, expired, latest_state
 from tidemark.operators.merge import (
     MergeSpec, hard_delete_guarded, hard_delete_unguarded, merge, merge_table, soft_delete,
 )
@@ -100,39 +101,38 @@ def merge_checked_source(spark: SparkSession, sf: str) -> DataFrame:
     return merge(tx_target(spark, sf), _batch(spark, sf), soft_delete(TX))
 
 
-@query(f"""with {TXSRC_SQL}, {HIST_SQL},
-src as (select k, amt, st, d + 40 d, c_at, u_at, del from hist where u_at = c_at + interval '1' day)
-select t.k, t.amt, t.st, t.d, t.c_at, t.u_at, t.del from txsrc t
-union all select s.k, s.amt, s.st, s.d, s.c_at, s.u_at, s.del from src s""")
+MOVED_SQL = f"with {TXSRC_SQL}, {HIST_SQL}, {SRC_SQL}, moved as (select k, amt, st, d + 40 d, c_at, u_at, del from src)\n"
+
+
+def _moved(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest change of every key, all with another partition value."""
+    return _batch(spark, sf).withColumn("d", F.date_add("d", 40))
+
+
+@query(MOVED_SQL + """select t.k, t.amt, t.st, t.d, t.c_at, t.u_at, t.del from txsrc t
+union all select s.k, s.amt, s.st, s.d, s.c_at, s.u_at, s.del from moved s""")
 def merge_moved_partition(spark: SparkSession, sf: str) -> DataFrame:
     """A key whose partition value changed does not match and gets a second row."""
-    first = tx_history(spark, sf).where(F.col("u_at") == F.col("c_at") + days(F.lit(1)))
-    moved = first.withColumn("d", F.date_add("d", 40))
-    return merge(tx_source(spark, sf), moved, soft_delete(TX), unique_source=True)
+    return merge(tx_source(spark, sf), _moved(spark, sf), soft_delete(TX), unique_source=True)
 
 
-@query(f"""with {TXSRC_SQL}, {HIST_SQL},
-src as (select k, amt, st, d + 40 d, c_at, u_at, del from hist where u_at = c_at + interval '1' day)
-select t.k, coalesce(s.amt, t.amt) amt, coalesce(s.st, t.st) st, coalesce(s.d, t.d) d, t.c_at,
+@query(MOVED_SQL + """select t.k, coalesce(s.amt, t.amt) amt, coalesce(s.st, t.st) st, coalesce(s.d, t.d) d, t.c_at,
        coalesce(s.u_at, t.u_at) u_at, case when s.k is not null then s.del else t.del end del
-from txsrc t left join src s on t.k = s.k""")
+from txsrc t left join moved s on t.k = s.k""")
 def merge_on_key_only(spark: SparkSession, sf: str) -> DataFrame:
     """Matching on the key alone moves the row to its new partition value."""
-    first = tx_history(spark, sf).where(F.col("u_at") == F.col("c_at") + days(F.lit(1)))
-    moved = first.withColumn("d", F.date_add("d", 40))
-    return merge(tx_source(spark, sf), moved, soft_delete(TX, on=("k",)), unique_source=True)
+    return merge(tx_source(spark, sf), _moved(spark, sf), soft_delete(TX, on=("k",)), unique_source=True, repeated_keys=False)
 
 
-@query(f"""with {TXSRC_SQL}, {HIST_SQL},
-src as (select k, amt, st, d, c_at, u_at - interval '36' hour u_at, del from hist where u_at = c_at + interval '2' day)
+@query(f"""with {TXSRC_SQL}, {HIST_SQL}, {SRC_SQL},
+older as (select k, amt, st, d, c_at, u_at - interval '36' hour u_at, del from src)
 select t.k, case when s.u_at > t.u_at then s.amt else t.amt end amt, case when s.u_at > t.u_at then s.st else t.st end st,
        t.d, t.c_at, case when s.u_at > t.u_at then s.u_at else t.u_at end u_at,
        case when s.u_at > t.u_at then s.del else t.del end del
-from txsrc t left join src s on t.k = s.k""")
+from txsrc t left join older s on t.k = s.k""")
 def merge_version_guard(spark: SparkSession, sf: str) -> DataFrame:
     """With the guard an older batch row does not overwrite a newer target row."""
-    second = tx_history(spark, sf).where(F.col("u_at") == F.col("c_at") + days(F.lit(2)))
-    older = second.withColumn("u_at", F.col("u_at") - F.make_dt_interval(hours=F.lit(36)))
+    older = _batch(spark, sf).withColumn("u_at", F.col("u_at") - F.make_dt_interval(hours=F.lit(36)))
     return merge(tx_source(spark, sf), older, soft_delete(TX, guard_version=True), unique_source=True)
 
 
@@ -188,6 +188,18 @@ def dml_insert(spark: SparkSession, sf: str) -> DataFrame:
     return managed.read().drop("bucket")
 
 
+@query(f"""with {TAXI_SQL}, rows_ as (select vendor_id, passenger_count, total_amount, data_file_month, pickup_datetime from taxi
+union all select * from (values (91, 2, 7.5::double, 4::bigint, now()::timestamp), (92, null, 0.25::double, 13::bigint, now()::timestamp)) v)
+select vendor_id, passenger_count, total_amount, data_file_month, pickup_datetime >= timestamp '2020-01-01 00:00:00' as is_new from rows_""")
+def dml_insert_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Literal rows with the current civil time, and no value for the other columns."""
+    managed = _managed(spark, sf)
+    names = ("vendor_id", "passenger_count", "total_amount", "data_file_month", "pickup_datetime")
+    insert_values(managed, names, (91, 2, 7.5, 4, current_civil("Asia/Jakarta")), (92, None, 0.25, 13, current_civil()))
+    new = F.col("pickup_datetime") >= F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+    return managed.read().select(*names[:4], new.alias("is_new"))
+
+
 @query(f"""with {TAXI_SQL} select vendor_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance,
 case when data_file_year = 1997 and data_file_month = 2 and vendor_id = 1 then total_amount + 5.0::double else total_amount end total_amount,
 data_file_year, data_file_month from taxi""")
@@ -276,25 +288,12 @@ def as_of_now(spark: SparkSession, sf: str) -> DataFrame:
     return latest_state(tx_history(spark, sf), TX)
 
 
-RETENTION_SQL = """select k, del,
-case when del is null then 'live' when timestamp '1998-06-01 00:00:00' < del + interval '{w}' hour then 'time_travel'
-     when timestamp '1998-06-01 00:00:00' < del + interval '{s}' hour then 'fail_safe' else 'gone' end stage,
-del is null as queryable,
-del is null or timestamp '1998-06-01 00:00:00' < del + interval '{w}' hour as recoverable from txsrc
-where u_at <= timestamp '1998-06-01 00:00:00'"""
-
-
-def _stages(spark: SparkSession, sf: str, hours: int, kind: str) -> DataFrame:
-    rows = tx_source(spark, sf).where("u_at <= timestamp_ntz'1998-06-01 00:00:00'")
-    staged = retention_stage(rows, TX, "1998-06-01 00:00:00", window_hours=hours, kind=kind)
-    return staged.select("k", "del", "stage", "queryable", "recoverable")
-
-
-@query(f"with {TXSRC_SQL} " + RETENTION_SQL.format(w=48, s=48))
+@query(f"with {TXSRC_SQL} select k, del from txsrc where del <= timestamp '1998-06-01 00:00:00' - interval '48' hour")
 def retention_managed(spark: SparkSession, sf: str) -> DataFrame:
-    return _stages(spark, sf, 48, "managed")
+    """Deleted longer ago than the shortest window; of all rows, some are deleted later than that moment."""
+    return expired(tx_source(spark, sf), TX, "1998-06-01 00:00:00", 48).select("k", "del")
 
 
-@query(f"with {TXSRC_SQL} " + RETENTION_SQL.format(w=168, s=336))
+@query(f"with {TXSRC_SQL} select k, del from txsrc where del <= timestamp '1998-06-01 00:00:00' - interval '168' hour")
 def retention_native(spark: SparkSession, sf: str) -> DataFrame:
-    return _stages(spark, sf, 168, "native")
+    return expired(tx_source(spark, sf), TX, "1998-06-01 00:00:00", 168).select("k", "del")

@@ -16,20 +16,20 @@ from tidemark.checks.fixtures import (
 )
 from tidemark.checks.registry import query
 from tidemark.functions.timewin import batch_date, naive_utc
-from tidemark.model import TRANSAKSI
+from tidemark.model import TRANSAKSI, ChangeTable
 from tidemark.operators.dml import delete_table, update_table
 from tidemark.operators.evolve import evolve_append, schema_diff
 from tidemark.operators.merge import hard_delete_guarded, soft_delete
 from tidemark.operators.storage import footprint, retained_files, storage_report
 from tidemark.plans.sync import (
-    export_load, merge_recent, migrate_hive, sync_dated, sync_direct, sync_evolving, sync_landing,
+    export_load, merge_recent, migrate_hive, sync_dated, sync_direct, sync_landing,
 )
 from tidemark.sinks.files import export_dated, export_micros
 from tidemark.sources.files import active_files, export_folder, file_inventory, scan_dated, scan_glob
 from tidemark.sources.footers import file_fields, schema_union
 from tidemark.sources.json_rows import json_to_rows, rows_to_json
 from tidemark.streaming.ingest import ingest_batch, ingest_ephemeral, ingest_stream, merge_stream
-from tidemark.tables import BATCH, by_day, by_year
+from tidemark.tables import BATCH, LakeTable, by_day, by_year
 
 # Ends on 2026-08-16 00:00 in Jakarta, so the previous local day is the 15th.
 USERS_RUN = datetime(2026, 8, 15, 17, tzinfo=UTC)
@@ -87,7 +87,7 @@ def ingest_ephemeral_landing(spark: SparkSession, sf: str) -> DataFrame:
     history = history_table(spark, "events", events.schema)
     for name, part in (("clicks", "event_type = 'click'"), ("others", "event_type <> 'click'")):
         export_micros(events.where(part), f"{landing}/{name}")
-        ingest_ephemeral(history, f"{landing}/*/*.parquet", events.schema)
+        ingest_ephemeral(history, f"{landing}/*", events.schema)
     left = footprint(file_inventory(spark, landing)).select(F.col("files").alias("files_left"))
     return history.read().drop(BATCH).join(F.broadcast(left), F.lit(True))
 
@@ -129,18 +129,18 @@ def load_cold_start(spark: SparkSession, sf: str) -> DataFrame:
     """Nothing in the history yet: everything is exported."""
     landing = folder(spark, "export")
     history = history_table(spark, "users", USER_SCHEMA, "updated_at")
-    load = export_load(users(spark, sf), landing, history.name, USER, USERS_RUN)
+    load = export_load(users(spark, sf), landing, history.name, USER, USERS_RUN, batch_of="users")
     return scan_glob(spark, f"{landing}/{load.batch}/*.parquet", USER_SCHEMA).withColumn("batch", F.lit(load.batch))
 
 
 @query(f"""with {USERS_SQL} select *, 'batch_users_incremental_20260815' as batch from users
-where updated_at >= timestamp '2026-08-15 00:00:00' and updated_at <= timestamp '2026-08-15 23:59:59'""")
+where updated_at >= timestamp '2026-08-15 00:00:00' and updated_at < timestamp '2026-08-16 00:00:00'""")
 def load_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """The history has rows: only the previous day is exported."""
     landing = folder(spark, "export")
     history = history_table(spark, "users", USER_SCHEMA, "updated_at")
     history.append_batch(users(spark, sf).where("updated_at < timestamp_ntz'2026-08-15 00:00:00'"), "first")
-    load = export_load(users(spark, sf), landing, history.name, USER, USERS_RUN)
+    load = export_load(users(spark, sf), landing, history.name, USER, USERS_RUN, batch_of="users")
     return scan_glob(spark, f"{landing}/{load.batch}/*.parquet", USER_SCHEMA).withColumn("batch", F.lit(load.batch))
 
 
@@ -176,19 +176,28 @@ def _drifted(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     return landing, o
 
 
-@query("""select * from (values ('order_id', 'bigint', false), ('customer_id', 'bigint', false), ('status', 'string', false),
-('order_date', 'date', false), ('created_at', 'timestamp', false), ('item_count', 'bigint', false)) v(name, table_type, conflict)
-where (select count(*) from orders) > 0""", name="schema_union")
+def _conflicting(spark: SparkSession, sf: str) -> str:
+    """The drifted batches and a third, in which the status is a number and a nested column comes along."""
+    landing, o = _drifted(spark, sf)
+    nested = F.struct(F.col("o_orderkey").alias("key")).alias("detail")
+    export_micros(o.select(F.col("o_orderkey").alias("order_id"), F.length("o_orderstatus").alias("status"), nested), f"{landing}/batch_3")
+    return landing
+
+
+@query("""select * from (values ('order_id', 'bigint', false), ('customer_id', 'bigint', false), ('status', 'string', true),
+('order_date', 'date', false), ('created_at', 'timestamp', false), ('item_count', 'bigint', false), ('detail', cast(null as varchar), false))
+v(name, table_type, conflict) where (select count(*) from orders) > 0""", name="schema_union")
 def schema_union_files(spark: SparkSession, sf: str) -> DataFrame:
-    landing, _ = _drifted(spark, sf)
+    """The first file's type of each column, and which columns come in several."""
+    landing = _conflicting(spark, sf)
     return schema_union(file_fields(spark, landing)).select("name", "table_type", "conflict")
 
 
 @query("""select * from (values ('order_id', 'bigint', 'known'), ('customer_id', 'bigint', 'known'),
 ('status', 'string', 'known'), ('note', cast(null as varchar), 'absent'), ('order_date', 'date', 'new'), ('created_at', 'timestamp', 'new'),
-('item_count', 'bigint', 'new')) v(name, table_type, status) where (select count(*) from orders) > 0""", name="schema_diff")
+('item_count', 'bigint', 'new'), ('detail', cast(null as varchar), 'unsupported')) v(name, table_type, status) where (select count(*) from orders) > 0""", name="schema_diff")
 def schema_diff_files(spark: SparkSession, sf: str) -> DataFrame:
-    landing, _ = _drifted(spark, sf)
+    landing = _conflicting(spark, sf)
     declared = T.StructType([*ORDERS_BASE.fields, T.StructField("note", T.StringType())])
     return schema_diff(schema_union(file_fields(spark, landing)), declared).select("name", "table_type", "status")
 
@@ -219,7 +228,16 @@ def sync_evolving_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Both batches at once: one schema for files that differ."""
     landing, _ = _drifted(spark, sf)
     target = history_table(spark, "orders", ORDERS_BASE)
-    sync_evolving(target, f"{landing}/*/*.parquet", "both")
+    evolve_append(target, f"{landing}/*/*.parquet", "both")
+    return _evolved_rows(target.read())
+
+
+@query(EVOLVED_SQL)
+def evolve_nested_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """The landing folder itself: drift and rows come from the same files, however deep they lie."""
+    landing, _ = _drifted(spark, sf)
+    target = history_table(spark, "orders", ORDERS_BASE)
+    evolve_append(target, landing, "both")
     return _evolved_rows(target.read())
 
 
@@ -242,7 +260,7 @@ def retained_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""with {TXSRC_SQL} select count(*) filter (not (d >= date '1998-01-01' and d < date '1999-01-01' and st = 'F')) as rows,
-true as bytes_grew, true as all_counted from txsrc""")
+count(*) filter (d >= date '1998-01-01' and d < date '1999-01-01') as rows_retained, true as bytes_grew, true as all_counted from txsrc""")
 def storage_after_delete(spark: SparkSession, sf: str) -> DataFrame:
     """A delete lowers the row count while the bytes on storage grow until files are cleaned up."""
     serving = monthly_table(spark, "audit")
@@ -252,32 +270,53 @@ def storage_after_delete(spark: SparkSession, sf: str) -> DataFrame:
     before = spark.createDataFrame(before.collect(), before.schema)
     delete_table(serving, CHANGED)
     report, present = storage_report(serving), footprint(file_inventory(spark, serving.root))
-    joined = report.join(before, F.lit(True)).join(present, F.lit(True))
+    rows_retained = _rows_in(serving, retained_files(serving)).agg(F.count(F.lit(1)).alias("rows_retained"))
+    joined = report.join(before, F.lit(True)).join(present, F.lit(True)).join(rows_retained, F.lit(True))
     return joined.select(
-        "rows", (F.col("bytes") > F.col("bytes_before")).alias("bytes_grew"),
+        "rows", "rows_retained", (F.col("bytes") > F.col("bytes_before")).alias("bytes_grew"),
         (F.col("active_bytes") + F.col("retained_bytes") == F.col("bytes")).alias("all_counted"))
 
 
-@query("select distinct o_orderstatus as x from orders")
+def _rows_in(table: LakeTable, files: DataFrame) -> DataFrame:
+    """The rows that the given files of a table's folder hold, with the partition folder each lies in."""
+    stored = table.spark.read.schema(TX_SCHEMA).options(recursiveFileLookup="true").parquet(table.root)
+    return stored.withColumn("path", F.col("_metadata.file_path")).join(files.select("path"), "path", "left_semi")
+
+
+@query("select count(*) as rows_active, 0 as rows_read, count(*) as rows_retained, true as live_files from orders")
+def active_files_emptied(spark: SparkSession, sf: str) -> DataFrame:
+    """After deleting everything the table's own file, without rows, is still active; only the replaced ones are not."""
+    serving = new_table(spark, "emptied", TX_SCHEMA)
+    serving.overwrite(tx_source(spark, sf))
+    before = _rows_in(serving, active_files(serving)).count()
+    delete_table(serving, "true")
+    live = footprint(active_files(serving)).select((F.col("files") > 0).alias("live_files"))
+    retained = _rows_in(serving, retained_files(serving)).agg(F.count(F.lit(1)).alias("rows_retained"))
+    now = serving.read().agg(F.count(F.lit(1)).cast("int").alias("rows_read"))
+    return now.join(retained, F.lit(True)).join(live, F.lit(True)).withColumn("rows_active", F.lit(before).cast("bigint"))
+
+
+@query("select o_orderstatus as x, count(*) as n from orders group by 1")
 def active_file_partitions(spark: SparkSession, sf: str) -> DataFrame:
-    """Partitions the current files belong to, one each after a replacement."""
+    """Partitions the current files belong to, with the rows of those files: replaced ones are not among them."""
     orders = table(spark, sf, "orders")
     copy = new_table(spark, "active", orders.schema, ("o_orderstatus",))
     copy.overwrite(orders)
     copy.overwrite(orders)
     status = F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1)
-    return active_files(copy).select(status.alias("x")).distinct()
+    stored = spark.read.options(recursiveFileLookup="true").parquet(copy.root).withColumn("path", F.col("_metadata.file_path"))
+    return stored.join(active_files(copy), "path", "left_semi").groupBy(status.alias("x")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""with {TXSRC_SQL} select cast(date_trunc('month', d) as date) m, true as one_folder, true as has_bytes
+@query(f"""with {TXSRC_SQL} select cast(date_trunc('month', d) as date) m, 1::bigint as folders, count(*) as rows_held
 from txsrc group by 1""")
 def storage_footprint(spark: SparkSession, sf: str) -> DataFrame:
-    """Files and bytes per partition folder of a table's inventory."""
+    """Folders of each month in a table's inventory, and the rows of the listed files."""
     serving = monthly_table(spark, "footprint")
     serving.overwrite(tx_source(spark, sf))
-    files = file_inventory(spark, serving.root).withColumn("m", F.regexp_extract("path", "/m=([^/]+)/", 1).cast("date"))
-    per_month = files.groupBy("m").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-    return per_month.select("m", (F.col("files") >= 1).alias("one_folder"), (F.col("bytes") > 0).alias("has_bytes"))
+    rows = _rows_in(serving, file_inventory(spark, serving.root))
+    month, place = F.regexp_extract("path", "/m=([^/]+)/", 1).cast("date"), F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    return rows.groupBy(month.alias("m")).agg(F.countDistinct(place).alias("folders"), F.count(F.lit(1)).alias("rows_held"))
 
 
 @query("""select cast(o_orderkey as varchar) id_transaksi, o_totalprice jumlah, o_orderstatus status,
@@ -313,7 +352,7 @@ def insert_from_json(spark: SparkSession, sf: str) -> DataFrame:
 DIRECT_SQL = f"""with {USERS_SQL},
 before as (select id, 'old' as name, email, created_at, created_at as updated_at, case when false then created_at end deleted_at
            from users where email <> 'BUILDING'),
-batch as (select * from users where updated_at >= timestamp '2026-08-15 00:00:00' and updated_at <= timestamp '2026-08-15 23:59:59')
+batch as (select * from users where updated_at >= timestamp '{{low}} 00:00:00' and updated_at < timestamp '2026-08-16 00:00:00')
 select coalesce(t.id, s.id) id, case when s.id is not null then s.name else t.name end as name,
        case when s.id is not null then s.email else t.email end as email, coalesce(t.created_at, s.created_at) created_at,
        case when s.id is not null then s.updated_at else t.updated_at end updated_at,
@@ -330,30 +369,67 @@ def _user_tables(spark: SparkSession, sf: str):
     return history, serving
 
 
-@query(DIRECT_SQL)
+@query(DIRECT_SQL.replace("{low}", "2026-08-15"))
 def sync_direct_users(spark: SparkSession, sf: str) -> DataFrame:
-    """Window extract, JSON hop, append, look-back merge with hard deletes; run twice."""
+    """Window extract, append, look-back merge with hard deletes; run with and without the JSON hop."""
     history, serving = _user_tables(spark, sf)
-    for _ in range(2):
-        sync_direct(users(spark, sf), history, serving, USER, USERS_RUN)
+    for via_json in (False, True):
+        sync_direct(users(spark, sf), history, serving, USER, USERS_RUN, via_json=via_json)
     return serving.read().drop("made")
 
 
-@query(DIRECT_SQL)
+EVENT = ChangeTable(key=("event_id",), version="ts", tombstone="gone", fixed=(), schema=T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("value", T.DoubleType()),
+    T.StructField("gone", T.TimestampNTZType())]))
+
+
+@query("""with e as (select event_id, case when event_id % 3 = 0 then date_trunc('day', ts) + interval '86399' second + interval '500' millisecond else ts end ts,
+value from events) select event_id, ts, value, case when false then ts end as gone from e where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-12'""")
+def sync_direct_fractions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two days' runs over all events, a third of them changed in half of their day's last second: none is lost."""
+    e = table(spark, sf, "events")
+    late = F.date_trunc("day", "ts").cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(86399.5))
+    source = e.select("event_id", F.when(F.col("event_id") % 3 == 0, late).otherwise(F.col("ts")).alias("ts"), "value",
+                      F.lit(None).cast("timestamp_ntz").alias("gone"))
+    history, serving = history_table(spark, "events", EVENT.schema, "ts"), new_table(spark, "main_events", EVENT.schema)
+    for day in (10, 11):
+        sync_direct(source, history, serving, EVENT, datetime(2024, 1, day, 17, tzinfo=UTC))
+    return serving.read()
+
+
+@query(DIRECT_SQL.replace("{low}", "2026-08-14"))
 def sync_landing_users(spark: SparkSession, sf: str) -> DataFrame:
-    """Export to the landing folder, append and clear it, merge what changed in the look-back."""
+    """Export to the landing folder, append and clear it, merge what changed in the look-back of two days."""
     history, serving = _user_tables(spark, sf)
-    history.append_batch(users(spark, sf).where("updated_at < timestamp_ntz'2026-08-10 00:00:00'"), "first")
+    history.append_batch(users(spark, sf).where("updated_at < timestamp_ntz'2026-08-15 00:00:00'"), "first")
     sync_landing(users(spark, sf), folder(spark, "landing"), history, serving, USER, USERS_RUN)
     return serving.read().drop("made")
 
 
 @query(f"""with {USERS_SQL} select * from users where deleted_at is null""")
 def sync_landing_first_load(spark: SparkSession, sf: str) -> DataFrame:
-    """First load, served whole."""
+    """First load with the flow's defaults, served whole."""
+    history = history_table(spark, "users", USER_SCHEMA, "updated_at")
+    serving = new_table(spark, "main_users", USER_SCHEMA, (), ("id",))
+    sync_landing(users(spark, sf), folder(spark, "landing"), history, serving, USER, USERS_RUN)
+    return serving.read()
+
+
+@query(f"""with {USERS_SQL} select * from users where deleted_at is null""")
+def sync_landing_recovered(spark: SparkSession, sf: str) -> DataFrame:
+    """A run fails after its export, quiet days follow, then a busy one: every change is served, however late."""
+    rows = users(spark, sf)
+    landing = folder(spark, "landing")
     history = history_table(spark, "users", USER_SCHEMA, "updated_at")
     serving = new_table(spark, "main_users", USER_SCHEMA, (), ("id",))
-    sync_landing(users(spark, sf), folder(spark, "landing"), history, serving, USER, USERS_RUN, days=None)
+    first = rows.where("updated_at < timestamp_ntz'2026-08-05 00:00:00'")
+    sync_landing(first, landing, history, serving, USER, datetime(2026, 8, 4, 17, tzinfo=UTC))
+    known = rows.where("updated_at < timestamp_ntz'2026-08-06 00:00:00'")
+    export_load(known, landing, history.name, USER, datetime(2026, 8, 5, 17, tzinfo=UTC), label="")  # then the run fails
+    for day in (8, 9):
+        sync_landing(known, landing, history, serving, USER, datetime(2026, 8, day, 17, tzinfo=UTC))
+    export_micros(rows.where("updated_at >= timestamp_ntz'2026-08-06 00:00:00'"), f"{landing}/all_at_once", USER_SCHEMA)
+    sync_landing(rows, landing, history, serving, USER, datetime(2026, 9, 3, 17, tzinfo=UTC))
     return serving.read()
 
 

@@ -80,7 +80,7 @@ def extract_window_half_open(spark: SparkSession, sf: str) -> DataFrame:
 @query("""select event_id, user_id from events
 where ts >= timestamp '2024-01-05 06:00:00' and ts <= timestamp '2024-01-20 12:30:00'""")
 def extract_range(spark: SparkSession, sf: str) -> DataFrame:
-    rows = extract_between(table(spark, sf, "events"), "ts", datetime(2024, 1, 5, 6), datetime(2024, 1, 20, 12, 30))
+    rows = extract_between(table(spark, sf, "events"), "ts", datetime(2024, 1, 5, 6), datetime(2024, 1, 20, 12, 30), closed="both")
     return rows.select("event_id", "user_id")
 
 
@@ -89,11 +89,11 @@ def extract_one_day(spark: SparkSession, sf: str) -> DataFrame:
     return extract_day(table(spark, sf, "events"), "ts", date(2024, 1, 17))
 
 
-@query("""select event_id, ts, event_type, value, cast(props ->> '$.k' as bigint) as k from events""")
+@query("""select event_id, ts, user_id, event_type, value, cast(props ->> '$.k' as bigint) as k from events""")
 def json_unnest(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").drop("user_id")
+    events = table(spark, sf, "events")
     rows = json_to_rows(rows_to_json(events), "payload", events.schema)
-    return rows.select("event_id", "ts", "event_type", "value", json_value(F.col("props"), "k").cast("bigint").alias("k"))
+    return rows.select("event_id", "ts", "user_id", "event_type", "value", json_value(F.col("props"), "k").cast("bigint").alias("k"))
 
 
 @query(f"with {USERS_SQL} select * from users")

@@ -13,10 +13,14 @@ VERSION_NUMBER = r"(\d+)"
 def range_bucket(value: Column, start: int, stop: int, step: int = 1) -> Column:
     """How many bounds of ``start, start+step … stop`` are at or below the value.
 
-    0 is "below the first bound", the last number is "at or above the last one".
+    0 is "below the first bound", the last number is "at or above the last one".  Even
+    steps are arithmetic: no bound is looked at.
     """
-    bounds = F.sequence(F.lit(start), F.lit(stop), F.lit(step))
-    return F.when(value.isNotNull(), F.size(F.filter(bounds, lambda b: b <= value)))
+    if step < 1 or stop < start:
+        raise ValueError("need a positive step and bounds that do not fall")
+    last = (stop - start) // step + 1
+    below = F.floor((value - F.lit(start)) / F.lit(step)) + 1
+    return F.when(value.isNotNull(), F.when(value >= F.lit(start + (last - 1) * step), last).when(value < F.lit(start), 0).otherwise(below)).cast("int")
 
 
 def json_value(document: Column, field: str) -> Column:

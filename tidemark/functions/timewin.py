@@ -82,6 +82,11 @@ def epoch_seconds_col(naive_utc: Column) -> Column:
     return F.unix_seconds(utc_instant(naive_utc))
 
 
+def current_civil(zone: str = "UTC") -> Column:
+    """The current wall clock in ``zone``, the same for every row of a statement."""
+    return _civil(naive_utc(F.current_timestamp()), zone)
+
+
 def utc_instant(naive: Column) -> Column:
     """Label a zone-less column as UTC, whatever the session zone is."""
     return F.make_timestamp_ltz(
@@ -98,6 +103,8 @@ def naive_utc(instant: Column) -> Column:
 
 def instant_literal(value: datetime | date | str, dtype: T.DataType) -> Column:
     """A literal comparable with a column of ``dtype`` that still folds and pushes down."""
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        value = value.astimezone(UTC).replace(tzinfo=None)
     text = value if isinstance(value, str) else f"{value}"
     if isinstance(dtype, T.DateType):
         return F.lit(text[:10]).cast("date")

@@ -46,7 +46,11 @@ SOURCE_TYPES = {
     "varchar": "string",
     "char": "string",
     "text": "string",
+    "tinytext": "string",
+    "mediumtext": "string",
+    "longtext": "string",
     "datetime": "timestamp",
+    "datetime2": "timestamp",
     "timestamp": "timestamp",
     "date": "date",
     "float": "double",
@@ -56,6 +60,7 @@ SOURCE_TYPES = {
     "bit": "boolean",
     "tinyint(1)": "boolean",
     "bool": "boolean",
+    "boolean": "boolean",
     "json": "string",
     "blob": "binary",
     "binary": "binary",

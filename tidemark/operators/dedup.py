@@ -10,6 +10,10 @@ _RANK = "__rank"
 
 
 def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
@@ -17,7 +21,8 @@ def latest_per_key(df: DataFrame, key: tuple[str, ...], version: str, tie_breake
     """Keep the row with the greatest ``version`` of each key; a NULL version is oldest.
 
     Equal versions are decided by ``tie_breakers`` (default: all other columns,
-    greatest first), so the result does not depend on the order of arrival.  Spark
+    greatest first), so the result does not depend on the order of arrival; columns that hold
+    maps or variants have no order, and rows that differ in those alone are a tie.  Spark
     plans a rank limit on both sides of the shuffle: every input task sends on at
     most one row per key, however many rows a hot key has.
     """

@@ -36,6 +36,20 @@ def insert_rows(table: LakeTable, rows: DataFrame) -> None:
     table.insert(rows)
 
 
+def insert_values(table: LakeTable, columns: tuple[str, ...], *rows: tuple) -> None:
+    """INSERT INTO t (columns) VALUES (…), (…); a value is a plain one or an expression such as the current time."""
+    if any(len(row) != len(columns) for row in rows) or not rows:
+        raise ValueError("every row needs a value for each of the columns")
+    types = {f.name: f.dataType for f in table.schema.fields}
+
+    def row_of(values: tuple) -> Column:
+        cells = [v if isinstance(v, Column) else F.lit(v) for v in values]
+        return F.struct(*[v.cast(types[c]).alias(c) for c, v in zip(columns, cells, strict=True)])
+
+    one = table.spark.range(1).select(F.inline(F.array(*[row_of(r) for r in rows])))
+    insert_rows(table, one)
+
+
 def update_table(table: LakeTable, assignments: dict[str, str | Column], where: str) -> None:
     """UPDATE, rewriting only the partitions that hold a matching row."""
     moved = set(assignments) & (set(table.partition_by) | {d.source for _, d in table.derived})

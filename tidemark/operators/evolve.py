@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.files import scan_glob
+from tidemark.sources.files import scan_below
 from tidemark.sources.footers import file_fields, schema_union
 from tidemark.tables import BATCH, LakeTable
 
@@ -60,9 +60,10 @@ def evolve_table(table: LakeTable, landing: str) -> list[T.StructField]:
 def evolve_append(table: LakeTable, landing: str, batch_id: str) -> list[T.StructField]:
     """Widen the table, then append the landed files with the widened schema.
 
-    Files are read with the table's columns, so one without a column gives NULL.
+    Files are read with the table's columns, so one without a column gives NULL.  Both
+    steps look at the same files: all below ``landing``, however deep.
     """
     added = evolve_table(table, landing)
     columns = T.StructType([f for f in table.schema.fields if f.name != BATCH])
-    table.append_batch(scan_glob(table.spark, landing, columns), batch_id)
+    table.append_batch(scan_below(table.spark, landing, columns), batch_id)
     return added

@@ -1,4 +1,4 @@
-"""Past states from the append-only history, and how long deletions can be undone."""
+"""Past states from the append-only history."""
 
 from __future__ import annotations
 
@@ -11,11 +11,6 @@ from tidemark.functions.timewin import column_type, instant_literal
 from tidemark.model import ChangeTable
 from tidemark.operators.dedup import latest_per_key
 
-# The time-travel window in hours, and the extra period of native tables.
-WINDOW_HOURS = (48, 72, 96, 120, 144, 168)
-DEFAULT_WINDOW_HOURS = 168
-FAIL_SAFE_HOURS = 168
-
 
 def as_of(history: DataFrame, change: ChangeTable, moment: datetime | str) -> DataFrame:
     """The live rows as they stood at ``moment``: newest version by then, without deleted ones."""
@@ -24,37 +19,12 @@ def as_of(history: DataFrame, change: ChangeTable, moment: datetime | str) -> Da
     return latest_per_key(seen, change.key, version).where(F.col(change.tombstone).isNull())
 
 
+def expired(df: DataFrame, change: ChangeTable, now: datetime | str, hours: int) -> DataFrame:
+    """Rows deleted at least ``hours`` before ``now``; a tombstone that lies ahead deletes nothing yet."""
+    moment = instant_literal(now, column_type(df, change.tombstone))
+    return df.where(F.col(change.tombstone) <= moment - F.make_dt_interval(hours=F.lit(hours)))
+
+
 def latest_state(history: DataFrame, change: ChangeTable) -> DataFrame:
     """The live rows now."""
     return latest_per_key(history, change.key, change.version).where(F.col(change.tombstone).isNull())
-
-
-def check_window(hours: int) -> int:
-    if hours not in WINDOW_HOURS:
-        raise ValueError(f"the window is 48 to 168 hours in steps of 24, not {hours}")
-    return hours
-
-
-def retention_stage(df: DataFrame, change: ChangeTable, now: datetime | str, *,
-                    window_hours: int = DEFAULT_WINDOW_HOURS, kind: str = "managed") -> DataFrame:
-    """Add ``stage``, ``queryable`` and ``recoverable`` for each row.
-
-    ``live`` rows are not deleted.  A deleted row is hidden at once, recoverable by
-    ``time_travel`` until the window ends, then, for ``kind="native"``, held in
-    ``fail_safe`` (support only), and then ``gone``.
-    """
-    if kind not in ("managed", "native"):
-        raise ValueError('kind is "managed" or "native"')
-    check_window(window_hours)
-    moment = instant_literal(now, column_type(df, change.tombstone))
-    gone_at = F.col(change.tombstone)
-    window_end = gone_at + F.make_dt_interval(hours=F.lit(window_hours))
-    safe_end = window_end + F.make_dt_interval(hours=F.lit(FAIL_SAFE_HOURS if kind == "native" else 0))
-    stage = (
-        F.when(gone_at.isNull(), "live").when(moment < window_end, "time_travel")
-        .when(moment < safe_end, "fail_safe").otherwise("gone")
-    )
-    return df.withColumn("stage", stage).withColumns({
-        "queryable": F.col("stage") == "live",
-        "recoverable": F.col("stage").isin("live", "time_travel"),
-    })

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -15,9 +16,8 @@ from tidemark.session import staged
 from tidemark.tables import LakeTable
 
 
-# A batch is broadcast up to these sizes: stored (compressed) bytes, and rows.
+# A batch is broadcast up to this size of its rows in memory.
 BROADCAST_BYTES = 8 << 20
-BROADCAST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -157,8 +157,8 @@ def _check_columns(spec: MergeSpec, columns: list[str]) -> None:
         raise ValueError(f"the target has no column {sorted(named - set(columns))}")
 
 
-def _inserts(fresh: DataFrame, spec: MergeSpec, source_columns: list[str], schema: T.StructType) -> DataFrame:
-    """Rows without a match (under alias ``s``) as the first insert clause that applies writes them."""
+def _insert_values(spec: MergeSpec, source_columns: list[str], schema: T.StructType) -> dict[str, Column]:
+    """What the first insert clause that applies writes into each column, from alias ``s``."""
     choice = _first_true(spec.not_matched)
     have = {c.lower() for c in source_columns}
 
@@ -171,11 +171,17 @@ def _inserts(fresh: DataFrame, spec: MergeSpec, source_columns: list[str], schem
             taken = F.when(choice.isin(takers), taken)
         return taken.alias(field.name)
 
-    return fresh.where(choice >= 0).select(*[value(f) for f in schema.fields])
+    return {f.name: value(f) for f in schema.fields}
+
+
+def _inserts(fresh: DataFrame, spec: MergeSpec, source_columns: list[str], schema: T.StructType) -> DataFrame:
+    """Rows without a match (under alias ``s``) as the first insert clause that applies writes them."""
+    values = _insert_values(spec, source_columns, schema)
+    return fresh.where(_first_true(spec.not_matched) >= 0).select(*values.values())
 
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False,
-          broadcast_source: bool = False) -> DataFrame:
+          broadcast_source: bool = False, repeated_keys: bool = True) -> DataFrame:
     """The target after the merge.
 
     Two branches: target rows with their match, if any, and source rows without one.
@@ -183,19 +189,24 @@ def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, *, unique_sourc
     needs the target's key columns only, reduced to distinct keys before they are
     moved, so a key with very many rows costs one row per task.
 
+    ``repeated_keys=False`` states that no key has very many rows in the target, as in a
+    table kept by merges: then one full outer join gives all three kinds of rows, with
+    one exchange per side.
+
     ``unique_source`` states that the source holds one row per ``on`` key already,
     as :func:`latest_per_key` guarantees; otherwise that is checked.
     ``broadcast_source`` states that the source was found small (see
     :func:`merge_table`): then the target is not shuffled at all.  The source is read
     once per branch; store a costly one first.
     """
-    kept, added = merge_branches(target, source, spec, unique_source=unique_source, broadcast_source=broadcast_source)
+    kept, added = merge_branches(target, source, spec, unique_source=unique_source, broadcast_source=broadcast_source,
+                                 repeated_keys=repeated_keys)
     return kept if added is None else kept.unionByName(added)
 
 
 def merge_branches(target: DataFrame, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False,
-                   broadcast_source: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """The two branches of :func:`merge`: rows that were there, and rows that are new."""
+                   broadcast_source: bool = False, repeated_keys: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """The two branches of :func:`merge`: rows that were there, and rows that are new (None: the first has both)."""
     columns = target.columns
     types = {f.name: f.dataType for f in target.schema.fields}
     _check_columns(spec, columns)
@@ -205,7 +216,10 @@ def merge_branches(target: DataFrame, source: DataFrame, spec: MergeSpec, *, uni
     s = _with_keys(source, spec.on, "s").alias("s")
     side = F.broadcast if broadcast_source else (lambda df: df)
 
-    joined = t.join(side(s), _equal(spec.on, "t", "s"), "left_outer")
+    whole = bool(spec.not_matched) and not broadcast_source and not repeated_keys
+    if whole:
+        t = t.withColumn("__there", F.lit(True)).alias("t")
+    joined = t.join(side(s), _equal(spec.on, "t", "s"), "full_outer" if whole else "left_outer")
     # An equality match needs a non-NULL key, so this tells matched rows apart.
     matched = F.col(_key_names(spec.on, "s")[0]).isNotNull()
     action = F.when(matched, _first_true(spec.matched)).otherwise(-1)
@@ -221,6 +235,11 @@ def merge_branches(target: DataFrame, source: DataFrame, spec: MergeSpec, *, uni
         old = F.col(f"t.`{name}`")
         return (old if value is None else value.otherwise(old)).alias(name)
 
+    if whole:
+        there, choice = F.coalesce("__there", F.lit(False)), _first_true(spec.not_matched)
+        rows = joined.where(F.when(there, ~action.isin(deletes) if deletes else F.lit(True)).otherwise(choice >= 0))
+        fields = _insert_values(spec, source.columns, target.schema)
+        return rows.select(*[F.when(there, result(c)).otherwise(fields[c]).alias(c) for c in columns]), None
     kept = joined.where(~action.isin(deletes)) if deletes else joined
     kept = kept.select(*[result(c) for c in columns])
     if not spec.not_matched:
@@ -248,8 +267,18 @@ def _with_partitions(table: LakeTable, spec: MergeSpec) -> MergeSpec:
     return replace(spec, on=spec.on + implied)
 
 
-def _is_small(rows: int, size: int) -> bool:
-    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+def _row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row in memory, at least: a word for every column, and what variable ones hold."""
+    def held(c: Column, dtype: T.DataType) -> Column | None:
+        if isinstance(dtype, (T.StringType, T.BinaryType, T.CharType, T.VarcharType)):
+            return F.octet_length(c)
+        if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            return 8 * F.octet_length(F.to_json(F.struct(c.alias("v"))))
+        return None
+
+    parts = [held(F.col(f"`{f.name}`"), f.dataType) for f in schema.fields]
+    words = F.lit(16 * (len(parts) + 1)).cast("long")
+    return reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), [p for p in parts if p is not None], words)
 
 
 def _matched_partitions(table: LakeTable, source: DataFrame, spec: MergeSpec, small: bool) -> set[tuple]:
@@ -258,8 +287,6 @@ def _matched_partitions(table: LakeTable, source: DataFrame, spec: MergeSpec, sm
     keys = _with_keys(source, spec.on, "s").select(*_key_names(spec.on, "s"))
     if small:
         keys = F.broadcast(keys)
-    else:
-        target = target.distinct()  # combined before the shuffle, so a hot key stays small
     return set(table.partition_values(target.join(keys, _equal(spec.on, "t", "s"), "left_semi")))
 
 
@@ -278,32 +305,34 @@ def _publish(table: LakeTable, kept: DataFrame, added: DataFrame | None, touched
     table.publish(kept if added is None else kept.unionByName(table.spread(table.shaped(added))), touched)
 
 
-def merge_table(table: LakeTable, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False) -> None:
+def merge_table(table: LakeTable, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False,
+                repeated_keys: bool = False, stage: bool = True) -> None:
     """Merge a batch into a catalog table, rewriting only the partitions it touches.
 
-    The batch is stored first, which gives its exact rows and bytes; only a batch
-    within ``BROADCAST_ROWS`` and ``BROADCAST_BYTES`` is broadcast.  If the ``on``
+    The batch is stored first (``stage=False``: it is stored already) and its size in
+    memory is measured; only one within ``BROADCAST_BYTES`` is broadcast.  If the ``on``
     keys settle the partition, the touched partitions are the batch's own; otherwise
-    the target's key columns are searched for matches as well.
+    the target's key columns are searched for matches as well.  Say ``repeated_keys``
+    for a table in which a key may have very many rows.
     """
     source = table.with_derived(source)
     if table.is_empty():
         table.overwrite(merge_into_nothing(source, spec, table.schema, unique_source=unique_source))
         return
     spec = _with_partitions(table, spec)
-    with staged(source) as (batch, size):
-        held = batch.groupBy(*table.partition_by).count().collect()
-        rows = sum(r["count"] for r in held)
-        if not rows:
+    with staged(source) if stage else nullcontext((source, None)) as (batch, _):
+        held = batch.groupBy(*table.partition_by).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(batch.schema)).alias("size")).collect()
+        if not sum(r["n"] for r in held):
             return
-        small = _is_small(rows, size)
+        small = sum(r["size"] for r in held) <= BROADCAST_BYTES
         target, touched = table.read(), set()
         if table.partition_by:
-            touched = {tuple(r)[:-1] for r in held}
+            touched = {tuple(r)[:-2] for r in held}
             if not set(table.partition_by) <= set(spec.on):
                 touched |= _matched_partitions(table, batch, spec, small)
             target = table.only(touched)
-        kept, added = merge_branches(target, batch, spec, unique_source=unique_source, broadcast_source=small)
+        kept, added = merge_branches(target, batch, spec, unique_source=unique_source, broadcast_source=small,
+                                     repeated_keys=repeated_keys)
         _publish(table, kept, added, touched, _moved(table, spec) or not small)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import version_number
-from tidemark.sources.files import active_folders, file_inventory, folder_of
+from tidemark.sources.files import active_folders, file_inventory, with_folder
 from tidemark.tables import LakeTable
 
 
@@ -19,13 +19,13 @@ def footprint(files: DataFrame) -> DataFrame:
 
 def retained_files(table: LakeTable) -> DataFrame:
     """Files on storage that the table no longer reads, kept only for time travel."""
-    files = file_inventory(table.spark, table.root).withColumn("folder", folder_of(F.col("path")))
+    files = with_folder(file_inventory(table.spark, table.root))
     return files.join(active_folders(table), "folder", "left_anti").drop("folder")
 
 
 def storage_report(table: LakeTable) -> DataFrame:
     """Active and retained files and bytes side by side with the row count."""
-    present = file_inventory(table.spark, table.root).withColumn("folder", folder_of(F.col("path")))
+    present = with_folder(file_inventory(table.spark, table.root))
     active = active_folders(table).withColumn("active", F.lit(True))
     marked = present.join(active, "folder", "left_outer").withColumn("active", F.coalesce("active", F.lit(False)))
     kept = F.col("active")

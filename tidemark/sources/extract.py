@@ -20,8 +20,8 @@ def extract_full(source: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return source.select(*columns)
 
 
-def extract_between(source: DataFrame, column: str, start: datetime, end: datetime, closed: str = "both") -> DataFrame:
-    """Rows whose change time lies in a window, ``closed="both"`` or ``"left"``."""
+def extract_between(source: DataFrame, column: str, start: datetime, end: datetime, closed: str = "left") -> DataFrame:
+    """Rows whose change time lies in a window without its end; ``closed="both"`` includes it."""
     if closed not in ("both", "left"):
         raise ValueError('closed is "both" or "left"')
     dtype = column_type(source, column)
@@ -31,11 +31,11 @@ def extract_between(source: DataFrame, column: str, start: datetime, end: dateti
 
 
 def extract_previous_day(source: DataFrame, column: str, run_end: datetime, zone: str = DEFAULT_ZONE,
-                         closed: str = "both") -> DataFrame:
+                         closed: str = "left") -> DataFrame:
     """Rows changed on the local day before the run's end.
 
-    ``closed="both"`` ends at 23:59:59 and so misses fractions of the last second;
-    ``closed="left"`` ends before the next midnight and misses nothing.
+    The window ends before the next midnight and misses nothing.  ``closed="both"`` ends at
+    23:59:59 instead, and so misses fractions of the last second.
     """
     start, end = previous_day_window(run_end, zone)
     return extract_between(source, column, start, end if closed == "both" else start + timedelta(days=1), closed)

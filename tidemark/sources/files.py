@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +13,15 @@ from tidemark.functions.timewin import shifted_batch_date
 from tidemark.tables import LakeTable
 
 
+# Which files lie "below" a folder or pattern, for every reader that looks there.
+BELOW = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+
+
+def scan_below(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """Every Parquet file below a folder or pattern, however deep, with a declared schema."""
+    return spark.read.schema(schema).options(**BELOW).parquet(root)
+
+
 def scan_glob(spark: SparkSession, pattern: str, schema: T.StructType | None = None) -> DataFrame:
     """Every Parquet file under a wildcard; a new call sees newly landed files.
 
@@ -66,10 +76,7 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     The content column is pruned, so only the listing is paid for, and Spark lists
     large trees on the executors.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet").load(root)
-    )
+    files = spark.read.format("binaryFile").options(**BELOW).load(root)
     return files.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("length"),
@@ -78,12 +85,22 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
 
 
 def active_folders(table: LakeTable) -> DataFrame:
-    """Folders the table's current content is read from.
+    """Folders the catalog names as the table's content: one per partition, or the table's own.
 
-    Column pruning leaves a scan of row counts, and the partial aggregate turns each
-    task's rows into a few folders before the shuffle.
+    No row and no file is read, so a folder whose files hold no rows is active too.
     """
-    return table.read().select(folder_of(F.col("_metadata.file_path")).alias("folder")).distinct()
+    return table.spark.createDataFrame([(plain_uri(location),) for location in table.locations()], "folder string")
+
+
+def with_folder(files: DataFrame) -> DataFrame:
+    """An inventory with the folder of each file, written as the catalog writes it."""
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    return files.withColumn("folder", F.regexp_replace(folder, "^file:/+", "file:/"))
+
+
+def plain_uri(location: str) -> str:
+    """``file:///x`` and ``file:/x`` as one."""
+    return re.sub("^file:/+", "file:/", location.rstrip("/"))
 
 
 def active_files(table: LakeTable) -> DataFrame:
@@ -91,9 +108,4 @@ def active_files(table: LakeTable) -> DataFrame:
 
     A partition is published as a folder, so a folder is active as a whole.
     """
-    files = file_inventory(table.spark, table.root).withColumn("folder", folder_of(F.col("path")))
-    return files.join(active_folders(table), "folder", "left_semi").drop("folder")
-
-
-def folder_of(path: Column) -> Column:
-    return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
+    return with_folder(file_inventory(table.spark, table.root)).join(active_folders(table), "folder", "left_semi").drop("folder")

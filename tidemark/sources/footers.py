@@ -3,23 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote, urlencode, urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.types import sql_type_name
+from tidemark.sources.files import BELOW
 
 FOOTER_SCHEMA = "path string, position int, name string, incoming_type string, table_type string"
 
 
-def _open(path: str):
-    """File system and inner path of a file as Spark names it (``file:/…`` has no host part)."""
-    import pyarrow.fs as pafs
+# Schemes of Hadoop's connectors under the names the footer library knows.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "wasbs": "abfss", "wasb": "abfs"}
 
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return pafs.FileSystem.from_uri(path)
+
+def store_of(path: str, options: dict[str, str]) -> tuple[str, str]:
+    """URI of the store a file lies in, with options as its query, and the file's path below it.
+
+    ``file:/…`` has no host part; every other store is its scheme and host.
+    """
+    parts = urlsplit(path)
+    if parts.scheme in ("", "file"):
+        return "file:///", unquote(parts.path) if parts.scheme else path
+    query = f"?{urlencode(options)}" if options else ""
+    return f"{SCHEMES.get(parts.scheme, parts.scheme)}://{parts.netloc}/{query}", unquote(parts.path)
+
+
+class _Stores:
+    """File systems by store, each opened once per task."""
+
+    def __init__(self, options: dict[str, str]):
+        self.options, self.open = options, {}
+
+    def find(self, path: str):
+        import pyarrow.fs as pafs
+
+        store, inner = store_of(path, self.options)
+        if store not in self.open:
+            self.open[store] = (pafs.LocalFileSystem(), "") if store == "file:///" else pafs.FileSystem.from_uri(store)
+        filesystem, base = self.open[store]
+        return filesystem, base.rstrip("/") + inner
 
 
 def _table_type(arrow_type) -> str | None:
@@ -32,31 +57,32 @@ def _table_type(arrow_type) -> str | None:
         return None
 
 
-def read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def read_footers(batches: Iterator[pd.DataFrame], options: dict[str, str] | None = None) -> Iterator[pd.DataFrame]:
     """One row per field of each file.  ``table_type`` is NULL for a type no table column can take."""
     import pyarrow.parquet as pq
 
+    stores = _Stores(options or {})
     for batch in batches:
         rows = []
         for path in batch["path"]:
-            filesystem, inner = _open(path)
+            filesystem, inner = stores.find(path)
             for position, field in enumerate(pq.read_schema(inner, filesystem=filesystem)):
                 rows.append((path, position, field.name, str(field.type), _table_type(field.type)))
         yield pd.DataFrame(rows, columns=["path", "position", "name", "incoming_type", "table_type"])
 
 
-def file_fields(spark: SparkSession, root: str) -> DataFrame:
+def file_fields(spark: SparkSession, root: str, **options: str) -> DataFrame:
     """Fields of every Parquet file below ``root``: only footers are read, never rows.
 
+    Executors open the store themselves; ``options`` such as ``region``, ``endpoint_override``
+    or ``access_key`` are what its URI takes, and without them they use their own credentials.
+
     ``mergeSchema`` cannot do this: it fails where two files give a column different
     types, and here the first file's type is wanted.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet").load(root).select("path")
-    )
+    files = spark.read.format("binaryFile").options(**BELOW).load(root).select("path")
     # Files are packed into scan tasks by size; spread them by count, as a footer costs the same in each.
-    return files.repartition("path").mapInPandas(read_footers, FOOTER_SCHEMA)
+    return files.repartition("path").mapInPandas(lambda batches: read_footers(batches, options), FOOTER_SCHEMA)
 
 
 def schema_union(fields: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import json_elements, json_value
 from tidemark.functions.timewin import naive_utc, utc_instant
 from tidemark.functions.types import ZONED_TEXT, to_text
 
@@ -43,14 +42,15 @@ def rows_to_json(df: DataFrame, array_rows: int = ARRAY_ROWS) -> DataFrame:
 
 
 def json_to_rows(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """One row per array element, its fields read as text and cast to ``schema``.
+    """One row per array element, parsed once, its fields read as text and cast to ``schema``.
 
     Unlike the coercing exports, a value that does not fit its type is an error here.
     """
-    elements = df.select(F.explode(json_elements(F.col(column))).alias("element"))
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    elements = df.select(F.explode(F.from_json(F.col(column), T.ArrayType(texts))).alias("element"))
 
     def value(f: T.StructField):
-        text = json_value(F.col("element"), f.name)
+        text = F.col("element")[f.name]
         if isinstance(f.dataType, T.TimestampType):
             # Text without a zone is UTC whatever the session zone is.
             zoned = text.rlike(ZONED_TEXT)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.model import ChangeTable
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.merge import MergeSpec, merge_table
-from tidemark.session import delete_files, delete_path, list_glob, path_exists, touch
+from tidemark.session import delete_path, list_glob, path_exists, touch
 from tidemark.sources.files import scan_glob
 from tidemark.tables import BATCH, LakeTable
 
+REMOVALS = 8  # folders removed at a time; the calls wait on the store
+
 
 def ingest_batch(table: LakeTable, pattern: str, batch_id: str, schema: T.StructType | None = None) -> bool:
     """Append the files under a pattern that identifies one batch, keeping the files.
@@ -31,23 +34,26 @@ def ingest_batch(table: LakeTable, pattern: str, batch_id: str, schema: T.Struct
 
 
 def ingest_ephemeral(table: LakeTable, pattern: str, schema: T.StructType | None = None, *,
-                     label: str = "landing") -> list[str]:
-    """Append whatever has landed, then remove exactly those files; returns them.
-
-    The file list of a batch is stored before anything else.  If a run fails, the
-    next one finds the stored list and finishes that batch first: it appends the list
-    again under the same batch id unless that was done, and removes the files.  A
-    file that lands meanwhile is neither read nor removed; it is the next run's.
-    Runs must not overlap.
+                     label: str = "landing", to_merge: bool = False) -> list[str]:
+    """Append the batch folders under a pattern, then remove exactly those; returns them.
+
+    Only folders whose writer finished (``_SUCCESS``) are taken, and the driver handles
+    folders, never files.  The list of a run's folders is stored before anything else.
+    If a run fails, the next one finds the list and finishes that batch first: it
+    appends the folders again under the same batch id unless that was done, and
+    removes them.  A folder that lands meanwhile is the next run's; a writer must not
+    replace one that has landed.  Runs must not overlap.
+
+    ``to_merge`` notes appended batches until :func:`merged` is called for them.
     """
     spark = table.spark
     pending = [p.rsplit("/", 2)[-2] for p in list_glob(spark, f"{table.root}/_batches/*/_SUCCESS")]
-    taken = [f for batch_id in pending for f in _finish(table, batch_id, schema)]
-    if path_exists(spark, pattern):
+    taken = [f for batch_id in pending for f in _finish(table, batch_id, schema, to_merge)]
+    folders = [p.rsplit("/", 1)[0] for p in list_glob(spark, f"{pattern.rstrip('/')}/_SUCCESS")]
+    if folders:
         batch_id = f"{label}-{uuid.uuid4().hex}"
-        files = scan_glob(spark, pattern, schema).inputFiles()
-        spark.createDataFrame([(f,) for f in files], "path string").write.parquet(_listing(table, batch_id))
-        taken += _finish(table, batch_id, schema)
+        spark.createDataFrame([(f,) for f in folders], "path string").coalesce(1).write.parquet(_listing(table, batch_id))
+        taken += _finish(table, batch_id, schema, to_merge)
     return taken
 
 
@@ -55,17 +61,30 @@ def _listing(table: LakeTable, batch_id: str) -> str:
     return f"{table.root}/_batches/{batch_id}"
 
 
-def _finish(table: LakeTable, batch_id: str, schema: T.StructType | None) -> list[str]:
+def _finish(table: LakeTable, batch_id: str, schema: T.StructType | None, to_merge: bool) -> list[str]:
     spark, listing = table.spark, _listing(table, batch_id)
-    files = [r["path"] for r in spark.read.schema("path string").parquet(listing).collect()]
+    folders = [r["path"] for r in spark.read.schema("path string").parquet(listing).collect()]
     appended = f"{listing}/_appended"
     if not path_exists(spark, appended):
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        table.append_batch(reader.parquet(*files), batch_id)
+        table.append_batch(reader.parquet(*folders), batch_id)
         touch(spark, appended)
-    delete_files(spark, files)
+    if to_merge:
+        touch(spark, f"{table.root}/_to_merge/{batch_id}")
+    with ThreadPoolExecutor(REMOVALS) as removals:
+        list(removals.map(lambda folder: delete_path(spark, folder), folders))
     delete_path(spark, listing)
-    return files
+    return folders
+
+
+def batches_to_merge(table: LakeTable) -> list[str]:
+    """Batches that were appended and not merged yet."""
+    return sorted(p.rsplit("/", 1)[1] for p in list_glob(table.spark, f"{table.root}/_to_merge/*"))
+
+
+def merged(table: LakeTable, batches: list[str]) -> None:
+    for batch_id in batches:
+        delete_path(table.spark, f"{table.root}/_to_merge/{batch_id}")
 
 
 def stream_files(spark: SparkSession, pattern: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -111,12 +130,15 @@ def merge_stream(history: LakeTable, serving: LakeTable, change: ChangeTable, sp
                  max_files: int | None = None) -> StreamingQuery:
     """Append each micro-batch to the history and then merge it into the serving table.
 
-    The merge reads the rows the append stored, and starts only when that is done.
+    The merge reads the rows the append stored, from where they are, and starts only when
+    that is done.  Every micro-batch is a partition of the history: choose the trigger
+    and ``max_files`` so that there are few, or gather old ones with
+    ``history.append_batch(rows of several batches, name)`` and ``drop_partitions``.
     """
     def step(batch: DataFrame, number: int) -> None:
         name = _batch_name(prefix, number)
         history.append_batch(batch, name)
         stored = history.read().where(F.col(BATCH) == name).select(*change.columns)
-        merge_table(serving, latest_per_key(stored, change.key, change.version), spec, unique_source=True)
+        merge_table(serving, latest_per_key(stored, change.key, change.version), spec, unique_source=True, stage=False)
 
     return _run(stream_files(history.spark, pattern, schema, max_files), checkpoint, step)

@@ -1,7 +1,7 @@
 """Catalog tables made of Parquet partitions.
 
 A changed partition is written to a new folder and the catalog's location for it is
-switched afterwards (`ALTER TABLE … SET LOCATION`).  Readers never see half a
+switched afterwards, for all changed partitions by one request.  Readers never see half a
 partition, a failed job leaves the table as it was, and the replaced files stay on
 storage until they are cleaned up, which is what the retention reports look at.
 """
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -31,7 +30,7 @@ UNITS = ("day", "month", "year")
 BATCH = "batch_id"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 PARTITIONS_PER_STATEMENT = 500
-CATALOG_CALLS = 8
+LISTED_VALUES = 64  # beyond so many values of the leading column, all partitions are listed at once
 
 Values = tuple  # one value per partition column
 
@@ -53,7 +52,12 @@ def _literal(value) -> str:
 def _parse(text: str, dtype: T.DataType):
     if text == NULL_FOLDER:
         return None
-    text = unquote(text)
+    return _typed(unquote(text), dtype)
+
+
+def _typed(text: str, dtype: T.DataType):
+    if text == NULL_FOLDER:
+        return None
     if isinstance(dtype, T.DateType):
         return date.fromisoformat(text)
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
@@ -250,17 +254,16 @@ class LakeTable:
         with micros_writer(df.sparkSession):
             self.sorted(self.spread(self.shaped(df))).write.insertInto(self.name)
 
-    def append_batch(self, df: DataFrame, batch_id: str) -> None:
+    def append_batch(self, df: DataFrame, batch_id: str) -> bool:
         """Append a batch under its own ``batch_id`` partition.
 
         Running the same batch again replaces that partition, so an append that is
-        retried or replayed leaves the rows once.
+        retried or replayed leaves the rows once.  Returns whether there were rows.
         """
         if not self.partition_by or self.partition_by[0] != BATCH:
             raise ValueError(f"{self.name} is not partitioned by {BATCH} first")
-        before = self.partitions(batch_id)
         rows = self.spread(self.shaped(df.withColumn(BATCH, F.lit(batch_id))), skip=(BATCH,))
-        self.publish(rows, before, before)
+        return self.publish(rows, self._held({batch_id}))
 
     def replace_partitions(self, df: DataFrame, touched: Iterable[Values]) -> None:
         """Publish ``df`` as the whole new content of the ``touched`` partitions.
@@ -269,34 +272,75 @@ class LakeTable:
         """
         self.publish(self.spread(self.shaped(df)), touched)
 
-    def publish(self, rows: DataFrame, touched: Iterable[Values], known: Iterable[Values] | None = None) -> None:
+    def publish(self, rows: DataFrame, touched: Iterable[Values]) -> bool:
         """:meth:`replace_partitions` for rows in the table's shape, written from the tasks they are in.
 
         Rows that were read from this table still lie by partition and need no
-        exchange.  ``known`` are the catalog's partitions, where the caller listed
-        them.
+        exchange.  All partitions that the catalog holds already are switched by one
+        request.  Returns whether any partition was written.
         """
         version = self._write_version(rows)
         if not self.partition_by:
             self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION {_quoted(version)}")
             self.spark.catalog.refreshTable(self.name)
-            return
-        known = set(self.partitions() if known is None else known)
-        written = self._written(version)
-        new = [(v, loc) for v, loc in written.items() if v not in known]
+            return True
+        written, touched = self._written(version), set(touched)
+        held = self._held({v[0] for v in (*touched, *written)})
+        new = [(v, loc) for v, loc in written.items() if v not in held]
         for start in range(0, len(new), PARTITIONS_PER_STATEMENT):
             chunk = new[start:start + PARTITIONS_PER_STATEMENT]
             clauses = " ".join(f"PARTITION ({self._spec(v)}) LOCATION {_quoted(loc)}" for v, loc in chunk)
             self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {clauses}")
-        changed = [
-            f"ALTER TABLE {self.name} PARTITION ({self._spec(v)}) SET LOCATION {_quoted(loc)}"
-            for v, loc in written.items() if v in known
-        ]
-        # One catalog call per partition; they wait on the catalog, not on this machine.
-        with ThreadPoolExecutor(CATALOG_CALLS) as calls:
-            list(calls.map(self.spark.sql, changed))
-        self.drop_partitions([v for v in touched if v in known and v not in written])
+        self._relocate([(held[v], loc) for v, loc in written.items() if v in held])
+        self.drop_partitions([v for v in touched if v in held and v not in written])
         self.spark.catalog.refreshTable(self.name)
+        return bool(written)
+
+    def _catalog(self):
+        """The session catalog and this table's name in it."""
+        state = self.spark._jsparkSession.sessionState()
+        return state.catalog(), state.sqlParser().parseTableIdentifier(self.name)
+
+    def _held(self, leading: set) -> dict[Values, object]:
+        """The catalog's partitions under some values of the leading partition column, listed by those values."""
+        types = {f.name: f.dataType for f in self.schema.fields}
+        catalog, name = self._catalog()
+        jvm, first = self.spark._jvm, self.partition_by[0]
+        if None in leading or len(leading) > LISTED_VALUES:
+            wanted = [jvm.scala.Option.empty()]
+        else:
+            specs = ({first: f"{value}"} for value in leading)
+            wanted = [jvm.scala.Some(jvm.org.apache.spark.api.python.PythonUtils.toScalaMap(spec)) for spec in specs]
+        out = {}
+        for spec in wanted:
+            found = catalog.listPartitions(name, spec)
+            for i in range(found.size()):
+                part = found.apply(i)
+                texts = (part.spec().apply(c) for c in self.partition_by)
+                out[tuple(None if t is None else _typed(t, types[c]) for c, t in zip(self.partition_by, texts, strict=True))] = part
+        return out
+
+    def _relocate(self, moves: list[tuple[object, str]]) -> None:
+        """Point partitions at new folders, all in one request to the catalog."""
+        if not moves:
+            return
+        jvm = self.spark._jvm
+        changed = []
+        for part, location in moves:
+            old = part.storage()
+            place = jvm.scala.Some(jvm.org.apache.hadoop.fs.Path(location).toUri())
+            storage = old.copy(place, old.inputFormat(), old.outputFormat(), old.serde(), old.compressed(), old.properties())
+            changed.append(part.copy(part.spec(), storage, part.parameters(), part.createTime(), part.lastAccessTime(), jvm.scala.Option.empty()))
+        catalog, name = self._catalog()
+        catalog.alterPartitions(name, jvm.org.apache.spark.api.python.PythonUtils.toSeq(changed))
+
+    def locations(self) -> list[str]:
+        """Folders the current content is read from, as the catalog names them."""
+        catalog, name = self._catalog()
+        if not self.partition_by:
+            return [catalog.getTableMetadata(name).location().toString()]
+        found = catalog.listPartitions(name, self.spark._jvm.scala.Option.empty())
+        return [found.apply(i).location().toString() for i in range(found.size())]
 
     def overwrite(self, df: DataFrame) -> None:
         """CREATE OR REPLACE TABLE … AS SELECT."""
