@@ -138,7 +138,7 @@ def _fit(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-4) -> tuple
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000,
-          terms: int = 500, support: int = 6, least_odds: float = 30.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+          terms: int = 500, support: int = 6, least_odds: float = 40.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Learn from labelled documents: ``labels`` has the id and ``toxic`` (0 or 1).
 
     Bounds: ``sample`` labelled documents are read, ``terms`` words are kept; only those and the sample's weights and
