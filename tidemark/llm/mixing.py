@@ -115,7 +115,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         .withColumn("stop", stop).select(F.col("source").alias("_s"), F.col("block").alias("_b"), (F.col("stop") - F.col("t")).alias("start"), "stop", "o"))
 
     joined = dealt.join(ranked, dealt["source"].eqNullSafe(ranked["_s"]) & (dealt["block"] == ranked["_b"]))
-    whole = F.col("stop") <= F.col("left")
+    whole = (F.col("left") > 0) & (F.col("stop") <= F.col("left"))
     cut = (F.col("start") < F.col("left")) & ~whole
     # The block where the budget ends: its documents in hash order, while they fit.
     fit = Window.partitionBy("source", "block").orderBy(_hash(seed + 2, "doc_id"), "doc_id")
