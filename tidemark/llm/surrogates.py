@@ -234,8 +234,8 @@ def replaced(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     text = F.col(f"`{text_col}`").cast("string")
     found = docs.select(F.struct("*").alias("_row"), _mentions(text).alias("_found"))
     some = F.size("_found") > 0
-    # Rows with mentions are written once; the number of a row is the same in every reading of those files.
-    hits = stored(found.where(some)).withColumn("_uid", F.monotonically_increasing_id())
+    # Rows with mentions are written once, with a number each.
+    hits = stored(found.where(some).withColumn("_uid", F.monotonically_increasing_id()))
     each = hits.select("_uid", F.explode(F.array_distinct(F.transform("_found", lambda m: F.struct(m["kind"].alias("kind"), m["entity"].alias("entity"))))).alias("m"))
     each = stored(each.select("_uid", "m.*"))
     known = assign(each.select("kind", "entity").distinct(), key)
