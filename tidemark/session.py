@@ -130,13 +130,3 @@ def touch(spark: SparkSession, path: str) -> None:
 def delete_path(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _path(spark, path)
     return fs.delete(hadoop_path, True)
-
-
-def delete_files(spark: SparkSession, uris: list[str]) -> int:
-    """Delete the given files (URIs as Spark reports them); absent ones do not count."""
-    removed = 0
-    for uri in uris:
-        target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
-        if target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, False):
-            removed += 1
-    return removed
