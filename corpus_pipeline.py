@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of token ids whose lengths are powers of two."""
-    return packing.packed(docs)
+    return packing.packed(docs, marks=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -73,6 +73,32 @@ def test_packing_edge_cases(spark, folder):
     assert spark.read.parquet(path).where("bucket = 10").select(F.size("ids")).distinct().collect() == [(1024,)]
 
 
+UNMODIFIED = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def unmodified(text):
+    return UNMODIFIED.encode(text, add_special_tokens=False).ids
+
+
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext|", "<|", "|>", " ", "  ", "\n", "a", " b", "é", "'s", "12", "😀"]), max_size=12).map("".join))
+@settings(max_examples=100, deadline=None)
+def test_marked_ids_are_the_unmodified_tokenizers(text):
+    assert packing.encoder(marks=True)(text) == unmodified(text)
+
+
+def test_query_and_pipeline_find_marks(spark, folder):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> y  ", None]
+    path = folder("marks")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{path}/documents.parquet")
+    want = {k: [*unmodified(t or ""), 0] for k, t in enumerate(texts)}
+    assert want[0] == [64, 50256, 65, 0]
+    for r in corpus_pipeline.pack(spark, docs, path).collect():
+        assert r["ids"] == want[r["doc_id"]][r["start"]:r["start"] + r["length"]] and r["doc_tokens"] == len(want[r["doc_id"]])
+    for r in queries.op8_power_of_two_packing(spark, path).collect():
+        assert r["ids_crc32"] == packing.ids_crc32(want[r["doc_id"]][r["start"]:r["start"] + r["length"]])
+
+
 def mix_by_hand(plan, budget_left):
     """Copies of one source's documents from the order of its blocks and documents."""
     epochs, left = plan

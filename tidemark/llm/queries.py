@@ -158,7 +158,7 @@ def op7_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op8_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
-    sequences = packing.with_checksum(packing.packed(table(spark, folder, "documents").select("doc_id", "text")))
+    sequences = packing.with_checksum(packing.packed(table(spark, folder, "documents").select("doc_id", "text"), marks=True))
     return sequences.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
