@@ -56,6 +56,41 @@ def test_license_edge_cases(spark):
         licenses.Scanner({"none": "..."}, 0.8).templates[0].words  # noqa: B018
 
 
+def licenses_in(text):
+    return [m.name for m in licenses.Scanner(licenses.TEMPLATES | licenses.long_texts(), 0.8).scan(text)]
+
+
+HEADER = licenses.TEMPLATES["GPL header"]
+
+
+@pytest.mark.parametrize("text", [
+    "Released under the BSD License.", "Licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC-SA 4.0.", "Licensed under the Mozilla License, Version 2.0.",
+    "This work is licensed under the GNU General Public License, version 2.", "Licensed under the Apache License, Version 1.1.",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", HEADER.replace("version 3", "version 4"),
+    HEADER.replace("General Public", "Free Documentation").replace("GNU", "Other"), "All rights not reserved."])
+def test_licenses_without_a_template(text):
+    assert licenses_in(text) == []
+
+
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES | licenses.long_texts()))
+def test_every_license_is_told_from_its_relatives(name):
+    text = (licenses.TEMPLATES | licenses.long_texts())[name]
+    assert name in licenses_in(f"Some words. {text} More words.")
+    assert not {n for n in licenses_in(text) if n != name and not n.endswith((" notice", " header", " reserved"))}
+
+
+def test_competing_licenses():
+    t = licenses.TEMPLATES
+    assert licenses_in(t["BSD-3-Clause"].replace("copyright holder", "Example Foundation of Apache users")) == ["BSD-3-Clause"]
+    assert licenses_in(t["BSD-3-Clause"] + " and " + t["BSD-2-Clause"]) == ["BSD-2-Clause", "BSD-3-Clause"]
+    assert licenses_in(HEADER.replace("GNU General", "GNU Affero General")) == ["AGPL header"]
+    assert licenses_in("Released under the BSD License. Released under the MIT License.") == ["MIT notice"]
+    affero = licenses.long_texts()["GPL-3.0"].replace("Use with the GNU Affero General Public License", "Remote Network Interaction")
+    assert "GPL-3.0" not in licenses_in(affero)
+    changed = licenses.long_texts()["GPL-3.0"].replace("program", "thing")
+    assert "GPL-3.0" in licenses_in(changed)
+
+
 def plain_judgement(host, path, rules):
     fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     best = max(fits, key=lambda r: (len(r.host.split(".")), len(r.path)), default=None)
