@@ -128,6 +128,14 @@ def test_near_edge_cases(spark):
     assert rows(minhash_dedup.near_duplicates(frame(spark, []))) == []
 
 
+def test_near_texts_of_one_id(spark):
+    """Every text of an id finds its near copies, whichever class the id names."""
+    texts = {c: " ".join(f"{c}{k}" for k in range(60)) for c in "abcdef"}
+    data = [(5, t) for t in texts.values()] + [(20 + k, f"{t} more") for k, t in enumerate(texts.values())] + [(90, "other " + texts["c"] + " x y z u v w q r s t")]
+    got = rows(minhash_dedup.near_duplicates(frame(spark, data)))
+    assert got == linked_by_hand(data, 3, 85) and sum(r[2] == 5 for r in got) >= 12
+
+
 def test_near_keep_one_keeps_columns(spark):
     df = spark.createDataFrame([(1, "a b c d e f", 1, "x"), (2, "a b c d e f", 2, "y"), (3, None, 3, "z")], "doc_id long, text string, _gone int, component_id string")
     got = minhash_dedup.keep_one(df, width=5, percent=80)

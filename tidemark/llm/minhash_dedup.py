@@ -7,7 +7,8 @@ most ``2 * (1 - s ** rows) ** halves``: 5e-6 at s = 0.85 with the defaults, 1e-7
 
 Steps, all of them joins and aggregations over stored tables:
 
-1. Documents with equal sets form a class, named by its smallest id, and one of them stands for it.
+1. Documents with equal sets form a class, named by its smallest id, and one of them stands for it. An id with several texts may name
+   several classes; each keeps its keys and its set.
 2. Keys that several classes share are kept, with the classes that hold them.
 3. Classes that cannot reach the threshold go: if x and y are similar, at most a share ``1 - threshold`` of x's shingles is
    absent from all other candidates. This is exact, and it empties the huge buckets of documents that share only a passage.
@@ -104,12 +105,12 @@ def _full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, widt
 
 
 def _possible(sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
-    """Candidates that can still have a partner, with ``own``: how many of their shingles no other candidate has."""
+    """Sets ``(id, part)`` that can still have a partner, with ``own``: how many of their shingles no other set has."""
     live = sets
     for _ in range(rounds):
-        single = live.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).where("c = 1")
-        private = single.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
-        counted = live.select("id", "shingles").join(private, "id", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+        single = live.select("part", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("part").alias("part")).where("c = 1")
+        private = single.groupBy("part").agg(F.count(F.lit(1)).alias("own"))
+        counted = live.select("id", "part", "shingles").join(private, "part", "left").withColumn("own", F.coalesce("own", F.lit(0)))
         live = stored(counted.where(100 * F.col("own") <= (100 - percent) * F.size("shingles")))
     return live
 
@@ -159,11 +160,12 @@ def _against_hubs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_links(docs: DataFrame, sketch: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 85) -> DataFrame:
     """Links ``(a, b)`` between class representatives that join up everything similar, besides those of equal sets."""
     named = F.struct("id", "first", "second")
-    classes = stored(sketch.where("n > 0 and id is not null").groupBy("digest").agg(F.min(named).alias("c")).select("c.*").dropDuplicates(["id"]))
+    classes = stored(sketch.where("n > 0 and id is not null").groupBy("digest").agg(F.min(named).alias("c")).select("c.*"))
     keys = _table_keys(classes)
     shared = stored(keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"))
     members = stored(keys.join(shared, "key"))
-    sets = stored(_full_sets(docs, members.select("id").distinct(), id_col, text_col, width))
+    # An id may have several sets: each is told from the others by its number.
+    sets = stored(_full_sets(docs, members.select("id").distinct(), id_col, text_col, width).withColumn("part", F.monotonically_increasing_id()))
     live = _possible(sets, percent)
     # An id's sets as one: the least size and the most shared shingles of any of them.
     sizes = live.groupBy("id").agg(F.min(F.size("shingles")).alias("n"), F.max(F.size("shingles") - F.col("own")).alias("c"), F.min("own").alias("own"))
