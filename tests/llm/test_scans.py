@@ -217,6 +217,26 @@ def test_coreference_and_formats(spark):
     assert got == (f"Mr. {new['given_m'].capitalize()} {family}, +1 ({phone[2:5]}) {phone[5:8]}-{phone[8:]}. MR. {family.upper()}: {phone}, {new['mail']}; {new['mail'].upper()}")
 
 
+def test_given_names_are_one_entity(spark):
+    """Whatever the title, a person has one given name, of the listed gender."""
+    text = "Dr. John Smith met John Smith, Mr. John Smith and Prof. Maria Smith. Mr. Smith left."
+    [(got,)] = surrogates.replace_private(spark.createDataFrame([(text,)], "text string"), KEY).collect()
+    w = got.replace(",", "").replace(".", "").split()
+    assert w[1] == w[4] == w[7] and w[2] == w[5] == w[8] == w[12] == w[14]
+    genders = {n.lower(): g for (g, _), names in surrogates.GIVEN.items() for n in names}
+    assert genders[w[1].lower()] == "m" and genders[w[11].lower()] == "f"
+
+
+def test_given_names_of_all_titles_are_distinct(spark):
+    names = [f"name{'abcdefghij'[k % 10]}{'abcdef'[k // 10]}" for k in range(60)]
+    known = [(f"given_{g}", n) for k, n in enumerate(names) for g in (("m", "f", "")[k % 3], "")]
+    got = surrogates.assign(spark.createDataFrame(sorted(set(known)), "kind string, entity string"), KEY).collect()
+    by_name = {}
+    for r in got:
+        by_name.setdefault(r["entity"], set()).add(r["surrogate"])
+    assert len(got) == 100 and all(len(x) == 1 for x in by_name.values()) and len(set.union(*by_name.values())) == 60
+
+
 def test_collisions_are_resolved(spark):
     """More family names than the list has: every entity still gets its own, and none is another entity."""
     names = [f"name{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10]}" for k in range(100)] + ["turner", "keller"]

@@ -4,6 +4,7 @@ Detected are e-mail addresses, IPv4 addresses, payment card numbers, telephone n
 ``token =``, and personal names after a title or beginning with a listed given name. An entity's canonical form is what
 its mentions share (a number's digits, a name part in lower case), so mentions written differently get the same
 replacement, each in its own format; given and family names are entities of their own, so ``Mr. Smith`` still goes with ``John Smith``.
+A given name is one entity with and without title; its gender is settled over the corpus, by the list of names first, then by titles.
 
 Replacements come from an HMAC of key, kind, canonical form and attempt. They keep length, separators, letter case and script, the
 gender of given names, the country code of numbers, the network digit and check-digit validity of cards, the private ranges of addresses and
@@ -205,22 +206,45 @@ def _mentions(text: Column) -> Column:
     return find(text)
 
 
+def _settled(entities: DataFrame) -> DataFrame:
+    """``base, entity, made`` for distinct ``entities(kind, entity)``: given names are one ``base``, made by one gender each over the corpus.
+
+    A listed name has its listed gender, another one that of its titles; without title or with titles of both, the key decides.
+    """
+    def listed(gender: str) -> Column:
+        return F.col("entity").isin([n.lower() for (g, _), names in GIVEN.items() if g == gender for n in names])
+
+    is_given = F.col("kind").startswith("given_")
+    m, f = (F.max((F.col("kind") == f"given_{g}").cast("int")) == 1 for g in "mf")
+    given = entities.where(is_given).groupBy("entity").agg(m.alias("m"), f.alias("f"))
+    gender = (
+        F.when(listed("m") & ~listed("f"), "m").when(listed("f") & ~listed("m"), "f")
+        .when(F.col("m") & ~F.col("f"), "m").when(F.col("f") & ~F.col("m"), "f").otherwise(""))
+    given = given.select(F.lit("given").alias("base"), "entity", F.concat(F.lit("given_"), gender).alias("made"))
+    return entities.where(~is_given).select(F.col("kind").alias("base"), "entity", F.col("kind").alias("made")).unionByName(given)
+
+
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
-    """``kind, entity, surrogate`` for distinct ``entities(kind, entity)``: no two of a kind share one, and none is an entity."""
+    """``kind, entity, surrogate`` for distinct ``entities(kind, entity)``: no two of a kind share one, and none is an entity.
+
+    Given names are one kind here, whatever gender their titles tell: a name has one replacement.
+    """
     @F.arrow_udf("string")
     def make(kinds: pa.Array, names: pa.Array, attempts: pa.Array) -> pa.Array:
         rows = zip(kinds.to_pylist(), names.to_pylist(), attempts.to_pylist(), strict=True)
         return pa.array([surrogate(key, kind, name, attempt) for kind, name, attempt in rows], pa.string())
 
-    table = stored(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", make("kind", "entity", "attempt")))
-    taken = table.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("taken"))
+    table = stored(_settled(entities).withColumn("attempt", F.lit(0)).withColumn("surrogate", make("made", "entity", "attempt")))
+    taken = table.select("base", F.col("entity").alias("surrogate"), F.lit(True).alias("taken"))
+    held = ["base", "entity", "made", "attempt", "surrogate"]
     while True:
-        first = table.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"))
-        judged = table.join(first, ["kind", "surrogate"]).join(taken, ["kind", "surrogate"], "left")
-        judged = stored(judged.withColumn("clash", F.coalesce("taken", F.lit(False)) | (F.col("entity") != F.col("first"))).select("kind", "entity", "attempt", "surrogate", "clash"))
+        first = table.groupBy("base", "surrogate").agg(F.min("entity").alias("first"))
+        judged = table.join(first, ["base", "surrogate"]).join(taken, ["base", "surrogate"], "left")
+        judged = stored(judged.withColumn("clash", F.coalesce("taken", F.lit(False)) | (F.col("entity") != F.col("first"))).select(*held, "clash"))
         if judged.where("clash").isEmpty():
-            return judged.select("kind", "entity", "surrogate")
-        again = judged.where("clash").withColumn("attempt", F.col("attempt") + 1).withColumn("surrogate", make("kind", "entity", "attempt"))
+            base = F.when(F.col("kind").startswith("given_"), "given").otherwise(F.col("kind"))
+            return entities.withColumn("base", base).join(judged, ["base", "entity"]).select("kind", "entity", "surrogate")
+        again = judged.where("clash").withColumn("attempt", F.col("attempt") + 1).withColumn("surrogate", make("made", "entity", "attempt"))
         table = stored(judged.where("not clash").unionByName(again).drop("clash"))
 
 
@@ -238,7 +262,7 @@ def replaced(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     hits = stored(found.where(some).withColumn("_uid", F.monotonically_increasing_id()))
     each = hits.select("_uid", F.explode(F.array_distinct(F.transform("_found", lambda m: F.struct(m["kind"].alias("kind"), m["entity"].alias("entity"))))).alias("m"))
     each = stored(each.select("_uid", "m.*"))
-    known = assign(each.select("kind", "entity").distinct(), key)
+    known = assign(stored(each.select("kind", "entity").distinct()), key)
     # One document's own entities, gathered by its number.
     own = each.join(known, ["kind", "entity"]).groupBy("_uid").agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias("_own"))
 
