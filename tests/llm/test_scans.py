@@ -193,6 +193,26 @@ def test_detection(text, kinds):
     assert [m[2] for m in surrogates.detect(text)] == kinds
 
 
+@pytest.mark.parametrize("number", ["3782 822463 10005", "378282246310005", "3782-822463-10005", "3056 930902 5904", "30569309025904", "4222222222222", "4222 2222 2222 2",
+                                    "6304000000000000000", "6304 0000 0000 0000 000"])
+def test_cards_of_other_lengths(number, spark):
+    assert [(m[0], m[1], m[2]) for m in surrogates.detect(f"paid with {number} 12/27")] == [(10, 10 + len(number), "card")]
+    wrong = number[:-1] + str((int(number[-1]) + 1) % 10)
+    assert (10, 10 + len(number)) not in [m[:2] for m in surrogates.detect(f"paid with {wrong}.")]
+    [(got,)] = surrogates.replace_private(spark.createDataFrame([(f"paid with {number}.",)], "text string"), KEY).collect()
+    [m] = surrogates.detect(got)
+    assert m[2] == "card" and number not in got and [c.isdigit() for c in got[10:-1]] == [c.isdigit() for c in number]
+
+
+def test_bare_names(spark):
+    text = "Smith first. Mr. John Smith came. Smith said that John left; SMITH'S smithy, a smith, Smithson."
+    [(got,)] = surrogates.replace_private(spark.createDataFrame([(text,)], "text string"), KEY).collect()
+    w = got.replace(".", "").replace("'S", "").split()
+    given, family = w[3], w[4]
+    assert got == f"Smith first. Mr. {given} {family} came. {family} said that {given} left; {family.upper()}'S smithy, a smith, Smithson."
+    assert given != "John" and family != "Smith"
+
+
 @pytest.mark.parametrize(("kind", "entity"), [("mail", "bob.x7@mail.example.com"), ("phone", "+15215556210"), ("ip", "192.168.3.4"), ("card", "4111111111111111"),
                                               ("card", "4408744102898390"), ("secret", "f0ddae3b09ae356cbefe"), ("given_f", "мария"), ("family", "müller")])
 def test_surrogates_keep_type_and_format(kind, entity):

@@ -1,7 +1,7 @@
 """Surrogates for private data: every detected entity gets a keyed replacement of its own type and shape.
 
-Detected are e-mail addresses, IPv4 addresses, payment card numbers, telephone numbers, secrets that follow a name such as
-``token =``, and personal names after a title or beginning with a listed given name. An entity's canonical form is what
+Detected are e-mail addresses, IPv4 addresses, payment card numbers (16 digits, or 13 to 19 with a right check digit), telephone numbers, secrets that follow a name such as
+``token =``, and personal names after a title or beginning with a listed given name, with later mentions of their parts alone. An entity's canonical form is what
 its mentions share (a number's digits, a name part in lower case), so mentions written differently get the same
 replacement, each in its own format; given and family names are entities of their own, so ``Mr. Smith`` still goes with ``John Smith``.
 A given name is one entity with and without title; its gender is settled over the corpus, by the list of names first, then by titles.
@@ -22,6 +22,7 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -49,11 +50,16 @@ _MAIL = re.compile(r"[^\W_][\w.%+-]*@[^\W_](?:[\w-]*\.)+[^\W\d_]{2,}")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _IP = re.compile(rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)")
 _CARD = re.compile(r"(?<![\w.-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\w-])")
+# Other lengths count if the check digit is right: 13 to 19 digits unbroken or in the groups that cards are printed in.
+_GROUPS = ("4 6 5", "4 6 4", "4 4 4 1", "4 4 4 2", "4 3 3 3", "4 4 5", "3 4 4 4", "4 4 4 3", "6 8", "6 9", "4 4 4 4 1", "4 4 4 4 2", "4 4 4 4 3", "6 11", "6 12", "6 13")
+_LONG_CARD = re.compile(r"(?<![\w.-])(?:\d{13,19}|" + "|".join(sep.join(rf"\d{{{n}}}" for n in g.split()) for g in _GROUPS for sep in (" ", "-")) + r")(?![\w-])")
 _PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[-.]\d{4}|\d{3}([-.])\d{3}\1\d{4})(?!\w)")
 _SECRET = re.compile(r"(?i)\b(?:token|secret|password|api[_-]?key|access[_-]?key)\b[\"']?\s*[:=]\s*[\"']?([A-Za-z0-9+/_-]{16,})")
 _TITLED = re.compile(r"\b(" + "|".join(re.escape(f) for t in TITLES for f in (t.capitalize(), t.upper())) + r")(?:\.|(?!\w))[ \xa0]+([^\W\d_]+(?:[ \xa0-][^\W\d_]+){0,2})")
 _LISTED = re.compile(r"\b(" + "|".join(n for names in GIVEN.values() for n in names) + r")[ \xa0]([^\W\d_]+)")
 
+_WORD = re.compile(r"[^\W\d_]+")
+
 Mention = tuple[int, int, str, str]
 
 
@@ -86,6 +92,20 @@ def _names(text: str) -> list[Mention]:
     return out
 
 
+def _long_card(mention: str, digits: str) -> bool:
+    """One or two digits after a right number of 16 are more likely another number."""
+    return len(digits) != 16 and _valid_card(digits) and not (mention[4:5] in " -" and len(digits) in (17, 18) and _valid_card(digits[:16]))
+
+
+def _bare(text: str, names: list[Mention]) -> list[Mention]:
+    """Later mentions, alone and capitalised, of names that the text has introduced; a name is what it was first."""
+    known: dict[str, Mention] = {}
+    for mention in sorted(names):
+        known.setdefault(mention[3], mention)
+    words = _WORD.finditer(text, min(m[1] for m in names))
+    return [(w.start(), w.end(), of[2], of[3]) for w in words if w[0][0].isupper() and (of := known.get(w[0].lower())) and w.start() >= of[1]]
+
+
 def detect(text: str) -> list[Mention]:
     """Mentions ``(start, end, kind, canonical form)`` in order, without overlaps; earlier kinds win."""
     found: list[Mention] = []
@@ -95,14 +115,23 @@ def detect(text: str) -> list[Mention]:
         found += [(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
     if any(d in text for d in "0123456789"):
         found += [(m.start(), m.end(), "ip", m[0]) for m in _IP.finditer(text)]
+        found += [(m.start(), m.end(), "card", d) for m in _LONG_CARD.finditer(text) if _long_card(m[0], d := _digits(m[0]))]
         found += [(m.start(), m.end(), "card", _digits(m[0])) for m in _CARD.finditer(text)]
         found += [(m.start(), m.end(), "phone", ("+" if m[0][0] == "+" else "") + _digits(m[0])) for m in _PHONE.finditer(text)]
     found += _names(text)
+    taken = _apart(found)
+    names = [m for m in taken if m[2] == "family" or m[2].startswith("given_")]
+    return _apart(taken + _bare(text, names)) if names else taken
+
+
+def _apart(found: list[Mention]) -> list[Mention]:
+    """Mentions in order of place, without those that overlap an earlier one of the list."""
     taken: list[Mention] = []
     for mention in found:
-        if not any(mention[0] < t[1] and t[0] < mention[1] for t in taken):
-            taken.append(mention)
-    return sorted(taken)
+        k = bisect_left(taken, mention[:1])
+        if (k == 0 or taken[k - 1][1] <= mention[0]) and (k == len(taken) or mention[1] <= taken[k][0]):
+            taken.insert(k, mention)
+    return taken
 
 
 class _Stream:
