@@ -184,6 +184,15 @@ def search_by_hand(vectors, k):
     return out
 
 
+def test_tool_query_passes_every_row(spark, folder):
+    chats = [(1, 0, "system", "s"), (1, 0, "user", "u"), (1, 1, "assistant", "abc"), (1, 2, "user", "r"), (1, 3, "assistant", None), (1, 4, "user", None), (2, 0, None, None)]
+    path = folder("chats")
+    spark.createDataFrame(chats, "conv_id long, turn int, role string, text string").write.parquet(f"{path}/conversations.parquet")
+    assert queries.tool_messages(spark, path).count() == len(chats)
+    got = {(r["call_id"], r["status"], r["result_turn"]) for r in queries.op2_tool_call_linking(spark, path).collect()}
+    assert got == {("call-1-1", "linked", 2)}
+
+
 def run_search(spark, vectors, **options):
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
     stored = topk.numbered(topk.scaled(df))

@@ -43,7 +43,8 @@ def tool_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The conversations as tool chats, as the table holds none.
 
     Each assistant turn becomes a call that waits for the assistant turn before it, each later user turn a result of the turn before it. A text's
-    length decides the tool, and which arguments are missing, of a wrong type or unknown.
+    length decides the tool, and which arguments are missing, of a wrong type or unknown. All other rows go along as they are: null texts in
+    the roles of calls and results, other roles, and first user turns.
     """
     size, turn = F.length("text"), F.col("turn")
     call_id = lambda back: F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), turn - back)
@@ -58,10 +59,14 @@ def tool_messages(spark: SparkSession, folder: str) -> DataFrame:
     name = F.when(size % 3 == 0, "search").when(size % 3 == 1, "calculate").otherwise("fetch")
     call = F.struct(call_id(0).alias("id"), name.alias("name"), arguments.alias("arguments"), F.when(turn >= 2, call_id(2)).alias("after"))
     result = F.struct(call_id(1).alias("tool_call_id"), F.col("text").alias("content"))
-    chats = table(spark, folder, "conversations").where("text is not null")
-    as_call = chats.where("role = 'assistant'").select("conv_id", "turn", "role", F.to_json(F.struct(F.array(call).alias("tool_calls"))).alias("text"))
-    as_result = chats.where("role = 'user' and turn > 0").select("conv_id", "turn", F.lit("tool").alias("role"), F.to_json(result).alias("text"))
-    return as_call.unionByName(as_result)
+    chats = table(spark, folder, "conversations")
+    is_call = F.coalesce(F.expr("text is not null and role = 'assistant'"), F.lit(False))
+    is_result = F.coalesce(F.expr("text is not null and role = 'user' and turn > 0"), F.lit(False))
+    as_call = chats.where(is_call).select("conv_id", "turn", "role", F.to_json(F.struct(F.array(call).alias("tool_calls"))).alias("text"))
+    as_result = chats.where(is_result).select("conv_id", "turn", F.lit("tool").alias("role"), F.to_json(result).alias("text"))
+    role = F.when(F.expr("text is null and role = 'user' and turn > 0"), "tool").otherwise(F.col("role")).alias("role")
+    others = chats.where(~is_call & ~is_result).select("conv_id", "turn", role, "text")
+    return as_call.unionByName(as_result).unionByName(others)
 
 
 @query("""
