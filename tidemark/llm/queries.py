@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, licenses, minhash_dedup, mixing, packing, surrogates, tool_calls, topk, toxicity, url_filter
+from tidemark.llm import (
+    codebooks, exact_dedup, licenses, minhash_dedup, mixing, packing, pivots, sketches, surrogates, tool_calls, topk, toxicity, url_filter, vectors,
+)
+from tidemark.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -175,3 +178,77 @@ PII_KEY = b"query key"
 def op9_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     found = surrogates.replaced(table(spark, folder, "documents").select("doc_id", "text"), PII_KEY)
     return found.select("_row.doc_id", "_row.text", F.size("_found").alias("entities"))
+
+
+def _finite(scale: int) -> str:
+    return f"""select *, list_transform(embedding, lambda x: floor({scale} * x::double)) v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+
+def _floored(total: str, count: str) -> str:
+    """Integer division that goes down."""
+    return f"(({total} - (({total} % {count}) + {count}) % {count}) // {count})"
+
+
+def codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, width: int = 8, scale: int = 4096) -> str:
+    """Full scans of all entries in every round, one step of the WITH list each."""
+    steps = [f"x as materialized (select vec_id, label, p, v[p * {width} + 1:p * {width} + {width}] v from ({_finite(scale)}) e, range({parts}) r(p))",
+             f"b0 as materialized (select p, row_number() over (partition by p order by vec_id) - 1 k, v from x "
+             f"qualify row_number() over (partition by p order by vec_id) <= {entries})"]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} as materialized (select vec_id, any_value(label) as label, p, any_value(x.v) v,
+    min((list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, b.v) + list_inner_product(b.v, b.v))::bigint * {entries} + k) m
+    from x join b{r} b using (p) group by vec_id, p)""")
+        if r < rounds:
+            steps.append(f"""s{r} as materialized (select p, m % {entries} k, i, sum(v[i])::bigint s, count(*) n from a{r}, range(1, {width + 1}) t(i) group by all)""")
+            steps.append(f"""b{r + 1} as materialized (select b.p, b.k, coalesce(any_value(u.v), any_value(b.v)) v from b{r} b left join
+    (select p, k, list(({_floored('s', 'n')})::double order by i) v from s{r} group by p, k) u on u.p = b.p and u.k = b.k group by b.p, b.k)""")
+    last = f"""books as (select sha256(string_agg(v[i]::bigint::varchar, ',' order by p, k, i)) h from b{rounds}, range(1, {width + 1}) t(i)),
+rows_of as (select vec_id, any_value(label) as label, string_agg(printf('%02x', (m % {entries})::int), '' order by p) code, sum(m // {entries})::bigint as error from a{rounds} group by vec_id)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, h codebooks_sha256 from rows_of, books"""
+    return "with " + ",\n".join(steps) + ",\n" + last
+
+
+@query(codes_sql())
+def op11_active_entry_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found, books = codebooks.compress(table(spark, folder, "embeddings").select("vec_id", "label", "embedding"))
+    rows = found.select("row.vec_id", "row.label", F.lower(F.hex("codes")).alias("code"), "error")
+    totals = rows.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    return rows.join(totals, F.col("label").eqNullSafe(F.col("of"))).select("vec_id", "code", "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
+
+
+def clusters_sql(count: int = 40, rounds: int = 5, width: int = 64, scale: int = 256, seed: str = "2:") -> str:
+    steps = [f"x as materialized (select vec_id, v from ({_finite(scale)}) e where len(v) = {width})",
+             f"c0 as materialized (select row_number() over (order by sha256('{seed}' || vec_id)) - 1 k, v from x order by k limit {count})"]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} as materialized (select vec_id, any_value(x.v) v,
+    min((list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, c.v) + list_inner_product(c.v, c.v))::bigint * {count} + k) m from x, c{r} c group by vec_id)""")
+        if r < rounds:
+            steps.append(f"s{r} as materialized (select m % {count} k, i, sum(v[i])::bigint s, count(*) n from a{r}, range(1, {width + 1}) t(i) group by all)")
+            steps.append(f"""c{r + 1} as materialized (select c.k, coalesce(any_value(u.v), any_value(c.v)) v from c{r} c left join
+    (select k, list(({_floored('s', 'n')})::double order by i) v from s{r} group by k) u on u.k = c.k group by c.k)""")
+    last = f"""names as (select k, sha256(string_agg(v[i]::bigint::varchar, ',' order by i)) h from c{rounds}, range(1, {width + 1}) t(i) group by k)
+select vec_id, (m % {count})::int as cluster, m // {count} as distance, (sum(m // {count}) over (partition by m % {count}))::bigint cluster_inertia,
+    (sum(m // {count}) over ())::bigint inertia, h centroid_sha256 from a{rounds} join names on k = m % {count}"""
+    return "with " + ",\n".join(steps) + ",\n" + last
+
+
+@query(clusters_sql())
+def op12_laesa_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found, clusters = pivots.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    rows = stored(found)
+    sums = {r["cluster"]: r["s"] for r in rows.groupBy("cluster").agg(F.sum("distance").alias("s")).collect()}
+    each = [sums.get(k, 0) for k in range(len(clusters.centroids))]
+    number = F.col("cluster")
+    return rows.select(
+        "row.vec_id", number, "distance", vectors.by_number(number, each).cast("long").alias("cluster_inertia"),
+        F.lit(sum(each)).cast("long").alias("inertia"), vectors.by_number(number, clusters.sha256).cast("string").alias("centroid_sha256"))
+
+
+@query()
+def op13_scaled_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    found = sketches.beside_edited(table(spark, folder, "documents").select("doc_id", "text"))
+    own, edited, following = F.col("fingerprint"), F.col("edited_fingerprint"), F.col("next_fingerprint")
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", F.col("edited").alias("edited_sha256"), own, edited,
+        sketches.containment(own, edited).alias("near_edited"), sketches.containment(own, following).alias("near_next"))
