@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.conftest import fields
+from tests.conftest import explained, fields
 from tidemark import session
 from tidemark.model import ChangeTable
 from tidemark.operators.evolve import evolve_append, evolve_table, missing_fields, schema_diff
@@ -13,8 +13,8 @@ from tidemark.plans.sync import export_load, holds_no_rows, merge_recent, sync_d
 from tidemark.operators.merge import hard_delete_guarded
 from tidemark.sources.footers import file_fields, schema_union
 from tidemark.streaming import ingest
-from tidemark.streaming.ingest import ingest_batch, ingest_ephemeral, ingest_stream, merge_stream
-from tidemark.tables import by_day
+from tidemark.streaming.ingest import ingest_batch, ingest_ephemeral, ingest_stream, merge_stream, newest_with_batch
+from tidemark.tables import by_day, with_batch
 
 BASE = fields("order_id bigint,customer_id bigint,status string")
 
@@ -175,6 +175,69 @@ def test_replayed_micro_batch_is_stored_once(spark, folder, make_history, monkey
     assert keys(table) == [1, 2]
 
 
+def exported(spark, root, *files):
+    for n, data in enumerate(files):
+        people(spark, *data).coalesce(1).write.parquet(f"{root}/export_{n}")
+
+
+VERSIONS = [
+    [("1", "first", "2024-01-01", "2024-01-05", None), ("2", "born", "2024-01-01", "2024-01-05", None), ("3", "only", "2024-01-01", "2024-01-02", None)],
+    [("1", "older", "2024-01-01", "2024-01-04", None), ("2", "gone", "2024-01-01", "2024-01-09", "2024-01-09"), ("4", "same b", "2024-01-01", "2024-01-06", None)],
+    [("1", "newest", "2024-01-01", "2024-01-07", None), ("2", "before", "2024-01-01", "2024-01-03", None), ("4", "same a", "2024-01-01", "2024-01-06", None)],
+]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0), (1, 0, 2)])
+@pytest.mark.parametrize("spec", [soft_delete, lambda change: hard_delete_guarded(change)])
+def test_files_in_any_order_give_one_serving_table(spark, folder, make_table, order, spec):
+    """An older file changes nothing, also if the newer row was a deletion; equal versions are decided alike."""
+    root, checkpoint = folder(), folder()
+    history = make_table(with_batch(USER.schema), partition_by=("batch_id", "changed"), derived={"changed": by_day("updated_at")})
+    serving = make_table(USER.schema, cluster_by=("id",))
+    for n in order:
+        people(spark, *VERSIONS[n]).coalesce(1).write.parquet(f"{root}/export_{n}")
+        merge_stream(history, serving, USER, spec(USER), f"{root}/export_*", USER.schema, checkpoint)
+    want = {"1": "newest", "3": "only", "4": "same b"}
+    assert names(serving) == want | ({"2": "gone"} if spec is soft_delete else {})
+    assert history.read().count() == 9
+
+
+def test_replayed_merge_gives_the_same_rows(spark, folder, make_table, monkeypatch):
+    """The process dies after the merge of a late file, before the checkpoint is committed."""
+    root, checkpoint = folder(), folder()
+    history = make_table(with_batch(USER.schema), partition_by=("batch_id",))
+    serving = make_table(USER.schema)
+    exported(spark, root, VERSIONS[2])
+    merge_stream(history, serving, USER, hard_delete_guarded(USER), f"{root}/export_*", USER.schema, checkpoint)
+    people(spark, *VERSIONS[1]).coalesce(1).write.parquet(f"{root}/export_late")
+    real = ingest.merge_table
+
+    def merge_then_fail(*args, **kwargs):
+        real(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "merge_table", merge_then_fail)
+    with pytest.raises(Exception, match="lost"):
+        merge_stream(history, serving, USER, hard_delete_guarded(USER), f"{root}/export_*", USER.schema, checkpoint)
+    monkeypatch.setattr(ingest, "merge_table", real)
+    for _ in range(2):
+        merge_stream(history, serving, USER, hard_delete_guarded(USER), f"{root}/export_*", USER.schema, checkpoint)
+    assert names(serving) == {"1": "newest", "4": "same b"} and history.read().count() == 6
+
+
+def test_only_history_from_the_batch_on_is_read(spark, make_table):
+    history = make_table(with_batch(USER.schema), partition_by=("batch_id", "changed"), derived={"changed": by_day("updated_at")})
+    for n, data in enumerate(VERSIONS):
+        history.append_batch(people(spark, *data), f"b{n}")
+    plan = explained(newest_with_batch(history, USER, "b0"))
+    assert "changed" in plan and "2024-01-02" in plan
+    late = newest_with_batch(history, USER, "b1").collect()
+    assert {r.id: r.name for r in late} == {"1": "newest", "2": "gone", "4": "same b"}
+    history.append_batch(people(spark, ("1", "no version", "2024-01-01", None, None), ("9", "alone", "2024-01-01", None, None)), "b3")
+    assert {r.id: r.name for r in newest_with_batch(history, USER, "b3").collect()} == {"1": "newest", "9": "alone"}
+    assert newest_with_batch(history, USER, "none") is None
+
+
 # --- flows ------------------------------------------------------------------------------
 
 USER = ChangeTable(("id",), "updated_at", "deleted_at",
@@ -325,3 +388,23 @@ def test_migration_of_aligned_folders_is_not_exchanged(spark, folder, monkeypatc
     other = migrate_hive(spark, raw, fields("id bigint"), {"y": T.LongType(), "m": T.LongType()}, "migrated_other",
                          folder(), "id", 0, 40, 10)
     assert "REBALANCE" in plans[1] and sorted(other.partitions()) == [(n,) for n in range(1, 6)]
+
+
+def test_rerun_of_a_day_whose_source_moved_on_forgets_nothing(spark, make_table):
+    """The day is run again after row 1 was changed on the next one, and once more after row 2 was, too."""
+    from tidemark.operators.history import as_of
+
+    history = make_table(with_batch(USER.schema), partition_by=("batch_id",))
+    serving = serving_of(make_table)
+    day = datetime(2026, 8, 15, 17, tzinfo=UTC)  # the previous day in Jakarta is the 15th
+    rows = [("1", "a", "2026-01-01", "2026-08-15 09:00:00", None), ("2", "b", "2026-01-01", "2026-08-15 10:00:00", None)]
+    sync_direct(people(spark, *rows), history, serving, USER, day)
+    evening = lambda: sorted((r.id, r.name) for r in as_of(history.read().drop("batch_id"), USER, "2026-08-15 23:00:00").collect())
+    before = evening()
+    moved = [("1", "later", "2026-01-01", "2026-08-16 09:00:00", None), rows[1]]
+    assert sync_direct(people(spark, *moved), history, serving, USER, day).wrote and history.read().count() == 2
+    moved[1] = ("2", "later", "2026-01-01", "2026-08-16 10:00:00", "2026-08-16 10:00:00")
+    assert not sync_direct(people(spark, *moved), history, serving, USER, day).wrote
+    assert evening() == before == [("1", "a"), ("2", "b")] and history.read().count() == 2
+    sync_direct(people(spark, *moved), history, serving, USER, datetime(2026, 8, 16, 17, tzinfo=UTC))
+    assert evening() == before and names(serving) == {"1": "later"} and history.read().count() == 4

@@ -95,9 +95,29 @@ def test_append_batch_is_idempotent(spark, make_history):
         history.append_batch(frame(spark, (1, 1.0, "a")), "one")
     history.append_batch(frame(spark, (2, 2.0, "b")), "two")
     assert sorted((r.k, r.batch_id) for r in history.read().collect()) == [(1, "one"), (2, "two")]
-    # A rerun that finds nothing any more leaves nothing of the batch.
-    history.append_batch(frame(spark, (1, 1.0, "a")).where("k = 0"), "one")
-    assert [r.k for r in history.read().collect()] == [2]
+    # A rerun that finds nothing any more takes nothing away.
+    assert not history.append_batch(frame(spark, (1, 1.0, "a")).where("k = 0"), "one")
+    assert sorted(r.k for r in history.read().collect()) == [1, 2]
+
+
+def test_a_rerun_adds_what_the_batch_lacks(spark, make_table):
+    """Other versions of a key, and rows with nulls, stay beside each other; equal rows come once more never."""
+    from tidemark.tables import with_batch
+
+    schema = fields("k int, at timestamp_ntz, v double")
+    history = make_table(with_batch(schema), partition_by=("batch_id", "day"), derived={"day": by_day("at")})
+    run = lambda *data: spark.createDataFrame(list(data), "k int, at string, v double").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    first = run((1, "2024-01-01 10:00:00.000001", 1.0), (1, "2024-01-01 10:00:00.000002", 1.0), (2, None, None), (2, None, None), (None, "2024-01-02", float("nan")))
+    assert history.append_batch(first, "d")
+    kept = {f.path for f in active_files(history).collect()}
+    assert history.append_batch(first, "d") and {f.path for f in active_files(history).collect()} == kept
+    assert history.append_batch(run((1, "2024-01-01 10:00:00.000002", 2.0), (3, "2024-01-03", 3.0)), "d")
+    assert history.append_batch(first.where("k = 1"), "d")
+    got = sorted(repr((r.k, str(r.at), r.v)) for r in history.read().collect())
+    assert got == sorted(map(repr, [(1, "2024-01-01 10:00:00.000001", 1.0), (1, "2024-01-01 10:00:00.000002", 1.0), (1, "2024-01-01 10:00:00.000002", 2.0), (2, "None", None),
+                          (2, "None", None), (3, "2024-01-03 00:00:00", 3.0), (None, "2024-01-02 00:00:00", float("nan"))]))
+    # Only the day that got a row was written again.
+    assert len({f.path for f in active_files(history).collect()} & kept) == 2
 
 
 def test_append_of_one_batch_is_not_shuffled(spark, make_history, folder):

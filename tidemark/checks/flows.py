@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from tidemark.checks.changes import HARD_SQL, SOFT_SQL
 from tidemark.checks.fixtures import (
-    HIST_SQL, MERGE_SQL, RUNS, TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, TX, TX_SCHEMA, TXSRC_SQL, USER, USER_SCHEMA, USERS_SQL,
-    days, folder, history_table, hive_folders, landed_by_run, monthly_table, new_table, table, taxi, tx_history, tx_source,
+    HIST_SQL, MERGE_SQL, RUNS, SRC_SQL, TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, TX, TX_SCHEMA, TXSRC_SQL, USER, USER_SCHEMA, USERS_SQL,
+    civil, days, folder, history_table, hive_folders, hours, landed_by_run, monthly_table, new_table, table, taxi, tx_history, tx_source,
     tx_target, users,
 )
 from tidemark.checks.registry import query
@@ -19,11 +19,13 @@ from tidemark.functions.timewin import batch_date, naive_utc
 from tidemark.model import TRANSAKSI, ChangeTable
 from tidemark.operators.dml import delete_table, update_table
 from tidemark.operators.evolve import evolve_append, schema_diff
+from tidemark.operators.history import as_of
 from tidemark.operators.merge import hard_delete_guarded, soft_delete
 from tidemark.operators.storage import footprint, retained_files, storage_report
 from tidemark.plans.sync import (
     export_load, merge_recent, migrate_hive, sync_dated, sync_direct, sync_landing,
 )
+from tidemark.session import stored
 from tidemark.sinks.files import export_dated, export_micros
 from tidemark.sources.files import active_files, export_folder, file_inventory, scan_dated, scan_glob
 from tidemark.sources.footers import file_fields, schema_union
@@ -121,6 +123,55 @@ def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     return serving.read().drop("m")
 
 
+@query(f"""with {TXSRC_SQL},
+moved as (select k, amt + 500 amt, st, d, c_at, timestamp '2002-01-05 00:00:00' + (cast(k as bigint) % 24) * interval '1' hour u_at, del from txsrc where cast(k as bigint) % 3 = 0),
+versions as (select *, 1 as run from txsrc union all select *, 3 as run from moved),
+evening as (select k, count(*) n from txsrc where u_at <= timestamp '1997-06-30 18:00:00' and del is null group by k)
+select v.*, cast(coalesce(n, 0) as bigint) as held_before, cast(coalesce(n, 0) as bigint) as held_after from versions v left join
+(select e.k, n, u_at from evening e join txsrc using (k)) h on v.k = h.k and v.u_at = h.u_at""")
+def append_rerun_keeps_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch is run four times: whole, when a third of its rows have moved on, when nothing is found, and with the moved rows.
+
+    ``held_before`` and ``held_after`` say whether a version was the live one on an evening, as of the first run and as of the last.
+    """
+    first = tx_source(spark, sf).withColumn("run", F.lit(1))
+    there = F.col("k").cast("long") % 3 == 0
+    moved = first.where(there).withColumns({"amt": F.col("amt") + 500, "run": F.lit(3),
+                                       "u_at": civil("2002-01-05 00:00:00") + hours(F.col("k").cast("long") % 24)})
+    history = history_table(spark, "tx", T.StructType([*TX_SCHEMA.fields, T.StructField("run", T.IntegerType())]), "u_at")
+    evening = lambda: as_of(history.read().where("u_at <= timestamp_ntz'1997-06-30 18:00:00'"), TX, "1997-06-30 18:00:00").select("k", "u_at")
+    history.append_batch(first, "day")
+    before = stored(evening())
+    for rerun in (first.where(~there), first.limit(0), moved, first):
+        history.append_batch(rerun, "day")
+    marked = history.read().drop(BATCH, "changed")
+    for name, held in (("held_before", before), ("held_after", evening())):
+        marked = marked.join(held.withColumn(name, F.lit(1).cast("long")), ["k", "u_at"], "left").fillna(0, [name])
+    return marked
+
+
+LATE_SQL = f"""with {HIST_SQL}, {SRC_SQL},
+before as (select cast(o_orderkey as varchar) k, o_totalprice amt, o_orderstatus st, cast(o_orderdate as date) d, o_orderdate c_at, o_orderdate u_at,
+                  case when false then o_orderdate end del from orders where o_orderstatus <> 'P')
+select coalesce(s.k, t.k) k, coalesce(s.amt, t.amt) amt, coalesce(s.st, t.st) st, coalesce(s.d, t.d) d, coalesce(t.c_at, s.c_at) c_at,
+       coalesce(s.u_at, t.u_at) u_at, s.del from before t full join src s on t.k = s.k where s.k is null or s.del is null"""
+
+
+@query(LATE_SQL)
+def stream_merge_late_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The second folder is older than the first, in which some rows are deleted: newest rows and deletions hold."""
+    changes = tx_history(spark, sf)
+    landing, checkpoint = folder(spark, "landing"), folder(spark, "checkpoint")
+    history = history_table(spark, "tx", TX_SCHEMA, "u_at")
+    serving = monthly_table(spark, "serving")
+    serving.overwrite(tx_target(spark, sf))
+    for version in (2, 1):
+        batch = changes.where(F.col("u_at") == F.col("c_at") + days(F.lit(version)))
+        export_micros(batch, f"{landing}/export_{version}")
+        merge_stream(history, serving, TX, hard_delete_guarded(TX), f"{landing}/export_*", TX_SCHEMA, checkpoint)
+    return serving.read().drop("m")
+
+
 # --- full or incremental load ---------------------------------------------------------
 
 

@@ -82,8 +82,9 @@ def main() -> None:
         if not same:
             bad += 1
             print("   ", columns, kinds, [(f.name, f.dataType.simpleString()) for f in frame.schema.fields], len(want))
-            print("    spark only", [r for r in got if r not in set(want)][:3])
-            print("    sql only  ", [r for r in want if r not in set(got)][:3])
+            here, there = set(got), set(want)
+            print("    spark only", [r for r in got if r not in there][:3])
+            print("    sql only  ", [r for r in want if r not in here][:3])
     print("all equal" if not bad else f"{bad} differ")
 
 

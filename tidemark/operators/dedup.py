@@ -9,11 +9,12 @@ from pyspark.sql import types as T
 _RANK = "__rank"
 
 
-def _orderable(dtype: T.DataType) -> bool:
+def orderable(dtype: T.DataType) -> bool:
+    """Have values of this type an order?"""
     if isinstance(dtype, T.ArrayType):
-        return _orderable(dtype.elementType)
+        return orderable(dtype.elementType)
     if isinstance(dtype, T.StructType):
-        return all(_orderable(f.dataType) for f in dtype.fields)
+        return all(orderable(f.dataType) for f in dtype.fields)
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
@@ -28,7 +29,7 @@ def latest_per_key(df: DataFrame, key: tuple[str, ...], version: str, tie_breake
     """
     if tie_breakers is None:
         tie_breakers = tuple(
-            f.name for f in df.schema.fields if f.name not in key and f.name != version and _orderable(f.dataType)
+            f.name for f in df.schema.fields if f.name not in key and f.name != version and orderable(f.dataType)
         )
     order = [F.col(c).desc_nulls_last() for c in (version, *tie_breakers)]
     ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.model import ChangeTable
+from tidemark.operators.fileindex import FileIndex
 from tidemark.session import staged
 from tidemark.tables import LakeTable
 
@@ -281,10 +282,14 @@ def _row_bytes(schema: T.StructType) -> Column:
     return reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), [p for p in parts if p is not None], words)
 
 
-def _matched_partitions(table: LakeTable, source: DataFrame, spec: MergeSpec, small: bool) -> set[tuple]:
-    """Partitions of the target rows the batch matches, where the keys do not tell."""
-    target = _with_keys(table.read(), spec.on, "t").select(*table.partition_by, *_key_names(spec.on, "t"))
+def _matched_partitions(table: LakeTable, source: DataFrame, spec: MergeSpec, small: bool, index: FileIndex | None) -> set[tuple]:
+    """Partitions of the target rows the batch matches, where the keys do not tell.
+
+    Without an index the key columns of the whole target are read, with one those of the files that may hold a key.
+    """
     keys = _with_keys(source, spec.on, "s").select(*_key_names(spec.on, "s"))
+    rows = table.read() if index is None else index.rows_in(index.files_with(keys))
+    target = _with_keys(rows, spec.on, "t").select(*table.partition_by, *_key_names(spec.on, "t"))
     if small:
         keys = F.broadcast(keys)
     return set(table.partition_values(target.join(keys, _equal(spec.on, "t", "s"), "left_semi")))
@@ -306,15 +311,18 @@ def _publish(table: LakeTable, kept: DataFrame, added: DataFrame | None, touched
 
 
 def merge_table(table: LakeTable, source: DataFrame, spec: MergeSpec, *, unique_source: bool = False,
-                repeated_keys: bool = False, stage: bool = True) -> None:
+                repeated_keys: bool = False, stage: bool = True, index: FileIndex | None = None) -> None:
     """Merge a batch into a catalog table, rewriting only the partitions it touches.
 
     The batch is stored first (``stage=False``: it is stored already) and its size in
     memory is measured; only one within ``BROADCAST_BYTES`` is broadcast.  If the ``on``
     keys settle the partition, the touched partitions are the batch's own; otherwise
-    the target's key columns are searched for matches as well.  Say ``repeated_keys``
-    for a table in which a key may have very many rows.
+    the target's key columns are searched for matches as well, with an ``index`` of the
+    ``on`` keys only in files that may hold one.  Say ``repeated_keys`` for a table in which a key
+    may have very many rows.
     """
+    if index is not None and (index.table != table or index.keys != spec.on):
+        raise ValueError("the index is of another table or of other keys")
     source = table.with_derived(source)
     if table.is_empty():
         table.overwrite(merge_into_nothing(source, spec, table.schema, unique_source=unique_source))
@@ -329,7 +337,7 @@ def merge_table(table: LakeTable, source: DataFrame, spec: MergeSpec, *, unique_
         if table.partition_by:
             touched = {tuple(r)[:-2] for r in held}
             if not set(table.partition_by) <= set(spec.on):
-                touched |= _matched_partitions(table, batch, spec, small)
+                touched |= _matched_partitions(table, batch, spec, small, index)
             target = table.only(touched)
         kept, added = merge_branches(target, batch, spec, unique_source=unique_source, broadcast_source=small,
                                      repeated_keys=repeated_keys)

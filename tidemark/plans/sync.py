@@ -1,7 +1,7 @@
 """The ingest flows, each composed of the operators.
 
 Every flow takes the times it depends on as arguments and can be run again for the
-same run end: batches replace themselves, exports replace their folder.
+same run end: a batch keeps what it holds and takes what is new, exports replace their folder.
 """
 
 from __future__ import annotations

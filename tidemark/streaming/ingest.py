@@ -5,12 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.timewin import naive_utc
 from tidemark.model import ChangeTable
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.merge import MergeSpec, merge_table
@@ -25,7 +27,7 @@ def ingest_batch(table: LakeTable, pattern: str, batch_id: str, schema: T.Struct
     """Append the files under a pattern that identifies one batch, keeping the files.
 
     The batch id names the files' partition in the history, so ingesting a batch
-    again replaces its rows and never doubles them.
+    again adds what it does not hold yet and never doubles or removes a row.
     """
     if not path_exists(table.spark, pattern):
         return False
@@ -117,7 +119,7 @@ def ingest_stream(table: LakeTable, pattern: str, schema: T.StructType, checkpoi
     """Append every file that landed since the last run, once.
 
     A micro-batch that is replayed after a failure has the same number and so
-    replaces its own partition.
+    finds its rows in their partition.
     """
     def append(batch: DataFrame, number: int) -> None:
         table.append_batch(batch, _batch_name(prefix, number))
@@ -125,20 +127,48 @@ def ingest_stream(table: LakeTable, pattern: str, schema: T.StructType, checkpoi
     return _run(stream_files(table.spark, pattern, schema, max_files), checkpoint, append)
 
 
+def newest_with_batch(history: LakeTable, change: ChangeTable, batch_id: str) -> DataFrame | None:
+    """The newest row, over the whole history, of every key in one of its batches; None for an empty batch.
+
+    Only rows as new as the batch's oldest one can be newer than its rows, so older folders of
+    the history are not read: a batch that comes in order reads little more than itself, a late one
+    reads from its own time on.  The history is the state, and it ages out by its partitions.
+    """
+    rows = history.read().where(F.col(BATCH) == batch_id)
+    dtype = rows.schema[change.version].dataType
+    least = F.min(change.version)
+    if isinstance(dtype, T.TimestampType):
+        least = naive_utc(least)
+    if not isinstance(dtype, T.NumericType):
+        least = least.cast("string")
+    found = rows.agg(least.alias("least"), F.count(change.version).alias("dated"), F.count(F.lit(1)).alias("rows")).collect()[0]
+    if not found["rows"]:
+        return None
+    # A NULL version is oldest: any row of its key is newer.
+    low = found["least"] if found["dated"] == found["rows"] else None
+    since = history.range(change.version, low).select(*change.columns).alias("h")
+    keys = rows.select(*change.key).distinct().alias("b")
+    same = reduce(lambda a, b: a & b, [F.col(f"h.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in change.key])
+    return latest_per_key(since.join(keys, same, "left_semi"), change.key, change.version)
+
+
 def merge_stream(history: LakeTable, serving: LakeTable, change: ChangeTable, spec: MergeSpec, pattern: str,
                  schema: T.StructType, checkpoint: str, *, prefix: str = "stream-",
                  max_files: int | None = None) -> StreamingQuery:
-    """Append each micro-batch to the history and then merge it into the serving table.
+    """Append each micro-batch to the history and then merge the newest rows of its keys into the serving table.
 
-    The merge reads the rows the append stored, from where they are, and starts only when
-    that is done.  Every micro-batch is a partition of the history: choose the trigger
-    and ``max_files`` so that there are few, or gather old ones with
+    Newest means of all that has come so far, so files may come in any order, one that is older than
+    what was merged changes nothing, and a replayed micro-batch merges the same rows again.  A key whose
+    tombstone came first stays deleted.  Partition the history by the change time to have
+    late batches read only what lies after them.  Every micro-batch is a partition of the history:
+    choose the trigger and ``max_files`` so that there are few, or gather old ones with
     ``history.append_batch(rows of several batches, name)`` and ``drop_partitions``.
     """
     def step(batch: DataFrame, number: int) -> None:
         name = _batch_name(prefix, number)
         history.append_batch(batch, name)
-        stored = history.read().where(F.col(BATCH) == name).select(*change.columns)
-        merge_table(serving, latest_per_key(stored, change.key, change.version), spec, unique_source=True, stage=False)
+        newest = newest_with_batch(history, change, name)
+        if newest is not None:
+            merge_table(serving, newest, spec, unique_source=True)
 
     return _run(stream_files(history.spark, pattern, schema, max_files), checkpoint, step)

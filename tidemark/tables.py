@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scalars import range_bucket
 from tidemark.functions.timewin import instant_literal, naive_utc
-from tidemark.session import list_glob, micros_writer
+from tidemark.session import list_glob, micros_writer, staged
 
 ROOT = "tidemark.root"
 CLUSTER = "tidemark.cluster_by"
@@ -255,15 +255,39 @@ class LakeTable:
             self.sorted(self.spread(self.shaped(df))).write.insertInto(self.name)
 
     def append_batch(self, df: DataFrame, batch_id: str) -> bool:
-        """Append a batch under its own ``batch_id`` partition.
+        """Append a batch under its own ``batch_id`` partition; what the batch holds already stays.
 
-        Running the same batch again replaces that partition, so an append that is
-        retried or replayed leaves the rows once.  Returns whether there were rows.
+        Running a batch again adds the rows that it does not hold yet, equal in every column, so an
+        append that is retried or replayed leaves the rows once, and a run that no longer finds
+        a row, because the source has moved on, takes none away.  Only the partitions that get rows are
+        written again, with all they held.  The rows are computed once.  Returns whether the run had any.
         """
         if not self.partition_by or self.partition_by[0] != BATCH:
             raise ValueError(f"{self.name} is not partitioned by {BATCH} first")
-        rows = self.spread(self.shaped(df.withColumn(BATCH, F.lit(batch_id))), skip=(BATCH,))
-        return self.publish(rows, self._held({batch_id}))
+        rows = self.shaped(df.withColumn(BATCH, F.lit(batch_id)))
+        if not self._held({batch_id}):
+            return self.publish(self.spread(rows, skip=(BATCH,)), [])
+        with staged(rows) as (run, _):
+            if run.isEmpty():
+                return False
+            with staged(self._unheld(run, batch_id)) as (fresh, _):
+                touched = self.partition_values(fresh)
+                if touched:
+                    self.publish(self.spread(self.only(touched).unionByName(fresh), skip=(BATCH,)), touched)
+            return True
+
+    def _unheld(self, rows: DataFrame, batch_id: str) -> DataFrame:
+        """Rows that differ in some column from every row of the batch.
+
+        Both sides are joined on a hash of all columns; a hash that very many rows share is split by AQE.
+        """
+        computed = {BATCH, *(n for n, _ in self.derived)}
+        columns = [f.name for f in self.schema.fields if f.name not in computed]
+        digest = F.xxhash64(*[F.col(f"`{c}`") for c in columns]).alias("__digest")
+        there = self.read().where(F.col(BATCH) == batch_id).select(*[F.col(f"`{c}`") for c in columns], digest)
+        same = reduce(lambda a, b: a & b, [F.col(f"n.`{c}`").eqNullSafe(F.col(f"h.`{c}`")) for c in columns])
+        return rows.select("*", digest).alias("n").join(
+            there.alias("h"), (F.col("n.__digest") == F.col("h.__digest")) & same, "left_anti").drop("__digest")
 
     def replace_partitions(self, df: DataFrame, touched: Iterable[Values]) -> None:
         """Publish ``df`` as the whole new content of the ``touched`` partitions.
