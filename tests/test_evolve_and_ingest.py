@@ -13,7 +13,7 @@ from tidemark.plans.sync import export_load, holds_no_rows, merge_recent, sync_d
 from tidemark.operators.merge import hard_delete_guarded
 from tidemark.sources.footers import file_fields, schema_union
 from tidemark.streaming import ingest
-from tidemark.streaming.ingest import ingest_batch, ingest_ephemeral, ingest_stream, merge_stream, newest_with_batch
+from tidemark.streaming.ingest import evolve_stream, ingest_batch, ingest_ephemeral, ingest_stream, merge_stream, newest_with_batch
 from tidemark.tables import by_day, with_batch
 
 BASE = fields("order_id bigint,customer_id bigint,status string")
@@ -71,6 +71,35 @@ def test_evolving_twice_is_evolving_once(spark, folder, make_history):
     assert table.schema["item_count"].dataType == T.LongType()
 
 
+def test_stream_widens_the_table_as_files_do(spark, folder, make_history, monkeypatch):
+    """Drift between runs and within one; a replayed micro-batch changes nothing; a type no column takes stops before loading."""
+    table, root, checkpoint = make_history(BASE), folder(), folder()
+    land(spark, f"{root}/export_1", "select 1L as order_id, 2L as customer_id, 'new' as status")
+    evolve_stream(table, f"{root}/export_*", checkpoint)
+    assert table.read().columns == ["order_id", "customer_id", "status", "batch_id"]
+    land(spark, f"{root}/export_2", "select 2L as order_id, 'x' as status, 5 as item_count")
+    land(spark, f"{root}/export_3", "select 3L as order_id, date'2024-01-01' as day, 1.5D as price")
+    append, calls = table.__class__.append_batch, []
+
+    def append_then_fail(self, df, batch_id):
+        append(self, df, batch_id)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(table.__class__, "append_batch", append_then_fail)
+    with pytest.raises(Exception, match="lost"):
+        evolve_stream(table, f"{root}/export_*", checkpoint)
+    monkeypatch.setattr(table.__class__, "append_batch", append)
+    for _ in range(2):
+        evolve_stream(table, f"{root}/export_*", checkpoint, then=lambda t, batch: calls.append(batch))
+    got = {r.order_id: (r.customer_id, r.status, r.item_count, str(r.day), r.price) for r in table.read().collect()}
+    assert got == {1: (2, "new", None, "None", None), 2: (None, "x", 5, "None", None), 3: (None, None, None, "2024-01-01", 1.5)}
+    assert table.read().count() == 3 and calls == ["stream-000000000001"]
+    land(spark, f"{root}/export_4", "select 4L as order_id, array(1) as tags")
+    with pytest.raises(Exception, match="tags"):
+        evolve_stream(table, f"{root}/export_*", checkpoint)
+    assert table.read().count() == 3
+
+
 # --- batches ----------------------------------------------------------------------------
 
 EVENT = fields("k bigint,s string")

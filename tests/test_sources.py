@@ -17,6 +17,7 @@ from tidemark.sources.files import export_folder, scan_dated, scan_dated_by_filt
 from tidemark.sources.jdbc import FETCH_SIZE, jdbc_options, read_table, window_predicates
 from tidemark.sources.footers import _Stores, store_of
 from tidemark.sources.json_rows import json_to_rows, rows_to_json
+from tidemark.sources.ranges import quantile_ranges
 
 RUN_END = datetime(2024, 1, 10, 18, tzinfo=UTC)
 
@@ -249,3 +250,42 @@ def test_one_connection_has_to_be_asked_for(spark):
     for options in ({}, {"split_on": "id", "splits": 4}, {"split_on": "id", "lower": 0, "upper": 9}, {"split_on": "id", "lower": 0, "upper": 9, "splits": 4, "one_task": True}):
         with pytest.raises(ValueError):
             read_table(spark, "jdbc:none", "t", ("id",), **options)
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "int"])
+def test_quantile_ranges_take_every_row_once(spark, kind):
+    """Four fifths of the rows share ten values, some have none; ranges cut from a third of the rows hold for all of them."""
+    made = {"timestamp_ntz": "timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(0, 0, 0, v)", "timestamp": "timestamp'2024-03-10T06:59:00Z' + make_dt_interval(0, 0, 0, v)",
+            "date": "date_add(date'2024-01-01', v)", "int": "v"}[kind]
+    rows_ = spark.range(6000).selectExpr("id", "case when id % 97 = 0 then null when id % 5 <> 0 then cast(id % 10 as int) else cast(100 + id % 977 as int) end v")
+    rows_ = rows_.selectExpr("id", f"{made} at")
+    cut = quantile_ranges(rows_.where("id % 3 = 0"), "at", 40, tie="id")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # as a database reads its own literals
+    try:
+        parts = cut.predicates(within="id >= 0")
+        numbered = rows_.withColumn("n", cut.number(rows_))
+        sizes = {r["n"]: r["count"] for r in numbered.groupBy("n").count().collect()}
+        for first in range(0, len(parts), 10):
+            some = dict(list(enumerate(parts))[first:first + 10])
+            found = numbered.agg(*[F.count_if(F.expr(p)).alias(f"all{n}") for n, p in some.items()],
+                                 *[F.count_if(F.expr(p) & (F.col("n") == n)).alias(f"own{n}") for n, p in some.items()]).collect()[0]
+            assert all(found[f"all{n}"] == found[f"own{n}"] == sizes.get(n, 0) for n in some)
+        assert sum(sizes.values()) == 6000 and max(sizes) < len(parts)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert len(sizes) >= 40 and max(sizes.values()) < 2 * 6000 / len(sizes)
+
+
+def test_ranges_of_little(spark):
+    empty = spark.createDataFrame([], "id long, at timestamp_ntz")
+    assert len(quantile_ranges(empty, "at", 8, tie="id").predicates()) == 1
+    one = spark.sql("select 1L id, timestamp_ntz'2024-01-01 00:00:00' at")
+    for splits, tie in ((1, None), (5, None), (5, "id")):
+        parts = quantile_ranges(one, "at", splits, tie).predicates()
+        assert sum(one.where(p).count() for p in parts) == 1
+    assert quantile_ranges(one, "at", 2).predicates()[1] == "(at >= '2024-01-01 00:00:00')"
+    with pytest.raises(ValueError):
+        quantile_ranges(one, "at", 0)
+    with pytest.raises(TypeError):
+        quantile_ranges(one.selectExpr("cast(id as string) at"), "at", 2)

@@ -25,12 +25,12 @@ from tidemark.operators.storage import footprint, retained_files, storage_report
 from tidemark.plans.sync import (
     export_load, merge_recent, migrate_hive, sync_dated, sync_direct, sync_landing,
 )
-from tidemark.session import stored
+from tidemark.session import path_exists, stored
 from tidemark.sinks.files import export_dated, export_micros
 from tidemark.sources.files import active_files, export_folder, file_inventory, scan_dated, scan_glob
 from tidemark.sources.footers import file_fields, schema_union
 from tidemark.sources.json_rows import json_to_rows, rows_to_json
-from tidemark.streaming.ingest import ingest_batch, ingest_ephemeral, ingest_stream, merge_stream
+from tidemark.streaming.ingest import evolve_stream, ingest_batch, ingest_ephemeral, ingest_stream, merge_stream
 from tidemark.tables import BATCH, LakeTable, by_day, by_year
 
 # Ends on 2026-08-16 00:00 in Jakarta, so the previous local day is the 15th.
@@ -212,18 +212,22 @@ ORDERS_BASE = T.StructType([
 ])
 
 
-def _drifted(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+# Columns of landed orders: those of the first batches, and those that came later.
+EARLY = {"order_id": "o_orderkey", "customer_id": "o_custkey", "status": "o_orderstatus"}
+LATER = {"order_date": "cast(o_orderdate as date)", "created_at": "o_orderdate", "item_count": "cast(o_orderkey % 9 as int)"}
+LAST = {"priority": "o_orderpriority", "total": "o_totalprice"}
+
+
+def _landed(rows: DataFrame, columns: dict[str, str], path: str) -> None:
+    export_micros(rows.select(*[F.expr(e).alias(n) for n, e in columns.items()]), path)
+
+
+def _drifted(spark: SparkSession, sf: str, second: str = "o_orderstatus <> 'F'") -> tuple[str, DataFrame]:
     """Two landed batches, the second with three more columns; the target knows the first's."""
     o = table(spark, sf, "orders")
     landing = folder(spark, "drift")
-    base = [F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderstatus").alias("status")]
-    extra = [
-        F.col("o_orderdate").cast("date").alias("order_date"), F.col("o_orderdate").alias("created_at"),
-        (F.col("o_orderkey") % 9).cast("int").alias("item_count"),
-    ]
-    filled = F.col("o_orderstatus") == "F"
-    export_micros(o.where(filled).select(*base), f"{landing}/batch_1")
-    export_micros(o.where(~filled).select(*base, *extra), f"{landing}/batch_2")
+    _landed(o.where("o_orderstatus = 'F'"), EARLY, f"{landing}/batch_1")
+    _landed(o.where(second), EARLY | LATER, f"{landing}/batch_2")
     return landing, o
 
 
@@ -259,9 +263,9 @@ case when o_orderstatus <> 'F' then strftime(o_orderdate, '%Y-%m-%d') end create
 case when o_orderstatus <> 'F' then o_orderkey % 9 end item_count from orders"""
 
 
-def _evolved_rows(df: DataFrame) -> DataFrame:
+def _evolved_rows(df: DataFrame, *more: str) -> DataFrame:
     day = naive_utc(F.col("created_at")).cast("date").cast("string")
-    return df.select("order_id", "customer_id", "status", "order_date", day.alias("created_day"), "item_count")
+    return df.select("order_id", "customer_id", "status", "order_date", day.alias("created_day"), "item_count", *more)
 
 
 @query(EVOLVED_SQL, name="evolve_append")
@@ -292,6 +296,19 @@ def evolve_nested_landing(spark: SparkSession, sf: str) -> DataFrame:
     return _evolved_rows(target.read())
 
 
+@query(EVOLVED_SQL.replace(" from orders", """,
+case when o_orderstatus = 'P' then o_orderpriority end priority, case when o_orderstatus = 'P' then o_totalprice end total from orders"""))
+def stream_evolving_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Three folders land between the runs of one stream, each with columns the one before did not have; the last run finds nothing."""
+    landing, orders = _drifted(spark, sf, second="o_orderstatus = 'O'")
+    checkpoint, target = folder(spark, "checkpoint"), history_table(spark, "orders", ORDERS_BASE)
+    for run in (1, 2, 3, 3):
+        if run == 3 and not path_exists(spark, f"{landing}/batch_3"):
+            _landed(orders.where("o_orderstatus = 'P'"), EARLY | LATER | LAST, f"{landing}/batch_3")
+        evolve_stream(target, f"{landing}/batch_[1-{run}]", checkpoint)
+    return _evolved_rows(target.read(), *LAST)
+
+
 # --- storage --------------------------------------------------------------------------
 
 CHANGED = "m >= DATE'1998-01-01' AND m < DATE'1999-01-01' AND st = 'F'"

@@ -16,12 +16,14 @@ from tidemark.functions.scalars import compact_day, json_value, range_bucket, st
 from tidemark.functions.types import conform, to_text
 from tidemark.model import TRANSAKSI
 from tidemark.operators.storage import latest_version
+from tidemark.session import stored
 from tidemark.sinks.files import export_micros
 from tidemark.sources.extract import (
     extract_between, extract_day, extract_for_load, extract_full, extract_previous_day, extract_recent,
 )
 from tidemark.sources.files import scan_dated, scan_dated_by_filter, scan_glob, scan_hive, scan_hive_repaired
 from tidemark.sources.json_rows import json_to_rows, rows_to_json
+from tidemark.sources.ranges import quantile_ranges
 
 RUN_END = datetime(2024, 1, 10, 18, tzinfo=UTC)  # 01:00 on the 11th in Jakarta
 ORDER_NOW = datetime(1998, 3, 5, 18, 30, tzinfo=UTC)
@@ -84,6 +86,19 @@ def extract_range(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", "user_id")
 
 
+@query("""select event_id, case when event_id % 5 <> 0 then timestamp '2024-01-17 03:00:00' + (event_id % 10) * interval '1' second else ts end as ts,
+true as even from events""")
+def extract_quantile_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Four fifths of the rows changed within ten seconds: 64 ranges, of which none has twice the mean, bring every row once."""
+    bulk = F.lit("2024-01-17 03:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("event_id") % 10)
+    source = table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 5 != 0, bulk).otherwise(F.col("ts")).alias("ts"))
+    cut = quantile_ranges(source, "ts", 64, tie="event_id")
+    rows = stored(source.withColumn("range", cut.number(source)))
+    sizes = rows.groupBy("range").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("ranges"), F.max("n").alias("most"), F.sum("n").alias("all"))
+    even = sizes.select(((F.col("ranges") >= 64) & (F.col("most") < 2 * F.col("all") / F.col("ranges"))).alias("even"))
+    return rows.drop("range").join(F.broadcast(even), F.lit(True))
+
+
 @query("select * from events where cast(ts as date) = date '2024-01-17'", name="extract_day")
 def extract_one_day(spark: SparkSession, sf: str) -> DataFrame:
     return extract_day(table(spark, sf, "events"), "ts", date(2024, 1, 17))

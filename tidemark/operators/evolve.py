@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.files import scan_below
-from tidemark.sources.footers import file_fields, schema_union
+from tidemark.sources.footers import fields_of, file_fields, schema_union
 from tidemark.tables import BATCH, LakeTable
 
 
@@ -57,6 +57,25 @@ def evolve_table(table: LakeTable, landing: str) -> list[T.StructField]:
     return table.add_columns(missing_fields(union, table.schema))
 
 
+def file_columns(table: LakeTable) -> T.StructType:
+    """The table's columns that come from files: all but the batch and the derived ones."""
+    computed = {BATCH, *(n for n, _ in table.derived)}
+    return T.StructType([f for f in table.schema.fields if f.name not in computed])
+
+
+def evolve_append_files(table: LakeTable, files: DataFrame, batch_id: str) -> list[T.StructField]:
+    """Widen the table by what some files (``path``) hold, then append their rows as one batch.
+
+    The driver holds the paths of one batch, as Spark's reader takes them.
+    """
+    paths = [r["path"] for r in files.select("path").collect()]
+    if not paths:
+        return []
+    added = table.add_columns(missing_fields(schema_union(fields_of(files)), table.schema))
+    table.append_batch(table.spark.read.schema(file_columns(table)).parquet(*paths), batch_id)
+    return added
+
+
 def evolve_append(table: LakeTable, landing: str, batch_id: str) -> list[T.StructField]:
     """Widen the table, then append the landed files with the widened schema.
 
@@ -64,6 +83,5 @@ def evolve_append(table: LakeTable, landing: str, batch_id: str) -> list[T.Struc
     steps look at the same files: all below ``landing``, however deep.
     """
     added = evolve_table(table, landing)
-    columns = T.StructType([f for f in table.schema.fields if f.name != BATCH])
-    table.append_batch(scan_below(table.spark, landing, columns), batch_id)
+    table.append_batch(scan_below(table.spark, landing, file_columns(table)), batch_id)
     return added

@@ -80,7 +80,11 @@ def file_fields(spark: SparkSession, root: str, **options: str) -> DataFrame:
     ``mergeSchema`` cannot do this: it fails where two files give a column different
     types, and here the first file's type is wanted.
     """
-    files = spark.read.format("binaryFile").options(**BELOW).load(root).select("path")
+    return fields_of(spark.read.format("binaryFile").options(**BELOW).load(root).select("path"), **options)
+
+
+def fields_of(files: DataFrame, **options: str) -> DataFrame:
+    """:func:`file_fields` of listed files (``path``)."""
     # Files are packed into scan tasks by size; spread them by count, as a footer costs the same in each.
     return files.repartition("path").mapInPandas(lambda batches: read_footers(batches, options), FOOTER_SCHEMA)
 

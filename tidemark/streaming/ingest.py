@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.timewin import naive_utc
 from tidemark.model import ChangeTable
 from tidemark.operators.dedup import latest_per_key
+from tidemark.operators.evolve import evolve_append_files
 from tidemark.operators.merge import MergeSpec, merge_table
 from tidemark.session import delete_path, list_glob, path_exists, touch
 from tidemark.sources.files import scan_glob
@@ -127,6 +128,28 @@ def ingest_stream(table: LakeTable, pattern: str, schema: T.StructType, checkpoi
     return _run(stream_files(table.spark, pattern, schema, max_files), checkpoint, append)
 
 
+def evolve_stream(table: LakeTable, pattern: str, checkpoint: str, *, prefix: str = "stream-", max_files: int = 1000,
+                  then: Callable[[LakeTable, str], None] | None = None) -> StreamingQuery:
+    """:func:`ingest_stream` for files whose columns change: each micro-batch widens the table before it is appended.
+
+    The stream carries paths, so no schema is fixed when it starts; rows are read once, with the schema that the
+    micro-batch's own footers have led to.  A replayed micro-batch has the same files under the same number: it adds no
+    column and no row twice.  A new column of a type that no table column can take stops the stream before
+    anything of that micro-batch is loaded.  ``then(table, batch_id)`` runs after each append, for a merge of that batch.
+    """
+    files = (
+        table.spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFilesPerTrigger", max_files).option("pathGlobFilter", "*.parquet").load(pattern).select("path"))
+
+    def step(batch: DataFrame, number: int) -> None:
+        name = _batch_name(prefix, number)
+        evolve_append_files(table, batch, name)
+        if then is not None:
+            then(table, name)
+
+    return _run(files, checkpoint, step)
+
+
 def newest_with_batch(history: LakeTable, change: ChangeTable, batch_id: str) -> DataFrame | None:
     """The newest row, over the whole history, of every key in one of its batches; None for an empty batch.
 
