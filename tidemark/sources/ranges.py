@@ -97,17 +97,22 @@ def quantile_ranges(known: DataFrame, column: str, splits: int, tie: str | None
     times = {q: found.count(q) for q in found}
     heavy = {q: n for q, n in times.items() if n > 1 and tie is not None}
     inner: dict = {}
+    ordered = sorted(times)
+    following = dict(zip(ordered, ordered[1:], strict=False))
     if heavy:
         # Equal values that are n cuts at once fill n - 1 ranges and parts of two more.
         asked = reduce(lambda rest, q: F.when(ordinal == q, F.lit(q)).otherwise(rest), heavy, F.lit(None))
         most = max(heavy.values())
         steps = [k / (most + 1) for k in range(1, most + 1)]
         groups = known.withColumn("__q", asked).where("__q is not null").groupBy("__q")
-        for r in groups.agg(F.percentile_approx(F.col(f"`{tie}`").cast("double"), steps, ACCURACY * most).alias("t")).collect():
+        second = F.col(f"`{tie}`").cast("double")
+        for r in groups.agg(F.percentile_approx(second, steps, ACCURACY * most).alias("t"), F.max(second).alias("last")).collect():
             wanted = heavy[r["__q"]]
             every = r["t"] or []
             chosen = [every[round((k + 1) * (most + 1) / (wanted + 1)) - 1] for k in range(wanted)] if every else []
-            inner[r["__q"]] = sorted({int(t // 1) for t in chosen})
+            # What follows the value, up to the next cut, is a range of its own, unless that is cut in pieces as well.
+            behind = [] if r["last"] is None or following.get(r["__q"]) in heavy else [r["last"] + 1]
+            inner[r["__q"]] = sorted({int(t // 1) for t in chosen + behind})
     texts = _texts(known.sparkSession, sorted(times), dtype)
     cuts = []
     for q in sorted(times):
