@@ -37,7 +37,7 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 TOOLS = [
     tool_calls.Tool("search", {"query": "string", "limit": "integer"}, frozenset({"query"})),
-    tool_calls.Tool("calculate", {"values": "array", "operation": "string"}, frozenset({"values", "operation"})),
+    tool_calls.Tool("calculate", {"values": "array", "operation": "string", "note": "string"}, frozenset({"values", "operation"})),
     tool_calls.Tool("fetch", {"url": "string", "retries": "integer", "options": "object"}, frozenset({"url"})),
 ]
 
@@ -45,17 +45,18 @@ TOOLS = [
 def tool_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The conversations as tool chats, as the table holds none.
 
-    Each assistant turn becomes a call that waits for the assistant turn before it, each later user turn a result of the turn before it. A text's
-    length decides the tool, and which arguments are missing, of a wrong type or unknown. All other rows go along as they are: null texts in
-    the roles of calls and results, other roles, and first user turns.
+    Each assistant turn becomes a call that waits for the assistant turn before it, each later user turn a result of the turn before it. The whole text
+    is an argument of the call, or a part of one; its length decides the tool, and which arguments are missing, of a wrong type or unknown. All other
+    rows go along as they are: null texts in the roles of calls and results, other roles, and first user turns.
     """
     size, turn = F.length("text"), F.col("turn")
     call_id = lambda back: F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), turn - back)
-    search = F.to_json(F.struct(F.substring("text", 1, 24).alias("query"), (size % 50).alias("limit")))
+    said = F.regexp_extract(F.to_json(F.struct(F.col("text").alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
+    search = F.to_json(F.struct(F.col("text").alias("query"), (size % 50).alias("limit")))
     numbers = F.when(size % 7 == 0, F.concat(F.lit('"'), size, F.lit('"'))).otherwise(F.concat(F.lit("[ "), size, F.lit(", "), turn, F.lit(" ]")))
-    calculate = F.concat(F.lit('{"values": '), numbers, F.lit(', "operation": "sum"}'))
+    calculate = F.concat(F.lit('{"values": '), numbers, F.lit(', "operation": "sum", "note": '), said, F.lit("}"))
     fetch = F.concat(
-        F.lit('{"retries": '), turn, F.lit(', "options": {"zip": true, "accept": ["text", null]}'),
+        F.lit('{"retries": '), turn, F.lit(', "options": {"zip": true, "title": '), said, F.lit(', "accept": ["text", null]}'),
         F.when(size % 5 == 0, "").otherwise(F.concat(F.lit(', "url": "https://example.com/'), size, F.lit('"'))),
         F.when(size % 11 == 0, ', "extra": null').otherwise(""), F.lit("}"))
     arguments = F.when(size % 3 == 0, search).when(size % 3 == 1, calculate).otherwise(fetch)
@@ -75,9 +76,9 @@ def tool_messages(spark: SparkSession, folder: str) -> DataFrame:
 @query("""
 with recursive chats as (select *, length(text) n from conversations where text is not null),
 calls as (select conv_id, turn, 'call-' || conv_id || '-' || turn id, n, case n % 3 when 0 then 'search' when 1 then 'calculate' else 'fetch' end as name,
-    case n % 3 when 0 then '{"limit":' || n % 50 || ',"query":' || to_json(substr(text, 1, 24)) || '}'
-               when 1 then '{"operation":"sum","values":' || case when n % 7 = 0 then '"' || n || '"' else '[' || n || ',' || turn || ']' end || '}'
-               else '{' || case when n % 11 = 0 then '"extra":null,' else '' end || '"options":{"accept":["text",null],"zip":true},"retries":' || turn
+    case n % 3 when 0 then '{"limit":' || n % 50 || ',"query":' || to_json(text) || '}'
+               when 1 then '{"note":' || to_json(text) || ',"operation":"sum","values":' || case when n % 7 = 0 then '"' || n || '"' else '[' || n || ',' || turn || ']' end || '}'
+               else '{' || case when n % 11 = 0 then '"extra":null,' else '' end || '"options":{"accept":["text",null],"title":' || to_json(text) || ',"zip":true},"retries":' || turn
                     || case when n % 5 = 0 then '' else ',"url":"https://example.com/' || n || '"' end || '}' end as arguments,
     case when n % 3 = 1 and n % 7 = 0 then 'type:values'
          when n % 3 = 2 then concat_ws(',', case when n % 5 = 0 then 'missing:url' end, case when n % 11 = 0 then 'unknown:extra' end) else '' end errors
