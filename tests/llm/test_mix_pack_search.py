@@ -323,3 +323,38 @@ def test_pipeline_on_awkward_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             empty = stage(spark, empty, SMALL)
             empty.count()
+
+
+def test_top_k_brings_ids_back_as_they_are(spark):
+    """Null ids beside ids that no float holds; null ids come last among equal scores."""
+    big = (1 << 60) + 1
+    table = spark.createDataFrame([(None, [1.0, 0.0]), (big, [1.0, 0.0]), (big + 1, [0.5, 0.0]), (100, [1.0, 0.0]), (None, [0.25, 0.0])], "vec_id long, embedding array<double>")
+    stored = topk.numbered(topk.scaled(table))
+    got = topk.top_k(stored, stored.where("id = 100 or id is null"), k=3).collect()
+    of = lambda i: sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == i)
+    assert of(100) == [(1, big, 1 << 20), (2, None, 1 << 20), (3, big + 1, 1 << 19)]
+    mine = [(r["rank"], r["vec_id"]) for r in got if r["query_id"] is None]
+    assert sorted(mine, key=repr) == sorted([(1, 100), (2, big), (3, big + 1), (1, 100), (2, big), (3, None)], key=repr)
+    assert {r["vec_id"] for r in got} <= {None, big, big + 1, 100}
+
+
+def test_the_mix_is_written_in_its_order(spark):
+    """Copies lie an epoch apart, every stretch has all sources, blocks stay together, and columns of any name keep their values."""
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 2700, "large").when(F.col("id") < 2900, "middle").otherwise("small").alias("source"),
+        F.lit("some words of a text").alias("text"), (F.col("id") * 2).alias("_copies"), F.col("id").cast("string").alias("_nth"), F.lit(1.5).alias("_place"))
+    got = mixing.mix(docs, block=50).collect()
+    plan = {r["doc_id"]: r["copies"] for r in mixing.mixed(docs, block=50).collect()}
+    assert got[0].asDict().keys() == set(docs.columns) and all(r["_copies"] == 2 * r["doc_id"] and r["_nth"] == str(r["doc_id"]) and r["_place"] == 1.5 for r in got)
+    places = {}
+    for n, r in enumerate(got):
+        places.setdefault(r["doc_id"], []).append(n)
+    assert {d: len(p) for d, p in places.items()} == {d: c for d, c in plan.items() if c}
+    repeated = [p for p in places.values() if len(p) >= 2]
+    assert repeated and sum(b - a > 10 for p in repeated for a, b in zip(p, p[1:], strict=False)) > 0.95 * sum(len(p) - 1 for p in repeated)
+    share = sum(r["source"] == "small" for r in got) / len(got)
+    tenth = len(got) // 10
+    parts = [sum(r["source"] == "small" for r in got[k * tenth:(k + 1) * tenth]) / tenth for k in range(10)]
+    assert max(parts) < 4 * share and sum(p > 0 for p in parts) >= 6
+    several = {d: p for d, p in places.items() if len(p) > 1}
+    assert sorted(several, key=lambda d: several[d][0]) != sorted(several, key=lambda d: several[d][1])  # another order in each epoch

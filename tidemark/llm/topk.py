@@ -8,7 +8,7 @@ vector could still reach, the sum over its dimensions at that depth, is below th
 Depth doubles from round to round, so a query takes few rounds; what is scored beyond the stopping depth cannot hurt.
 
 Nulls and oddities: vectors that are null or hold null or non-finite components take no part; shorter vectors count as padded with zeros;
-equal scores go to the smaller id; a row is never its own candidate, but another row with the same id is; fewer than k candidates
+equal scores go to the smaller id, a null id comes last; a row is never its own candidate, but another row with the same id is; fewer than k candidates
 give fewer results.
 """
 
@@ -18,6 +18,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def _matrix(lists: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def search(x: np.ndarray, ids: np.ndarray, query: np.ndarray, k: int, order: np.ndarray, own: int | None = None, first: int = 16) -> tuple[np.ndarray, np.ndarray, int]:
-    """Ids and scores of the k best rows of ``x`` for one query, and the depth at which it stopped.
+    """Ids and scores of the k best rows of ``x`` for one query, ties to the smaller id, and the depth at which it stopped.
 
     ``order`` holds the row numbers of each dimension's list, ascending; ``own`` is a row to leave out.
     """
@@ -91,17 +92,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 16_3
             return schema.empty_table()
         width = max(int(np.diff(t["v"].combine_chunks().offsets.to_numpy()).max()) for t in (ours, theirs))
         x, wanted = _matrix(ours["v"], width), _matrix(theirs["v"], width)
-        ids = ours["id"].to_numpy()
+        # Ties are decided by the place of the id among all, so that ids stay in Arrow, null or of any size.
+        ids = ours["id"].combine_chunks()
+        by_id = pc.array_sort_indices(ids).to_numpy()
+        places = np.empty(len(ids), np.int64)
+        places[by_id] = np.arange(len(ids))
         at = {row: k for k, row in enumerate(ours["row"].to_pylist())}
         order = np.argsort(x, axis=0, kind="stable")
         out = []
-        for row, query_id, query in zip(theirs["row"].to_pylist(), theirs["id"].to_pylist(), wanted, strict=True):
-            found, scores, _ = search(x, ids, query, k, order, at.get(row))
-            out.append((np.full(len(found), row), np.full(len(found), query_id), found, scores))
-        return pa.table([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out, strict=True)], schema=schema)
+        for n, (row, query) in enumerate(zip(theirs["row"].to_pylist(), wanted, strict=True)):
+            found, scores, _ = search(x, places, query, k, order, at.get(row))
+            out.append((np.full(len(found), row), np.full(len(found), n), by_id[found], scores))
+        rows, asked, vectors_found, scores = (np.concatenate(c).astype(np.int64) for c in zip(*out, strict=True))
+        return pa.table([pa.array(rows), theirs["id"].combine_chunks().take(pa.array(asked)), ids.take(pa.array(vectors_found)), pa.array(scores)], schema=schema)
 
     found = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInArrow(cell, "query_row long, query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
