@@ -1,5 +1,8 @@
 """License scan, URL filter, toxicity and surrogates."""
 
+import re
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -293,3 +296,40 @@ def test_surrogate_edge_cases(spark):
     assert got.columns == df.columns and got.count() == 4 and got.where(F.col("text").contains("x@y")).count() == 0
     assert {r["_found"]: r["kind"] for r in got.collect()} == {1: "a", 2: "b", 3: "c", 4: "d"}
     assert surrogates.replace_private(df.limit(0), KEY).count() == 0
+
+
+@given(st.text(alphabet="ab1._%+-@ é", max_size=40))
+@settings(max_examples=1500, deadline=None)
+def test_mail_is_found_as_by_the_plain_pattern(text):
+    plain = re.compile(r"[^\W_][\w.%+-]*@[^\W_](?:[\w-]*\.)+[^\W\d_]{2,}")
+    assert surrogates._mails(text) == [(m.start(), m.end(), "mail", m[0].lower()) for m in plain.finditer(text)]
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + " @", "a" * 1_000_000 + "@", "x@" * 400_000, "@" + "a" * 1_000_000, "a." * 500_000 + "@b.cc", "1" * 1_000_000,
+                                  "1-" * 500_000, "token " * 150_000, "Mr. " * 200_000, "aB3/" * 250_000, "192.168." * 120_000])
+def test_long_unbroken_texts_take_linear_time(text):
+    start = time.monotonic()
+    surrogates.detect(text)
+    assert time.monotonic() - start < 4
+
+
+def test_a_full_shape_ends(spark):
+    """Every private address there is, and every number of two digits: distinct replacements, none of them an entity."""
+    known = spark.sql("""select 'ip' kind, concat('192.168.', cast(a.id as string), '.', cast(b.id as string)) entity from range(1, 255) a, range(1, 255) b
+                         union all select 'phone', concat('+1', cast(id as string)) from range(10, 100) union all select 'mail', concat(char(97 + id), '@', char(97 + id), '.org') from range(26)""")
+    got = surrogates.assign(known, KEY)
+    assert got.count() == 254 * 254 + 90 + 26 and got.select("kind", "surrogate").distinct().count() == got.count()
+    assert got.join(known.withColumnRenamed("entity", "surrogate"), ["kind", "surrogate"]).count() == 0
+    assert surrogates.render("+1 23", "phone", "+198765") == "+1 98765"
+
+
+def test_a_given_name_alone_after_its_title_is_the_same_person():
+    kinds = {(m[2].partition("_")[0], m[3]) for m in surrogates.detect("John Smith met Dr. John. Mr. Smith waved.")}
+    assert kinds == {("given", "john"), ("family", "smith")}
+
+
+def test_rejecting_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a plain text", 3, 4.5), (2, None, 7, None)], "doc_id long, text string, _toxicity int, _Toxicity_ double")
+    lexicon = toxicity.Lexicon({}, (), 1.0, -5.0)
+    got = toxicity.reject_toxic(docs, lexicon)
+    assert got.dtypes == docs.dtypes and rows(got) == rows(docs)

@@ -11,9 +11,11 @@ gender of given names, the country code of numbers, the network digit and check-
 the top-level domain of mail; one mail domain stays one domain.
 
 Collisions are checked over the whole corpus: if two entities of a kind get one replacement, or a replacement is itself an entity of the
-corpus, the later ones try again until none clash. All of that is joins on the table of distinct entities; a text meets only its own mentions.
+corpus, the later ones try again until none clash. Where a corpus holds a whole shape, all of 192.168.x.y or every short number, nothing in it is free:
+after ``WIDEN`` attempts private addresses go to public ones, and numbers, names and mail get longer with each further attempt, so it ends. All of that is joins on the table of distinct entities; a text meets only its own mentions.
 
-Nulls and oddities: a null text stays null; a text without entities stays as it is; rows that repeat an id are treated each.
+Nulls and oddities: a null text stays null; a text without entities stays as it is; rows that repeat an id are treated each;
+texts of any length are read in time linear in it.
 """
 
 from __future__ import annotations
@@ -46,7 +48,10 @@ FAMILY = {
 }
 ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
-_MAIL = re.compile(r"[^\W_][\w.%+-]*@[^\W_](?:[\w-]*\.)+[^\W\d_]{2,}")
+# A mail address is looked for from its @ on and back: what lies between two of them is read once for each.
+_DOMAIN = re.compile(r"[^\W_](?:[\w-]*\.)+[^\W\d_]{2,}")
+_LOCAL_BACKWARDS = re.compile(r"[\w.%+-]*")
+_FIRST = re.compile(r"[^\W_]")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _IP = re.compile(rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)")
 _CARD = re.compile(r"(?<![\w.-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\w-])")
@@ -59,6 +64,10 @@ _TITLED = re.compile(r"\b(" + "|".join(re.escape(f) for t in TITLES for f in (t.
 _LISTED = re.compile(r"\b(" + "|".join(n for names in GIVEN.values() for n in names) + r")[ \xa0]([^\W\d_]+)")
 
 _WORD = re.compile(r"[^\W\d_]+")
+_GIVEN_NAMES = frozenset(n for names in GIVEN.values() for n in names)
+
+#: After so many attempts that clashed, a shape counts as full and replacements become longer, or leave their range.
+WIDEN = 6
 
 Mention = tuple[int, int, str, str]
 
@@ -75,6 +84,22 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
 
+def _mails(text: str) -> list[Mention]:
+    """In time linear in the text, however long its unbroken runs are."""
+    out: list[Mention] = []
+    free, at = 0, text.find("@")
+    while at >= 0:
+        before = text[free:at]
+        start = _FIRST.search(text, at - _LOCAL_BACKWARDS.match(before[::-1]).end(), at)
+        domain = start and _DOMAIN.match(text, at + 1)
+        free = at + 1
+        if domain:
+            out.append((start.start(), domain.end(), "mail", text[start.start():domain.end()].lower()))
+            free = domain.end()
+        at = text.find("@", free)
+    return out
+
+
 def _names(text: str) -> list[Mention]:
     out: list[Mention] = []
     for m in _TITLED.finditer(text):
@@ -83,7 +108,9 @@ def _names(text: str) -> list[Mention]:
         while held < len(parts) and parts[held][0][0].isupper() and parts[held][0].lower() not in TITLES:
             held += 1
         for k, p in enumerate(parts[:held]):
-            kind = "family" if k == held - 1 else f"given_{TITLES[m[1].lower()]}"
+            # The last word is the family name, but for a given name alone after its title.
+            alone = held == 1 and p[0].capitalize() in _GIVEN_NAMES
+            kind = "family" if k == held - 1 and not alone else f"given_{TITLES[m[1].lower()]}"
             out.append((m.start(2) + p.start(), m.start(2) + p.end(), kind, p[0].lower()))
     for m in _LISTED.finditer(text):
         if m[2][0].isupper():
@@ -110,7 +137,7 @@ def detect(text: str) -> list[Mention]:
     """Mentions ``(start, end, kind, canonical form)`` in order, without overlaps; earlier kinds win."""
     found: list[Mention] = []
     if "@" in text:
-        found += [(m.start(), m.end(), "mail", m[0].lower()) for m in _MAIL.finditer(text)]
+        found += _mails(text)
     if "=" in text or ":" in text:
         found += [(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
     if any(d in text for d in "0123456789"):
@@ -176,14 +203,15 @@ def _valid_card(digits: str) -> bool:
 def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     """The replacement of a canonical form, itself canonical."""
     stream = _Stream(key, kind, entity, str(attempt))
+    longer = max(0, attempt - WIDEN + 1)
     if kind == "mail":
         local, _, domain = entity.rpartition("@")
         labels = domain.split(".")
         near = _Stream(key, "domain", domain, "0" if attempt < 8 else str(attempt))
-        return stream.like(local) + "@" + ".".join([near.like(label) for label in labels[:-1]] + labels[-1:])
+        return stream.like(local + "a" * longer) + "@" + ".".join([near.like(label) for label in labels[:-1]] + labels[-1:])
     if kind == "ip":
         octets = entity.split(".")
-        kept = 1 if octets[0] in ("10", "127") else 2 if octets[:2] == ["192", "168"] or octets[0] == "172" and 16 <= int(octets[1]) < 32 else 0
+        kept = 0 if longer else 1 if octets[0] in ("10", "127") else 2 if octets[:2] == ["192", "168"] or octets[0] == "172" and 16 <= int(octets[1]) < 32 else 0
         fresh = [str(1 + stream.below(254)) for _ in octets[kept:]]
         if not kept and fresh[0] in ("10", "127", "172", "192"):
             fresh[0] = "11"
@@ -197,18 +225,18 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         kept = (len(digits) - 10 if len(digits) > 10 else 1) if entity[0] == "+" else 0
         body = digits[kept:]
         fresh = "".join(str(2 + stream.below(8)) if k == 0 and d != "0" else str(stream.below(10)) for k, d in enumerate(body))
-        return ("+" if entity[0] == "+" else "") + digits[:kept] + fresh
+        return ("+" if entity[0] == "+" else "") + digits[:kept] + fresh + "".join(str(stream.below(10)) for _ in range(longer))
     if kind == "secret":
         if re.fullmatch(r"[0-9a-f]+", entity):
             return "".join(stream.pick("0123456789abcdef") for _ in entity)
-        return stream.like(entity)
+        return stream.like(entity + "a" * longer)
     place = script(entity)
     if kind == "family":
         names = FAMILY.get(place, [])
     else:
         gender = kind.partition("_")[2] or stream.pick("mf")
         names = GIVEN.get((gender, place), [])
-    name = stream.pick(names).lower() if names and attempt < 3 else stream.like("a" * max(6, len(entity)) if place == "latin" else entity * 2)
+    name = stream.pick(names).lower() if names and attempt < 3 else stream.like("a" * (max(6, len(entity)) + longer) if place == "latin" else entity * (2 + longer))
     # Given names keep their gender's usual ending where they are made up.
     return name if attempt < 3 or kind != "given_f" else name + {"latin": "a", "cyrillic": "а", "greek": "α"}[place]
 
@@ -217,7 +245,7 @@ def render(mention: str, kind: str, replacement: str) -> str:
     """A replacement in the format of a mention: its separators, and its letter case."""
     if kind in ("card", "phone"):
         digits = iter(_digits(replacement))
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join([*(next(digits) if c.isdigit() else c for c in mention), *digits])
     if kind in ("secret", "ip"):
         return replacement
     if mention.isupper() and len(mention) > 1:
