@@ -125,9 +125,24 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         "doc_id", "source", "tokens", "weight", F.col("o").alias("block_order"), (F.col("epochs") + F.col("extra")).alias("copies"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` as the mix reads them: each as many times as its document has copies, with all its columns."""
-    plan = mixed(docs, id_col, **options).where("copies > 0").select(F.col("doc_id").alias("_doc"), F.col("copies").alias("_copies"))
-    rows = docs.join(plan, docs[id_col].cast("long").eqNullSafe(plan["_doc"]))
-    repeat = rows.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeat.select(*[docs[f"`{c}`"] for c in docs.columns])
+def _unit(*parts: Column) -> Column:
+    """A number from 0 up to 1, by hash."""
+    return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / float(1 << 53)
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", seed: int = 7, **options) -> DataFrame:
+    """The rows of ``docs`` as the mix reads them, in its order: each as many times as its document has copies, with all its columns.
+
+    Every epoch of a source takes its blocks in a fresh order, and the sources' epochs lie side by side over the whole mix, so copies of a row
+    are an epoch apart and any stretch of the result has about the mix's weights. The order is that of the partitions and of the
+    rows in them, which writing keeps.
+    """
+    found = mixed(docs, id_col, seed=seed, **options).where("copies > 0")
+    plan = found.select(F.col("doc_id").alias("_doc"), F.struct("source", "block_order", "copies").alias("_plan"))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"))
+    copies = rows.join(plan, F.col("_id").eqNullSafe(F.col("_doc"))).withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_plan.copies"))))
+    block = _unit(F.lit(seed + 3), F.col("_nth"), F.col("_plan.source"), F.col("_plan.block_order"))
+    place = ((F.col("_nth") - 1 + block) / F.col("_plan.copies")).alias("_place")
+    within = F.xxhash64(F.lit(seed + 4), F.col("_nth"), F.col("_id")).alias("_within")
+    laid = copies.select("_row", place, within)
+    return laid.repartitionByRange("_place", "_within").sortWithinPartitions("_place", "_within").select("_row.*")

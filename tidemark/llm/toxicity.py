@@ -187,7 +187,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def scored(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> tuple[DataFrame, Column]:
-    """``docs`` with a column ``_toxicity`` of score, hits, weight and words, and that column."""
+    """``docs`` with one more column, of score, hits, weight and words, and that column; its name is one that ``docs`` does not have."""
+    name = "_toxicity"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+
     @F.arrow_udf("struct<score: double, hits: int, weight: double, words: int>")
     def judge(texts: pa.Array) -> pa.Array:
         out = []
@@ -196,7 +200,7 @@ def scored(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") -> tuple[D
             out.append({"score": lexicon.score(weight, words), "hits": hits, "weight": weight, "words": words})
         return pa.array(out, pa.struct([("score", pa.float64()), ("hits", pa.int32()), ("weight", pa.float64()), ("words", pa.int32())]))
 
-    return docs.withColumn("_toxicity", judge(F.col(text_col).cast("string"))), F.col("_toxicity")
+    return docs.withColumn(name, judge(F.col(f"`{text_col}`").cast("string"))), F.col(name)
 
 
 def reject_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
