@@ -333,3 +333,25 @@ def test_rejecting_keeps_columns_of_any_name(spark):
     lexicon = toxicity.Lexicon({}, (), 1.0, -5.0)
     got = toxicity.reject_toxic(docs, lexicon)
     assert got.dtypes == docs.dtypes and rows(got) == rows(docs)
+
+
+def test_long_rule_lists_are_joined_with_the_same_result(spark, monkeypatch):
+    import random
+
+    pick = random.Random(11)
+    hosts = ["org", "com", "example.org", "a.example.org", "b.com", "x.b.com", ""]
+    paths = ["", "/", "/a", "/a/", "/a/b", "/ab", "/a/bc/d", "/ä", "/a//"]
+    texts = sorted({pick.choice(hosts) + pick.choice(paths) for _ in range(40)})
+    rules = [url_filter.rule(pick.choice(["allow", "block"]), t) for t in texts]
+    urls = [f"http{pick.choice(['', 's'])}://{pick.choice(['', 'www.', 'q.'])}{pick.choice(hosts).upper()}{pick.choice(paths)}{pick.choice(['', 'c', '/z', '?q', '#f'])}" for _ in range(400)]
+    table = spark.createDataFrame([(n, u, "old", n) for n, u in enumerate([*urls, None, "no scheme", "x://", urls[0], "http://a." + "b." * 2000 + "com/" + "a/" * 20_000])], "id int, url string, verdict string, s int")
+    by_trie = url_filter.judge_urls(table, rules)
+    by_join = url_filter.judge_urls_by_join(table, url_filter.rule_table(spark, rules))
+    assert rows(by_join.select(by_trie.columns)) == rows(by_trie) and by_trie.where("rule is not null").count() > 100
+    monkeypatch.setattr(url_filter, "MAX_RULES", 3)
+    assert rows(url_filter.judge_urls(table, rules).select(by_trie.columns)) == rows(by_trie)
+    assert url_filter.judge_urls_by_join(table, url_filter.rule_table(spark, []), default="block").where("verdict = 'block'").count() == table.count()
+    both = spark.createDataFrame([("org/", "allow"), ("ORG/", "block")], "rule string, verdict string")
+    with pytest.raises(Exception, match="both"):
+        url_filter.judge_urls_by_join(table, both).collect()
+    assert url_filter.judge_urls_by_join(table.limit(0), url_filter.rule_table(spark, rules)).count() == 0

@@ -5,11 +5,13 @@ Below the node of a host hangs the trie of its path segments; a rule's last, pos
 compared as a prefix. The deepest host wins, then the longest path, whatever its verdict, so an allow entry can open
 part of a blocked site and the other way round.
 
-The rule list is broadcast inside the compiled function; ``UrlTrie`` refuses more than ``max_rules`` entries, which
-bounds it. Larger lists belong in a join.
+A list of up to ``max_rules`` entries is broadcast as a trie inside the compiled function. Longer ones, and lists that are tables, are joined: every
+distinct URL asks for each suffix of its host, and there for its path's prefixes of those lengths that the host's rules have. Both
+ways give the same rule (tested).
 
 Nulls and oddities: a null URL, or one without ``://``, has an empty host and path, fits no rule and gets the default
-verdict. Hosts are compared as written after lower-casing A-Z: ports and user names are part of them.
+verdict. Hosts are compared as written after lower-casing A-Z: ports and user names are part of them. Repeated rows are judged each; a URL of
+any length is walked once by the trie. Of equal rules the first counts; one that is both allowed and blocked is an error.
 """
 
 from __future__ import annotations
@@ -17,9 +19,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,8 +46,11 @@ def rule(verdict: str, text: str) -> Rule:
     return Rule(host.translate(str.maketrans(_UPPER, _LOWER)), slash + path, verdict)
 
 
+MAX_RULES = 100_000
+
+
 class UrlTrie:
-    def __init__(self, rules: list[Rule], max_rules: int = 100_000):
+    def __init__(self, rules: list[Rule], max_rules: int = MAX_RULES):
         if len(rules) > max_rules:
             raise ValueError(f"{len(rules)} rules; this trie is broadcast and takes {max_rules}")
         self.rules = list(rules)
@@ -100,8 +107,49 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
+def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """Rules as ``rule, verdict``, for :func:`judge_urls_by_join`."""
+    return spark.createDataFrame([(r.text, r.verdict) for r in rules], "rule string, verdict string")
+
+
+def judge_urls_by_join(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
+    """:func:`judge_urls` for any number of ``rules(rule, verdict)``, written ``host/path``.
+
+    Distinct URLs are judged once each, so a URL that a third of the rows share costs one; joins on a common host suffix
+    or prefix are split by AQE, as the rules' side has one row per key.
+    """
+    written = F.col("rule").cast("string")
+    at = F.instr(written, "/")
+    rule_host = F.translate(F.when(at > 0, F.substring(written, F.lit(1), at - 1)).otherwise(written), _UPPER, _LOWER)
+    rule_path = F.when(at > 0, F.substring(written, at, F.length(written))).otherwise("")
+    verdict = F.col("verdict").cast("string")
+    known = rules.where(written.isNotNull()).select(rule_host.alias("h"), rule_path.alias("p"), verdict.alias("v")).groupBy("h", "p")
+    wrong = F.raise_error(F.concat("h", "p", F.lit(" is both allowed and blocked, or neither")))
+    fits = (F.min("v") == F.max("v")) & (F.count("v") == F.count(F.lit(1))) & F.min("v").isin("allow", "block")
+    known = known.agg(F.when(fits, F.min("v")).otherwise(wrong).alias("v"))
+    known = stored(known.withColumn("n", F.length("p")))
+    lengths = known.groupBy("h").agg(F.collect_set("n").alias("lengths"))
+    # No rule has a host of more labels, so longer suffixes need not be asked for.
+    deepest = F.lit(known.agg(F.max(F.size(F.split("h", r"\.")))).collect()[0][0] or 1)
+
+    host, path = url_parts(F.col(f"`{url_col}`"))
+    rest = [c for c in pages.columns if c.lower() not in {"host", "path", "rule", "verdict"}]
+    parts = pages.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"), host.alias("host"), path.alias("path"))
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - deepest + 1), F.size(labels)), lambda k: F.struct((F.size(labels) - k).alias("depth"), F.array_join(F.slice(labels, k, F.size(labels)), ".").alias("h")))
+    asked = parts.select("host", "path").distinct().withColumn("s", F.explode(suffixes)).select("host", "path", "s.*")
+    sizes = F.filter("lengths", lambda n: n <= F.length("path"))
+    asked = asked.join(lengths, "h").withColumn("n", F.explode(sizes)).withColumn("p", F.expr("substring(path, 1, n)"))
+    hits = asked.join(known, ["h", "p", "n"])
+    best = hits.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("h", "p").alias("rule"), F.col("v").alias("verdict")), F.struct("depth", "n")).alias("best"))
+    judged = parts.join(best, ["host", "path"], "left")
+    return judged.select("_row.*", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+
+
 def judge_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with the columns ``host, path, rule, verdict``; those names in the input are replaced."""
+    if len(rules) > MAX_RULES:
+        return judge_urls_by_join(pages, rule_table(pages.sparkSession, rules), url_col, default)
     trie = UrlTrie(rules)
 
     @F.arrow_udf("int")
