@@ -1,6 +1,7 @@
 """Bloom filters and bounds of files, clustering, states at many moments."""
 
 import random
+import uuid
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import fields, rows
 from tidemark.model import ChangeTable
+from tidemark.operators.bucketed import create_bucketed
 from tidemark.operators.cluster import clustered, overwrite_clustered, recluster, z_value
 from tidemark.operators.dml import insert_rows
 from tidemark.operators.fileindex import FILE, FileIndex
@@ -259,3 +261,55 @@ def test_each_span_is_moved_as_often_as_it_is_found(spark):
     moments = spark.sql("select explode(array(timestamp_ntz'2000-01-01 00:00:00', timestamp_ntz'2024-06-01 10:00:00', timestamp_ntz'2024-06-01 11:00:00')) moment")
     found = at_moments(spans, moments)
     assert found.count() == 150 and by_day("valid_from").rule == "day"
+
+
+# --- buckets ----------------------------------------------------------------------------
+
+ROW = ChangeTable(("id",), "at", "gone", fields("id string,name string,day date,at timestamp_ntz,gone timestamp_ntz"))
+
+
+@pytest.fixture
+def by_key(spark, folder):
+    table = create_bucketed(spark, f"b_{uuid.uuid4().hex[:10]}", ROW.schema, folder(), ("id",), 6)
+    table.overwrite(users(spark, *[(str(i), "old", "2024-01-01", "2024-01-01", None) for i in range(500)]))
+    return table
+
+
+def test_a_bucketed_merge_is_the_same_merge(spark, by_key, make_table):
+    plain = make_table(ROW.schema)
+    plain.overwrite(by_key.read())
+    changes = users(spark, ("3", "new", "2024-02-01", "2024-02-01", None), ("44", "x", "2024-01-20", "2024-02-01", "2024-02-01"),
+                    ("999", "born", "2024-01-02", "2024-02-01", None), (None, "no key", "2024-01-02", "2024-02-01", None))
+    for spec in (hard_delete_guarded(ROW), soft_delete(ROW), hard_delete_guarded(ROW, guard_version=True)):
+        for table in (plain, by_key):
+            (table.merge(changes, spec) if table is by_key else merge_table(plain, changes, spec))
+        assert rows(by_key.read()) == rows(plain.read())
+    by_key.merge(changes.limit(0), soft_delete(ROW))
+    assert rows(by_key.read()) == rows(plain.read())
+    with pytest.raises(Exception, match="several rows"):
+        by_key.merge(changes.unionByName(changes), soft_delete(ROW))
+    with pytest.raises(ValueError, match="bucketed by"):
+        by_key.merge(changes, soft_delete(ROW, on=("id", "day")))
+    assert rows(by_key.read()) == rows(plain.read())
+
+
+def test_a_bucketed_table_is_not_exchanged(spark, by_key):
+    batch = users(spark, *[(str(i), "new", "2024-02-01", "2024-02-01", None) for i in range(400, 600)])
+    by_key.merge(batch, hard_delete_guarded(ROW))
+    merged = by_key.merged(batch, hard_delete_guarded(ROW), unique_source=True)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    # The only exchange is the batch's, into as many tasks as there are buckets.
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange") == 1 and "hashpartitioning(__s0" in plan and ", 6)" in plan
+    assert "Bucketed: true" in plan and "SelectedBucketsCount: 6 out of 6" in plan
+    files = {r[0].rsplit("/", 1)[1] for r in by_key.read().select(FILE).distinct().collect()}
+    assert len(files) == 6 and by_key.read().count() == 600
+
+
+def test_an_empty_bucketed_table(spark, folder):
+    table = create_bucketed(spark, f"b_{uuid.uuid4().hex[:10]}", ROW.schema, folder(), ("id",), 3)
+    assert table.read().count() == 0
+    table.merge(users(spark, ("1", "a", "2024-01-01", "2024-01-01", None), ("2", "b", "2024-01-01", "2024-01-01", "2024-01-01")), hard_delete_guarded(ROW))
+    assert [r.id for r in table.read().collect()] == ["1"]
+    for wrong in ({"keys": ("nope",), "buckets": 2}, {"keys": (), "buckets": 2}, {"keys": ("id",), "buckets": 0}):
+        with pytest.raises(ValueError):
+            create_bucketed(spark, "never", ROW.schema, folder(), **wrong)

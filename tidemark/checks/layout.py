@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.checks.fixtures import HIST_SQL, SRC_SQL, TX, TXSRC_SQL, monthly_table, new_table, table, tx_history, tx_source
+from tidemark.checks.changes import HARD_SQL
+from tidemark.checks.fixtures import (
+    HIST_SQL, MERGE_SQL, SRC_SQL, TX, TX_SCHEMA, TXSRC_SQL, monthly_table, new_table, table, tx_history, tx_source, tx_target,
+)
 from tidemark.checks.registry import query
+from tidemark.operators.bucketed import create_bucketed
 from tidemark.operators.cluster import overwrite_clustered, recluster
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.fileindex import FileIndex
 from tidemark.operators.history import as_of_many, states_at
-from tidemark.operators.merge import merge_table, soft_delete
+from tidemark.operators.merge import hard_delete_guarded, merge_table, soft_delete
 from tidemark.session import stored
 
 # --- files ----------------------------------------------------------------------------
@@ -34,6 +38,18 @@ def merge_bloom_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return serving.read().drop("m")
 
 
+@query(MERGE_SQL + HARD_SQL)
+def merge_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard deletes into a table bucketed by the key, which no merge exchanges; the second merge reads what the first wrote."""
+    home = new_table(spark, "bucketed", TX_SCHEMA)
+    serving = create_bucketed(spark, f"{home.name}_by_key", TX_SCHEMA, f"{home.root}_by_key", TX.key, 8)
+    serving.overwrite(tx_target(spark, sf))
+    batch = latest_per_key(tx_history(spark, sf), TX.key, TX.version)
+    for _ in range(2):
+        serving.merge(batch, hard_delete_guarded(TX), unique_source=True)
+    return serving.read()
+
+
 @query("""select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from orders
 where o_custkey between 200 and 320 and o_totalprice between 60000.0 and 180000.0""")
 def clustered_point_lookup(spark: SparkSession, sf: str) -> DataFrame:
