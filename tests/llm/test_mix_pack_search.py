@@ -245,7 +245,9 @@ def test_links_and_orphans(spark):
         (2, 0, "tool", {"tool_call_id": "a", "content": None}), (1, 3, "assistant", "plain text"), (1, 4, "assistant", None), (None, 0, "assistant", call("a")),
         (None, 1, "tool", {"tool_call_id": "a", "content": "n"}), (3, 0, "assistant", call(None)), (1, 5, "tool", {"tool_call_id": "a", "content": "later"}),
         (1, 0, "assistant", call("a")), (1, 6, "assistant", call("a", name="fetch")), (1, 7, "tool", "[]")])
-    assert set(got) == {(1, "a", "linked"), (1, "b", "no_result"), (2, "a", "orphan_result"), (None, "a", "linked"), (3, None, "no_id")}
+    assert set(got) == {(1, "a", "linked"), (1, "a", "no_result"), (1, "b", "no_result"), (2, "a", "orphan_result"), (None, "a", "linked"), (3, None, "no_id")}
+    again = got[1, "a", "no_result"]
+    assert (again["name"], again["turn"], again["nth"], again["results"]) == ("fetch", 6, 2, 0)
     first = got[1, "a", "linked"]
     assert first["result_turn"] == 1 and first["results"] == 2 and first["name"] == "search" and first["level"] == 0 and first["waits_for"] is None
     assert first["record"] == '{"arguments":{"query":"q"},"id":"a","name":"search","result":"x \\"y\\"\\n"}'
@@ -278,6 +280,51 @@ def test_levels_of_long_chains_forks_and_cycles(spark):
     assert [r["call_id"] for r in tool_calls.topological(tool_calls.link_tool_calls(chat(spark, odd), queries.TOOLS), F.lit(3)).collect()] == ["early", "late"]
 
 
+def test_ids_that_start_again(spark):
+    """Every call is a row; a result belongs to the latest call of its id before it, over any distance."""
+    got = tool_calls.link_tool_calls(chat(spark, [
+        (1, 0, "assistant", call("a")), (1, 1, "assistant", call("a", "fetch")), (1, 2, "tool", {"tool_call_id": "a", "content": "r1"}), (1, 3, "assistant", call("a")),
+        (1, 4, "tool", {"tool_call_id": "a", "content": "r2"}), (1, 5, "tool", {"tool_call_id": "a", "content": "r3"}), (1, 900, "assistant", call("w", after="a")),
+        (1, 2000, "assistant", call("a")), (1, 5000, "tool", {"tool_call_id": "a", "content": "far"}), (2, 0, "tool", {"tool_call_id": "b", "content": "early"}),
+        (2, 1, "assistant", call("b"))]), queries.TOOLS).collect()
+    rows_of = sorted((r["conv_id"], r["call_id"], r["nth"] or 0, r["turn"] or -1, r["name"], r["status"], r["result_turn"], r["results"]) for r in got)
+    assert [r[2:] for r in rows_of if r[:2] == (1, "a")] == [(1, -1, "search", "no_result", None, 0), (2, 1, "fetch", "linked", 2, 1), (3, 3, "search", "linked", 4, 2), (4, 2000, "search", "linked", 5000, 1)]
+    assert sorted(r[5] for r in rows_of if r[:2] == (2, "b")) == ["no_result", "orphan_result"]
+
+
+def longest(waits: dict[str, list[str]]) -> dict[str, int | None]:
+    """Longest distance from a call that waits for none; None on and behind rings."""
+    out: dict[str, int | None] = {}
+    for _ in range(len(waits) + 1):
+        for k, after in waits.items():
+            if all(out.get(a) is not None for a in after):
+                out[k] = max((out[a] + 1 for a in after), default=0)
+    settled = dict(out)
+    return {k: settled.get(k) for k in waits}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_levels_of_several_parents(spark, seed):
+    """Diamonds, transitive waits, chains between them, and rings, against plain relaxation."""
+    import random
+
+    pick = random.Random(seed)
+    waits, messages = {}, []
+    for k in range(60):
+        earlier = [f"c{j}" for j in range(max(0, k - 6), k)]
+        after = sorted(pick.sample(earlier, min(len(earlier), pick.choice([0, 1, 1, 1, 2, 3]))))
+        if seed == 2 and k in (10, 40):
+            after.append(f"c{k + 3}")
+        waits[f"c{k}"] = after
+        messages.append((1, k, "assistant", call(f"c{k}", after=after if len(after) != 1 else after[0])))
+    got = {r["call_id"]: r["level"] for r in tool_calls.link_tool_calls(chat(spark, messages), queries.TOOLS).collect()}
+    assert got == longest(waits)
+    some = {r["call_id"]: (r["waits_for"], r["level"]) for r in tool_calls.link_tool_calls(chat(spark, [
+        (1, 0, "assistant", call("a")), (1, 1, "assistant", call("b", after=["a", "gone"])), (1, 2, "assistant", call("c", after=["a", None, "a"])), (1, 3, "assistant", call("d", after=[])),
+        (1, 4, "assistant", call("e", after="[not a list"))]), queries.TOOLS).collect()}
+    assert some == {"a": (None, 0), "b": (False, 1), "c": (True, 1), "d": (None, 0), "e": (False, 0)}
+
+
 def test_tool_calls_of_nothing_and_long_texts(spark):
     assert linked(spark, []) == {}
     [r] = linked(spark, [(1, 0, "assistant", call("a")), (1, 1, "tool", {"tool_call_id": "a", "content": "w " * 200_000})]).values()

@@ -45,12 +45,12 @@ TOOLS = [
 def tool_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The conversations as tool chats, as the table holds none.
 
-    Each assistant turn becomes a call that waits for the assistant turn before it, each later user turn a result of the turn before it. The whole text
-    is an argument of the call, or a part of one; its length decides the tool, and which arguments are missing, of a wrong type or unknown. All other
+    Each assistant turn becomes a call that waits for the assistant turn before it and the one before that, each later user turn a result of the turn before
+    it. Ids start again every four turns, so what is meant is the latest call of an id; a call in turn 2 waits for one that is not there. The whole text is an argument of the call, or a part of one; its length decides the tool, and which arguments are missing, of a wrong type or unknown. All other
     rows go along as they are: null texts in the roles of calls and results, other roles, and first user turns.
     """
     size, turn = F.length("text"), F.col("turn")
-    call_id = lambda back: F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), turn - back)
+    call_id = lambda back: F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), F.pmod(turn - back, F.lit(4)))
     said = F.regexp_extract(F.to_json(F.struct(F.col("text").alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
     search = F.to_json(F.struct(F.col("text").alias("query"), (size % 50).alias("limit")))
     numbers = F.when(size % 7 == 0, F.concat(F.lit('"'), size, F.lit('"'))).otherwise(F.concat(F.lit("[ "), size, F.lit(", "), turn, F.lit(" ]")))
@@ -61,7 +61,9 @@ def tool_messages(spark: SparkSession, folder: str) -> DataFrame:
         F.when(size % 11 == 0, ', "extra": null').otherwise(""), F.lit("}"))
     arguments = F.when(size % 3 == 0, search).when(size % 3 == 1, calculate).otherwise(fetch)
     name = F.when(size % 3 == 0, "search").when(size % 3 == 1, "calculate").otherwise("fetch")
-    call = F.struct(call_id(0).alias("id"), name.alias("name"), arguments.alias("arguments"), F.when(turn >= 2, call_id(2)).alias("after"))
+    missing = F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-none"))
+    after = F.when(turn >= 5, F.array(call_id(2), call_id(4))).when(turn >= 3, F.array(call_id(2))).when(turn == 2, F.array(missing))
+    call = F.struct(call_id(0).alias("id"), name.alias("name"), arguments.alias("arguments"), after.alias("after"))
     result = F.struct(call_id(1).alias("tool_call_id"), F.col("text").alias("content"))
     chats = table(spark, folder, "conversations")
     is_call = F.coalesce(F.expr("text is not null and role = 'assistant'"), F.lit(False))
@@ -75,7 +77,8 @@ def tool_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 with recursive chats as (select *, length(text) n from conversations where text is not null),
-calls as (select conv_id, turn, 'call-' || conv_id || '-' || turn id, n, case n % 3 when 0 then 'search' when 1 then 'calculate' else 'fetch' end as name,
+calls as (select conv_id, turn, 'call-' || conv_id || '-' || turn % 4 id, row_number() over (partition by conv_id, turn % 4 order by turn) nth, n,
+    case n % 3 when 0 then 'search' when 1 then 'calculate' else 'fetch' end as name,
     case n % 3 when 0 then '{"limit":' || n % 50 || ',"query":' || to_json(text) || '}'
                when 1 then '{"note":' || to_json(text) || ',"operation":"sum","values":' || case when n % 7 = 0 then '"' || n || '"' else '[' || n || ',' || turn || ']' end || '}'
                else '{' || case when n % 11 = 0 then '"extra":null,' else '' end || '"options":{"accept":["text",null],"title":' || to_json(text) || ',"zip":true},"retries":' || turn
@@ -83,16 +86,22 @@ calls as (select conv_id, turn, 'call-' || conv_id || '-' || turn id, n, case n
     case when n % 3 = 1 and n % 7 = 0 then 'type:values'
          when n % 3 = 2 then concat_ws(',', case when n % 5 = 0 then 'missing:url' end, case when n % 11 = 0 then 'unknown:extra' end) else '' end errors
     from chats where role = 'assistant'),
-depth as (select conv_id, turn, 0 as level from calls c where not exists (select 1 from calls p where p.conv_id = c.conv_id and p.turn = c.turn - 2 and c.turn >= 2)
-          union all select c.conv_id, c.turn, d.level + 1 from calls c join depth d on c.conv_id = d.conv_id and c.turn = d.turn + 2),
-results as (select conv_id, turn, 'call-' || conv_id || '-' || (turn - 1) id, text content from chats where role = 'user' and turn > 0),
-j as (select coalesce(c.conv_id, r.conv_id) conv_id, coalesce(c.id, r.id) call_id, c.name, c.turn, c.arguments, c.errors, d.level, r.turn result_turn,
-    case when c.id is null then 'orphan_result' when r.id is null then 'no_result' else 'linked' end status,
-    case when c.turn >= 2 then exists (select 1 from calls p where p.conv_id = c.conv_id and p.turn = c.turn - 2) end waits_for,
+asked as (select conv_id, turn, unnest(case when turn >= 5 then [2, 4] when turn >= 3 then [2] when turn = 2 then [3] else [] end) back from calls),
+waits as (select a.conv_id, a.turn, a.back, max(p.turn) as parent from asked a left join calls p on p.conv_id = a.conv_id and p.turn < a.turn and p.turn % 4 = (a.turn - a.back) % 4 group by all),
+steps as (select conv_id, turn, 0 as level from calls c where not exists (select 1 from waits w where w.conv_id = c.conv_id and w.turn = c.turn and w.parent is not null)
+          union select w.conv_id, w.turn, d.level + 1 from waits w join steps d on d.conv_id = w.conv_id and d.turn = w.parent),
+depth as (select conv_id, turn, max(level) as level from steps group by all),
+met as (select conv_id, turn, count(parent) = count(*) waits_for from waits group by all),
+given as (select r.conv_id, r.turn, 'call-' || r.conv_id || '-' || (r.turn - 1) % 4 id, r.text as content, max(c.turn) as of_turn
+          from chats r left join calls c on c.conv_id = r.conv_id and c.turn < r.turn and c.turn % 4 = (r.turn - 1) % 4 where r.role = 'user' and r.turn > 0 group by all),
+results as (select conv_id, id, of_turn, min(turn) as turn, arg_min(content, turn) as content, count(*) as results from given group by all),
+j as (select coalesce(c.conv_id, r.conv_id) conv_id, coalesce(c.id, r.id) call_id, c.nth, c.name, c.turn, c.arguments, c.errors, d.level, r.turn result_turn, r.results,
+    case when c.id is null then 'orphan_result' when r.id is null then 'no_result' else 'linked' end status, m.waits_for,
     '{' || concat_ws(',', '"arguments":' || c.arguments, '"id":' || to_json(coalesce(c.id, r.id)), '"name":' || to_json(c.name), '"result":' || to_json(r.content)) || '}' record
-    from calls c full join results r on c.conv_id = r.conv_id and c.id = r.id left join depth d on d.conv_id = c.conv_id and d.turn = c.turn)
-select conv_id, call_id, name, turn, status, waits_for, level::bigint as level, arguments, coalesce(errors, '') as errors, result_turn,
-       case when result_turn is null then 0 else 1 end::bigint as results, sha256(record) record_sha256 from j
+    from calls c full join results r on c.conv_id = r.conv_id and c.turn = r.of_turn left join depth d on d.conv_id = c.conv_id and d.turn = c.turn
+    left join met m on m.conv_id = c.conv_id and m.turn = c.turn)
+select conv_id, call_id, nth, name, turn, status, waits_for, level::bigint as level, arguments, coalesce(errors, '') as errors, result_turn,
+       coalesce(results, 0)::bigint as results, sha256(record) record_sha256 from j
 """)
 def op2_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
     linked = tool_calls.link_tool_calls(tool_messages(spark, folder), TOOLS)

@@ -1,19 +1,23 @@
 """Tool calls and their results in chats: linked, ordered, validated and written as canonical JSON; DataFrame operations only.
 
 An ``assistant`` message may hold ``{"tool_calls": [{"id", "name", "arguments", "after"}, ...]}``: arguments are an object or its JSON
-text, ``after`` is the id of the call, in the same conversation, whose result this one needs. A ``tool`` message
+text, ``after`` is the id of a call in the same conversation whose result this one needs, or a list of them. A ``tool`` message
 holds ``{"tool_call_id", "content"}``. Everything else in a chat passes by.
 
-- Linking: results join calls on conversation and id; both sides hold a key once, as the first occurrence is taken by a minimum that is
-  combined before the exchange, so repeated messages cannot make a hot key.
-- Order: a call's level is its distance from a call that waits for none. Every call points at the one it waits for; in each round pointers
-  are replaced by what their target points at, so chains of n calls take log2(n) joins. Calls that still point
-  somewhere after that wait for each other: a cycle, without level. Sorting by level, calls before their results, is a topological order.
+- Linking: calls, results and what calls wait for meet on conversation and id. Ids may start again in every turn: calls of an id are numbered in
+  order; a result means the latest call of its id before it, and so does a waiting call, or the id's first call if all come later. The hash join is on id and
+  number. Numbers are running counts within stretches of turns plus sums over earlier stretches, so one id that very many messages
+  share is as many tasks' work as its conversation has stretches.
+- Order: a call's level is its longest distance from a call that waits for none. Calls that wait for one other point at it, and pointers are
+  replaced by what their target points at, so chains of n calls take log2(n) joins; what is left are calls that wait for several, whose
+  levels follow in as many rounds as lie behind each other. A call without level waits, in the end, for itself. Sorting by level,
+  calls before their results, is a topological order.
 - Validation: names, presence and types of arguments against ``Tool`` schemas, on parsed variants.
 - Canonical JSON: keys sorted at every depth, no blanks, numbers as the parser reads them.
 
-Nulls and oddities: messages that are not such JSON, or null, are ignored; a call without id is reported but not linked; a repeated id
-belongs to its first message; a null conversation is one of its own; a result without call is a row of status ``orphan_result``.
+Nulls and oddities: messages that are not such JSON, or null, are ignored; a call without id is reported but not linked; a call that a
+repeated message holds again, equal in every part, is one call; a null conversation is one of its own; a result without a call before it is a row of status
+``orphan_result``; calls of one message are in the order of its list, a result follows the calls of its turn.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import re
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import stored
@@ -52,12 +56,6 @@ def _key(conversation: str, call_id: str) -> Column:
     return F.to_json(F.struct(F.col(conversation).alias("c"), F.col(call_id).alias("i")))
 
 
-def _first(rows: DataFrame, order: list[str], held: list[str]) -> DataFrame:
-    """For each key, its first row by ``order`` and how many there are."""
-    first = F.min(F.struct(*order, *[c for c in held if c not in order])).alias("f")
-    return rows.groupBy("key").agg(first, F.count(F.lit(1)).alias("n")).select("key", "n", "f.*")
-
-
 def calls_of(messages: DataFrame) -> DataFrame:
     shape = "struct<tool_calls: array<struct<id: string, name: string, arguments: string, after: string>>>"
     parsed = messages.where("role = 'assistant'").select("conv_id", "turn", F.from_json("text", shape).alias("m"))
@@ -71,18 +69,67 @@ def results_of(messages: DataFrame) -> DataFrame:
     return parsed.select("conv_id", "turn", F.col("m.tool_call_id").alias("id"), F.col("m.content").alias("content")).where("id is not null")
 
 
-def levels(waits: DataFrame) -> DataFrame:
-    """``key, level`` for ``waits(key, on)``; ``on`` is null or the key of another row. A row of a cycle has a null level."""
-    nodes = waits.count()
-    step = stored(waits.select("key", "on", F.when(F.col("on").isNull(), 0).otherwise(1).cast("long").alias("level")))
+def _wanted(after: Column) -> Column:
+    """The ids that a call waits for: one, or a list of them."""
+    listed = F.when(after.startswith("["), F.from_json(after, "array<string>"))
+    ids = F.coalesce(listed, F.when(after.isNotNull(), F.array(after)), F.array().cast("array<string>"))
+    return F.array_distinct(F.filter(ids, lambda i: i.isNotNull()))
+
+
+REF, CALL, RESULT = 0, 1, 2  # what comes first at one place
+STRETCH = 256  # turns
+
+
+def _numbered(events: DataFrame) -> DataFrame:
+    """``events(key, turn, position, kind, ...)`` with ``nth``: how many calls of the key there are up to and with each."""
+    one = (F.col("kind") == CALL).cast("long")
+    rows = events.withColumn("stretch", F.coalesce(F.floor(F.col("turn") / STRETCH), F.lit(-(1 << 60))))
+    ahead = rows.groupBy("key", "stretch").agg(F.sum(one).alias("here"))
+    ahead = ahead.withColumn("base", F.sum("here").over(Window.partitionBy("key").orderBy("stretch")) - F.col("here")).drop("here")
+    order = [F.col("turn").asc_nulls_first(), "position", "kind", F.col("name").asc_nulls_first(), F.col("arguments").asc_nulls_first(), F.col("after").asc_nulls_first()]
+    within = F.sum(one).over(Window.partitionBy("key", "stretch").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("within", within).join(ahead, ["key", "stretch"]).withColumn("nth", F.col("base") + F.col("within")).drop("stretch", "within", "base")
+
+
+def _anchored(nodes: DataFrame, single: DataFrame) -> DataFrame:
+    """``key, anchor, far``: where the chain of each node's only waits ends, and how many it passes; null for a ring."""
+    count = nodes.count()
+    step = stored(nodes.join(single, "key", "left").select("key", F.coalesce("on", "key").alias("to"), F.col("on").isNotNull().cast("long").alias("far")))
+    ends = nodes.join(single.select("key"), "key", "left_anti").select(F.col("key").alias("to"), F.lit(True).alias("end"))
     reach = 1
-    while reach <= nodes and not step.where("on is not null").isEmpty():
-        ahead = step.select(F.col("key").alias("on"), F.col("on").alias("next"), F.col("level").alias("more"))
-        open_ = step.where("on is not null").join(ahead, "on", "left")
-        moved = open_.select("key", F.col("next").alias("on"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"))
-        step = stored(step.where("on is null").unionByName(moved))
+    while reach <= count and not step.join(ends, "to", "left_anti").isEmpty():
+        ahead = step.select(F.col("key").alias("to"), F.col("to").alias("next"), F.col("far").alias("more"))
+        step = stored(step.join(ahead, "to").select("key", F.col("next").alias("to"), (F.col("far") + F.col("more")).alias("far")))
         reach *= 2
-    return step.select("key", F.when(F.col("on").isNull(), F.col("level")).alias("level"))
+    return step.join(ends, "to", "left").select("key", F.when(F.col("end"), F.col("to")).alias("anchor"), "far")
+
+
+def levels(nodes: DataFrame, waits: DataFrame) -> DataFrame:
+    """``key, level`` for ``nodes(key, turn, position)`` and ``waits(key, on)``, both keys; a node that waits for a ring has a null level."""
+    waits = stored(waits.select("key", "on").distinct())
+    if waits.isEmpty():
+        return nodes.select("key", F.lit(0).cast("long").alias("level"))
+    # What the latest of a call's waits waits for itself, as its latest, adds nothing.
+    place = nodes.select(F.col("key").alias("on"), F.struct("turn", "position", "key").alias("place"))
+    latest = stored(waits.where("key <> on").join(place, "on").groupBy("key").agg(F.max_by("on", "place").alias("latest")))
+    second = latest.join(latest.select(F.col("key").alias("latest"), F.col("latest").alias("on")), "latest").select("key", "on").where("key <> on")
+    needed = stored(waits.join(second, ["key", "on"], "left_anti"))
+    needs = stored(needed.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    single = needed.join(needs.where("n = 1").select("key"), "key")
+    reached = stored(_anchored(nodes.select("key"), single))
+    # Calls that wait for several: each of them is as far as its chain from where that ends.
+    chain = reached.select(F.col("key").alias("on"), "anchor", "far")
+    several = stored(needed.join(needs.where("n > 1"), "key").join(chain, "on").select("key", "n", "anchor", (F.col("far") + 1).alias("far")))
+    known = stored(nodes.select("key").join(needs.select("key"), "key", "left_anti").select(F.col("key").alias("anchor"), F.lit(0).cast("long").alias("level")))
+    left = several
+    while not left.isEmpty():
+        ready = left.join(known, "anchor").groupBy("key", "n").agg(F.count(F.lit(1)).alias("met"), F.max(F.col("level") + F.col("far")).alias("level"))
+        ready = stored(ready.where("met = n").select(F.col("key").alias("anchor"), "level"))
+        if ready.isEmpty():
+            break
+        known = stored(known.unionByName(ready))
+        left = stored(left.join(ready.select(F.col("anchor").alias("key")), "key", "left_anti"))
+    return reached.join(known, "anchor", "left").select("key", (F.col("far") + F.col("level")).alias("level"))
 
 
 def _errors(name: Column, arguments: Column, parsed: Column, tools: list[Tool]) -> Column:
@@ -105,32 +152,44 @@ def _errors(name: Column, arguments: Column, parsed: Column, tools: list[Tool])
 
 
 def link_tool_calls(messages: DataFrame, tools: list[Tool]) -> DataFrame:
-    """A row per call and per result without call.
+    """A row per call and per id of results without call.
 
-    ``conv_id, call_id, name, turn, status, level, arguments`` (canonical JSON, null if malformed), ``errors``, ``result_turn, results`` (how many),
-    ``record`` (canonical JSON of the call with its result). ``status`` is ``linked``, ``no_result``, ``no_id`` or ``orphan_result``;
-    ``waits_for`` tells whether ``after`` names a call that is there (null if it names none).
+    ``conv_id, call_id, nth`` (which call of its id), ``name, turn, status, level, arguments`` (canonical JSON, null if malformed), ``errors``,
+    ``result_turn, results`` (how many), ``record`` (canonical JSON of the call with its first result). ``status`` is ``linked``, ``no_result``, ``no_id``
+    or ``orphan_result``; ``waits_for`` tells whether all that ``after`` names are there (null if it names none).
     """
     messages = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.col("text").cast("string").alias("text"))
-    held = ["turn", "position", "conv_id", "id", "name", "arguments", "after"]
-    all_calls = stored(calls_of(messages))
-    calls = stored(_first(all_calls.where("id is not null").withColumn("key", _key("conv_id", "id")), ["turn", "position"], held).drop("n"))
-    results = stored(_first(results_of(messages).withColumn("key", _key("conv_id", "id")), ["turn", "content"], ["turn", "content", "conv_id", "id"]))
-
-    wanted = calls.withColumn("wants", F.when(F.col("after").isNotNull(), _key("conv_id", "after"))).select("key", "wants")
-    there = calls.select(F.col("key").alias("on"))
-    waits = stored(wanted.join(there, wanted["wants"] == there["on"], "left"))
-    order = levels(waits.select("key", "on")).withColumnRenamed("key", "k1")
-    known = waits.select(F.col("key").alias("k2"), F.when(F.col("wants").isNotNull(), F.col("on").isNotNull()).alias("waits_for"))
-
-    answers = results.select(F.col("key").alias("k3"), F.col("turn").alias("result_turn"), "content", F.col("n").alias("results"))
+    parts = ["conv_id", "turn", "position", "id", "name", "arguments", "after"]
+    all_calls = stored(calls_of(messages).groupBy(*parts).agg(F.count(F.lit(1)).alias("copies")).drop("copies").withColumn("uid", F.monotonically_increasing_id()))
+    named = all_calls.where("id is not null")
+    refs = named.select("uid", "conv_id", "turn", "position", F.explode(_wanted(F.col("after"))).alias("id"))
+    results = results_of(messages).groupBy("conv_id", "turn", "id").agg(F.min(F.struct("content")).alias("first"), F.count(F.lit(1)).alias("n"))
+    none = lambda kind: F.lit(None).cast(kind)
+    events = named.select(_key("conv_id", "id").alias("key"), *parts, F.lit(CALL).alias("kind"), "uid", none("string").alias("content"), none("long").alias("n"))
+    blank = [none("string").alias(c) for c in ("name", "arguments", "after")]
+    events = events.unionByName(refs.select(_key("conv_id", "id").alias("key"), "conv_id", "turn", "position", "id", *blank, F.lit(REF).alias("kind"), "uid",
+                                            none("string").alias("content"), none("long").alias("n")))
+    events = events.unionByName(results.select(_key("conv_id", "id").alias("key"), "conv_id", "turn", F.lit((1 << 31) - 1).alias("position"), "id", *blank,
+                                               F.lit(RESULT).alias("kind"), none("long").alias("uid"), F.col("first.content").alias("content"), "n"))
+    numbered = stored(_numbered(events))
+    calls = numbered.where(F.col("kind") == CALL).drop("kind", "content", "n")
+    # The latest call before, or the first one where all come later.
+    meant = F.greatest("nth", F.lit(1).cast("long")).alias("nth")
+    targets = calls.select("key", "nth", F.col("uid").alias("on"))
+    asked = stored(numbered.where(F.col("kind") == REF).select("uid", "key", meant).join(targets, ["key", "nth"], "left"))
+    waits = asked.where("on is not null").select(F.col("uid").alias("key"), "on")
+    order = levels(calls.select(F.col("uid").alias("key"), "turn", "position"), waits).withColumnRenamed("key", "uid")
+    known = asked.groupBy("uid").agg((F.count("on") == F.count(F.lit(1))).alias("waits_for"))
+    given = numbered.where(F.col("kind") == RESULT).select("key", "nth", "conv_id", "id", "turn", "content", "n")
+    first = F.min(F.struct("turn", "content")).alias("f")
+    answers = stored(given.groupBy("key", "nth", "conv_id", "id").agg(first, F.sum("n").alias("results")).select(
+        "key", "nth", "conv_id", "id", F.col("f.turn").alias("result_turn"), F.col("f.content").alias("content"), "results"))
+
     linked = (
-        calls.join(order, F.col("key") == F.col("k1"), "left").join(known, F.col("key") == F.col("k2"), "left").join(answers, F.col("key") == F.col("k3"), "left")
-        .withColumn("status", F.when(F.col("result_turn").isNull(), "no_result").otherwise("linked")).drop("k1", "k2", "k3"))
+        calls.join(answers.drop("conv_id", "id"), ["key", "nth"], "left").join(order, "uid", "left").join(known, "uid", "left")
+        .withColumn("status", F.when(F.col("result_turn").isNull() & F.col("results").isNull(), "no_result").otherwise("linked")))
     nameless = all_calls.where("id is null").withColumn("status", F.lit("no_id"))
-    own = calls.select("key")
-    orphans = results.join(own, "key", "left_anti").select(
-        "conv_id", "id", F.lit("orphan_result").alias("status"), F.col("turn").alias("result_turn"), "content", F.col("n").alias("results"))
+    orphans = answers.join(targets, ["key", "nth"], "left_anti").drop("nth").withColumn("status", F.lit("orphan_result"))
 
     parsed = F.try_parse_json("arguments")
     is_call = F.col("status") != "orphan_result"
@@ -142,10 +201,10 @@ def link_tool_calls(messages: DataFrame, tools: list[Tool]) -> DataFrame:
     part = lambda label, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f'"{label}":'), F.regexp_extract(quoted(c), r'(?s)^\{"x":(.*)\}$', 1)))
     record = F.concat(F.lit("{"), F.concat_ws(",", F.concat(F.lit('"arguments":'), canonical), part("id", "id"), part("name", "name"), part("result", "content")), F.lit("}"))
     return rows.select(
-        "conv_id", F.col("id").alias("call_id"), "name", "turn", "status", "waits_for", "level", canonical.alias("arguments"), "errors", "result_turn",
+        "conv_id", F.col("id").alias("call_id"), "nth", "name", "turn", "status", "waits_for", "level", canonical.alias("arguments"), "errors", "result_turn",
         F.coalesce("results", F.lit(0)).cast("long").alias("results"), record.alias("record"))
 
 
 def topological(linked: DataFrame, conversation: Column) -> DataFrame:
     """One conversation's calls in order: by level, then as they came."""
-    return linked.where(F.col("conv_id").eqNullSafe(conversation)).orderBy(F.col("level").asc_nulls_last(), "turn", "call_id")
+    return linked.where(F.col("conv_id").eqNullSafe(conversation)).orderBy(F.col("level").asc_nulls_last(), "turn", "call_id", "nth")
