@@ -282,7 +282,8 @@ def _row_bytes(schema: T.StructType) -> Column:
     return reduce(lambda a, b: a + F.coalesce(b, F.lit(0)), [p for p in parts if p is not None], words)
 
 
-def _matched_partitions(table: LakeTable, source: DataFrame, spec: MergeSpec, small: bool, index: FileIndex | None) -> set[tuple]:
+def _matched_partitions(table: LakeTable, source: DataFrame, spec: MergeSpec, small: bool,
+                        index: FileIndex | None = None) -> set[tuple]:
     """Partitions of the target rows the batch matches, where the keys do not tell.
 
     Without an index the key columns of the whole target are read, with one those of the files that may hold a key.
