@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.checks.fixtures import (
-    HIST_SQL, MERGE_SQL, SRC_SQL, TAXI_SQL, TX, TXSRC_SQL, monthly_table, new_table, table, taxi,
-    tx_history, tx_source, tx_target,
+    CHANGES_SQL, HIST_SQL, MERGE_SQL, SRC_SQL, TAXI_SQL, TX, TXSRC_SQL, monthly_table, new_table, table, taxi,
+    tx_changes, tx_history, tx_source, tx_target,
 )
 from tidemark.checks.registry import query
 from tidemark.functions.timewin import current_civil
@@ -65,7 +65,7 @@ where not (t.k is not null and s.k is not null and s.del is not null)"""
 
 def _batch(spark: SparkSession, sf: str) -> DataFrame:
     """Newest change per key, stored once because a merge reads it three times."""
-    return stored(latest_per_key(tx_history(spark, sf), TX.key, TX.version))
+    return stored(latest_per_key(tx_changes(spark, sf), TX.key, TX.version))
 
 
 def _merged(spark: SparkSession, sf: str, spec: MergeSpec) -> DataFrame:
@@ -101,7 +101,7 @@ def merge_checked_source(spark: SparkSession, sf: str) -> DataFrame:
     return merge(tx_target(spark, sf), _batch(spark, sf), soft_delete(TX))
 
 
-MOVED_SQL = f"with {TXSRC_SQL}, {HIST_SQL}, {SRC_SQL}, moved as (select k, amt, st, d + 40 d, c_at, u_at, del from src)\n"
+MOVED_SQL = f"with {TXSRC_SQL}, {CHANGES_SQL}, {SRC_SQL}, moved as (select k, amt, st, d + 40 d, c_at, u_at, del from src)\n"
 
 
 def _moved(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,7 +124,7 @@ def merge_on_key_only(spark: SparkSession, sf: str) -> DataFrame:
     return merge(tx_source(spark, sf), _moved(spark, sf), soft_delete(TX, on=("k",)), unique_source=True, repeated_keys=False)
 
 
-@query(f"""with {TXSRC_SQL}, {HIST_SQL}, {SRC_SQL},
+@query(f"""with {TXSRC_SQL}, {CHANGES_SQL}, {SRC_SQL},
 older as (select k, amt, st, d, c_at, u_at - interval '36' hour u_at, del from src)
 select t.k, case when s.u_at > t.u_at then s.amt else t.amt end amt, case when s.u_at > t.u_at then s.st else t.st end st,
        t.d, t.c_at, case when s.u_at > t.u_at then s.u_at else t.u_at end u_at,
@@ -146,7 +146,7 @@ def _serving(spark: SparkSession, sf: str) -> LakeTable:
 def merge_table_soft_delete(spark: SparkSession, sf: str) -> DataFrame:
     """Only the batch's own months are rewritten, then switched in the catalog."""
     serving = _serving(spark, sf)
-    batch = latest_per_key(tx_history(spark, sf), TX.key, TX.version)
+    batch = latest_per_key(tx_changes(spark, sf), TX.key, TX.version)
     merge_table(serving, batch, soft_delete(TX), unique_source=True)
     return serving.read().drop("m")
 
@@ -155,7 +155,7 @@ def merge_table_soft_delete(spark: SparkSession, sf: str) -> DataFrame:
 def merge_table_hard_delete(spark: SparkSession, sf: str) -> DataFrame:
     """Matches may lie in any month; those months are found first."""
     serving = _serving(spark, sf)
-    batch = latest_per_key(tx_history(spark, sf), TX.key, TX.version)
+    batch = latest_per_key(tx_changes(spark, sf), TX.key, TX.version)
     merge_table(serving, batch, hard_delete_guarded(TX), unique_source=True)
     return serving.read().drop("m")
 

@@ -59,8 +59,16 @@ def tx_target(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tx_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Two versions of every order but those of low priority; urgent ones end deleted, pending ones are unknown to the target."""
-    o = table(spark, sf, "orders").where(F.col("o_orderpriority") != "5-LOW")
+    """Two versions of every order; urgent ones end deleted."""
+    return _versions(table(spark, sf, "orders"))
+
+
+def tx_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The history without orders of low priority, which merges leave as they are; pending ones are unknown to the target."""
+    return _versions(table(spark, sf, "orders").where("o_orderpriority <> '5-LOW'"))
+
+
+def _versions(o: DataFrame) -> DataFrame:
     o = o.withColumn("v", F.explode(F.array(F.lit(1), F.lit(2))))
     changed = F.col("o_orderdate") + days(F.col("v"))
     deleted = (F.col("o_orderpriority") == "1-URGENT") & (F.col("v") == 2)
@@ -90,7 +98,8 @@ HIST_SQL = """
 hist as (select cast(o_orderkey as varchar) k, o_totalprice + 700 * v amt, o_orderstatus st,
                 cast(o_orderdate as date) d, o_orderdate c_at, o_orderdate + v * interval '1' day u_at,
                 case when o_orderpriority = '1-URGENT' and v = 2 then o_orderdate + v * interval '1' day end del
-         from orders cross join (values (1), (2)) x(v) where o_orderpriority <> '5-LOW')"""
+         from orders cross join (values (1), (2)) x(v))"""
+CHANGES_SQL = HIST_SQL.replace("x(v))", "x(v) where o_orderpriority <> '5-LOW')")
 SRC_SQL = """
 src as (select k, amt, st, d, c_at, u_at, del
         from (select *, row_number() over (partition by k order by u_at desc) rn from hist) q where rn = 1)"""
@@ -99,7 +108,7 @@ txsrc as (select cast(o_orderkey as varchar) k, o_totalprice amt, o_orderstatus
                  o_orderdate c_at, o_orderdate + (o_orderkey % 24) * interval '1' hour u_at,
                  case when o_orderkey % 11 = 0 then o_orderdate + (o_orderkey % 24) * interval '1' hour end del
           from orders)"""
-MERGE_SQL = f"with {TGT_SQL}, {HIST_SQL}, {SRC_SQL}\n"
+MERGE_SQL = f"with {TGT_SQL}, {CHANGES_SQL}, {SRC_SQL}\n"
 
 
 # --- users, from customer -------------------------------------------------------------

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from tidemark.checks.changes import HARD_SQL, SOFT_SQL
 from tidemark.checks.fixtures import (
-    HIST_SQL, MERGE_SQL, RUNS, SRC_SQL, TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, TX, TX_SCHEMA, TXSRC_SQL, USER, USER_SCHEMA, USERS_SQL,
-    civil, days, folder, history_table, hive_folders, hours, landed_by_run, monthly_table, new_table, table, taxi, tx_history, tx_source,
+    CHANGES_SQL, HIST_SQL, MERGE_SQL, RUNS, SRC_SQL, TAXI_FOLDERS, TAXI_SCHEMA, TAXI_SQL, TX, TX_SCHEMA, TXSRC_SQL, USER, USER_SCHEMA, USERS_SQL,
+    civil, days, folder, history_table, hive_folders, hours, landed_by_run, monthly_table, new_table, table, taxi, tx_changes, tx_history, tx_source,
     tx_target, users,
 )
 from tidemark.checks.registry import query
@@ -111,7 +111,7 @@ def ingest_stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
 @query(MERGE_SQL + SOFT_SQL)
 def stream_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Every micro-batch is appended and then merged into the serving table."""
-    changes = tx_history(spark, sf)
+    changes = tx_changes(spark, sf)
     landing, checkpoint = folder(spark, "landing"), folder(spark, "checkpoint")
     history = history_table(spark, "tx", TX_SCHEMA, "u_at")
     serving = monthly_table(spark, "serving")
@@ -150,7 +150,7 @@ def append_rerun_keeps_versions(spark: SparkSession, sf: str) -> DataFrame:
     return marked
 
 
-LATE_SQL = f"""with {HIST_SQL}, {SRC_SQL},
+LATE_SQL = f"""with {CHANGES_SQL}, {SRC_SQL},
 before as (select cast(o_orderkey as varchar) k, o_totalprice amt, o_orderstatus st, cast(o_orderdate as date) d, o_orderdate c_at, o_orderdate u_at,
                   case when false then o_orderdate end del from orders where o_orderstatus <> 'P')
 select coalesce(s.k, t.k) k, coalesce(s.amt, t.amt) amt, coalesce(s.st, t.st) st, coalesce(s.d, t.d) d, coalesce(t.c_at, s.c_at) c_at,
@@ -160,7 +160,7 @@ select coalesce(s.k, t.k) k, coalesce(s.amt, t.amt) amt, coalesce(s.st, t.st) st
 @query(LATE_SQL)
 def stream_merge_late_file(spark: SparkSession, sf: str) -> DataFrame:
     """The second folder is older than the first, in which some rows are deleted: newest rows and deletions hold."""
-    changes = tx_history(spark, sf)
+    changes = tx_changes(spark, sf)
     landing, checkpoint = folder(spark, "landing"), folder(spark, "checkpoint")
     history = history_table(spark, "tx", TX_SCHEMA, "u_at")
     serving = monthly_table(spark, "serving")
@@ -523,7 +523,7 @@ def sync_dated_transactions(spark: SparkSession, sf: str) -> DataFrame:
 def lookback_merge(spark: SparkSession, sf: str) -> DataFrame:
     """History to serving with hard deletes, looking back over all of it."""
     history = history_table(spark, "tx", TX_SCHEMA, "u_at")
-    history.append_batch(tx_history(spark, sf), "all")
+    history.append_batch(tx_changes(spark, sf), "all")
     serving = new_table(spark, "serving", TX_SCHEMA, (), ("k",))
     serving.overwrite(tx_target(spark, sf))
     merge_recent(history, serving, TX, hard_delete_guarded(TX), datetime(2001, 12, 1, tzinfo=UTC), days=None)

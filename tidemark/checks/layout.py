@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.checks.changes import HARD_SQL
 from tidemark.checks.fixtures import (
-    HIST_SQL, MERGE_SQL, SRC_SQL, TX, TX_SCHEMA, TXSRC_SQL, monthly_table, new_table, table, tx_history, tx_source, tx_target,
+    CHANGES_SQL, HIST_SQL, MERGE_SQL, SRC_SQL, TX, TX_SCHEMA, TXSRC_SQL, monthly_table, new_table, table, tx_changes, tx_history, tx_source,
+    tx_target,
 )
 from tidemark.checks.registry import query
 from tidemark.operators.bucketed import create_bucketed
@@ -21,7 +22,7 @@ from tidemark.session import stored
 # --- files ----------------------------------------------------------------------------
 
 
-@query(f"""with {TXSRC_SQL}, {HIST_SQL}, {SRC_SQL},
+@query(f"""with {TXSRC_SQL}, {CHANGES_SQL}, {SRC_SQL},
 moved as (select k, amt, st, d + 40 d, u_at, del from src where c_at >= timestamp '1996-01-01' and c_at < timestamp '1996-07-01')
 select t.k, case when s.k is not null then s.amt else t.amt end amt, case when s.k is not null then s.st else t.st end st,
        case when s.k is not null then s.d else t.d end d, t.c_at, case when s.k is not null then s.u_at else t.u_at end u_at,
@@ -31,7 +32,7 @@ def merge_bloom_partitions(spark: SparkSession, sf: str) -> DataFrame:
     serving = monthly_table(spark, "bloom")
     serving.overwrite(tx_source(spark, sf))
     index = FileIndex(serving, ("k",))
-    half = tx_history(spark, sf).where("c_at >= timestamp_ntz'1996-01-01 00:00:00' and c_at < timestamp_ntz'1996-07-01 00:00:00'")
+    half = tx_changes(spark, sf).where("c_at >= timestamp_ntz'1996-01-01 00:00:00' and c_at < timestamp_ntz'1996-07-01 00:00:00'")
     batch = stored(latest_per_key(half, TX.key, TX.version).withColumn("d", F.date_add("d", 40)))
     for _ in range(2):
         merge_table(serving, batch, soft_delete(TX, on=("k",)), unique_source=True, index=index)
@@ -44,7 +45,7 @@ def merge_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     home = new_table(spark, "bucketed", TX_SCHEMA)
     serving = create_bucketed(spark, f"{home.name}_by_key", TX_SCHEMA, f"{home.root}_by_key", TX.key, 8)
     serving.overwrite(tx_target(spark, sf))
-    batch = latest_per_key(tx_history(spark, sf), TX.key, TX.version)
+    batch = latest_per_key(tx_changes(spark, sf), TX.key, TX.version)
     for _ in range(2):
         serving.merge(batch, hard_delete_guarded(TX), unique_source=True)
     return serving.read()
