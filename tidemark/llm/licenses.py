@@ -14,7 +14,8 @@ template's length and some slack lie around every occurrence of the pivots, the
 that do not hold enough of a template's words, counted with repetition, cannot reach the share and are skipped: that
 bound is exact.
 
-Nulls and oddities: a null or empty text has no license; templates without words are refused; whole texts of any length are read.
+Nulls and oddities: a null or empty text has no license; templates without words are refused; whole texts of any length are read;
+every place at which a license stands is a row, and repeated rows are read each.
 """
 
 from __future__ import annotations
@@ -231,9 +232,9 @@ class Scanner:
         self.vocabulary = {w for t in self.templates for w in t.words}
 
     def scan(self, text: str) -> list[Match]:
-        """The best match of every license found; words are numbered from 0. Of templates that match the same words the best one counts."""
+        """Every place at which a license is found, by license, then by place; words are numbered from 0. Of templates that match the same words the best one counts."""
         body: list[str | None] = list(words(text))
-        best: dict[str, Match] = {}
+        kept: list[Match] = []
         at: dict[str, list[int]] = {}
         for k, word in enumerate(body):
             if word in self.vocabulary:
@@ -250,13 +251,13 @@ class Scanner:
                     taken.insert(k, match)
                     starts.insert(k, match.first)
             # What a license took is no part of another one: look again at the rest.
+            kept += taken
             for match in taken:
-                if match.name not in best or match.score > best[match.name].score:
-                    best[match.name] = match
                 body[match.first:match.last + 1] = [None] * (match.last + 1 - match.first)
             if taken:
                 at = {w: left for w, places in at.items() if (left := [k for k in places if body[k] is not None])}
-        return [best[t.name] for t in self.templates if t.name in best]
+        order = {t.name: k for k, t in enumerate(self.templates)}
+        return sorted(kept, key=lambda m: (order[m.name], m.first))
 
     def _matches(self, template: Template, body: list[str | None], at: dict[str, list[int]]) -> set[Match]:
         """Every match of a template that leaves out none of what it must hold."""
@@ -291,7 +292,7 @@ class Scanner:
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, share: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per document and license found: ``doc_id, license, coverage, matched, first_word, last_word``.
+    """A row per place at which a document holds a license: ``doc_id, license, coverage, matched, first_word, last_word``.
 
     Documents without one have a row of nulls. There is no shuffle; a task reads one text at a time.
     """
